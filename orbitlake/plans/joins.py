@@ -1,0 +1,35 @@
+"""Joins of a large table with a smaller one that grows with the data."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from orbitlake.session import fits_broadcast
+
+BROADCAST_ROWS = 1_000_000
+SALTS = 16
+
+
+def lookup_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    salt_by: Sequence[str],
+    how: str = "left",
+    max_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``big`` with ``small``, unique on ``on``, without a hot key filling one task.
+
+    ``small`` is broadcast when it has at most ``max_rows`` rows. Beyond that both sides are
+    shuffled on the key and a salt: a hot key of ``big`` spreads over ``salts`` tasks by the hash of
+    ``salt_by``, and ``small``, far smaller, is repeated once per salt.
+    """
+    if fits_broadcast(small, max_rows):
+        return big.join(F.broadcast(small), list(on), how)
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
