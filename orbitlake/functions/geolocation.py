@@ -50,23 +50,27 @@ def latlon_from_angles(x_angle: Column, y_angle: Column) -> Column:
     """Latitude and longitude (float degrees) seen at a pair of scan angles; NULL off the Earth.
 
     A line of sight meets the ellipsoid where a quadratic in the distance has a real root; the
-    nearer root is the visible point.
+    nearer root is the visible point. Off the Earth the root is NaN and so is all that follows from
+    it: nothing is behind a condition, so both results share their common terms.
     """
     flattening = (EQUATOR_RADIUS_KM / POLAR_RADIUS_KM) ** 2
     reach = ORBIT_RADIUS_KM**2 - EQUATOR_RADIUS_KM**2
-    cos_x, cos_y, sin_y = F.cos(x_angle), F.cos(y_angle), F.sin(y_angle)
-    along = cos_x * cos_y
+    cos_y, sin_y = F.cos(y_angle), F.sin(y_angle)
+    along = F.cos(x_angle) * cos_y
     curvature = cos_y * cos_y + flattening * sin_y * sin_y
-    root = ORBIT_RADIUS_KM**2 * along * along - curvature * reach
-    distance = (ORBIT_RADIUS_KM * along - F.sqrt(F.greatest(root, F.lit(0.0)))) / curvature
+    root = F.sqrt(ORBIT_RADIUS_KM**2 * along * along - curvature * reach)
+    distance = (ORBIT_RADIUS_KM * along - root) / curvature
     towards = ORBIT_RADIUS_KM - distance * along
     east = distance * F.sin(x_angle) * cos_y
     north = distance * sin_y
     level = F.sqrt(towards * towards + east * east)
-    latitude = F.degrees(F.atan(flattening * north / level)).cast("float")
-    longitude = F.degrees(F.atan2(east, towards)).cast("float")
-    return F.when(
-        root >= 0, F.struct(latitude.alias("latitude"), longitude.alias("longitude"))
+
+    def visible(degrees: Column) -> Column:
+        return F.nanvl(degrees, F.lit(None)).cast("float")
+
+    return F.struct(
+        visible(F.degrees(F.atan(flattening * north / level))).alias("latitude"),
+        visible(F.degrees(F.atan2(east, towards))).alias("longitude"),
     )
 
 

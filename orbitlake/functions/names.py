@@ -23,20 +23,11 @@ def item_name(path: Column) -> Column:
 
 
 def stamp_to_timestamp(stamp: Column) -> Column:
-    """Parse ``yyyyMMddHHmmss`` digits to TIMESTAMP_NTZ; impossible dates give NULL.
+    """Parse ``yyyyMMddHHmmss`` digits to TIMESTAMP_NTZ; impossible dates and times give NULL.
 
-    Built from its fields, so the session time zone plays no part. Second 60 and year 0, which Spark
-    would accept, are refused.
+    The parser knows TIMESTAMP only; the session runs in UTC, so the wall clock stays as it is.
     """
-
-    def field(start: int, length: int) -> Column:
-        return F.substring(stamp, start, length).try_cast("int")
-
-    year, second = field(1, 4), field(13, 2)
-    parsed = F.try_make_timestamp_ntz(
-        year, field(5, 2), field(7, 2), field(9, 2), field(11, 2), second
-    )
-    return F.when((F.length(stamp) == 14) & (year >= 1) & (second < 60), parsed)
+    return F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
 
 
 def sensing_start(path: Column) -> Column:

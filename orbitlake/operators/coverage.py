@@ -28,7 +28,7 @@ def attach_grid(parts: DataFrame, config: CubeConfig | None = None) -> DataFrame
     if config is None:
         starts, stops, heights = {res: 0 for res in DIMSIZE}, DIMSIZE, TILE_ROWS
     else:
-        grids = catalog.config_resolutions(parts.sparkSession, config)
+        grids = catalog.config_resolutions(config)
         windows = {res: catalog.row_window(config, res) for res in grids}
         starts = {res: window[0] for res, window in windows.items()}
         stops = {res: window[1] for res, window in windows.items()}

@@ -6,6 +6,8 @@ part): which row wins never depends on arrival order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +25,17 @@ from orbitlake.plans.joins import lookup_join
 
 # Scenes whose time arrays may be broadcast together: at most 64 Ki doubles, 512 KiB, each.
 LUT_BROADCAST_SCENES = 200
+# Grid rows that may be broadcast: at most 22,272 pairs of floats, 174 KiB, each.
+GEO_BROADCAST_ROWS = 1000
 
 
 def arrival() -> Column:
-    """Position of a row in its scene as one long, so that max_by stays a hash aggregate."""
-    return F.shiftleft(F.col("part_order").cast("bigint"), 20) + F.col("row_no")
+    """Position of a row in its scene as one number, so that max_by stays a hash aggregate.
+
+    Part orders use the whole 64 bits, hence a decimal.
+    """
+    part = F.col("part_order").cast("decimal(20,0)")
+    return part * F.lit(10_000_000_000).cast("decimal(11,0)") + F.col("row_no").cast("decimal(10,0)")
 
 
 def time_map(time_rows: DataFrame) -> DataFrame:
@@ -226,19 +234,32 @@ def quality_summary(scanlines: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def attach_calibration(scan: DataFrame, slot_channel: DataFrame) -> DataFrame:
-    """Join per-slot calibration to scanlines or pixels on product, resolution, slot and channel."""
-    keys = ["product_type", "resolution", "slot", "channel"]
-    return lookup_join(scan, slot_channel, keys, ["y"])
+CALIBRATION_KEYS = ("product_type", "resolution", "slot", "channel")
+GEO_KEYS = ("product_type", "resolution", "y")
 
 
-def attach_geo(scan: DataFrame, geo: DataFrame) -> DataFrame:
-    """Join the latitude/longitude rows to scanlines on product, resolution and row.
+def attach_calibration(
+    scan: DataFrame,
+    slot_channel: DataFrame,
+    keys: Sequence[str] = CALIBRATION_KEYS,
+    salt_by: Sequence[str] = ("y",),
+) -> DataFrame:
+    """Join per-slot calibration to scanlines or pixels."""
+    return lookup_join(scan, slot_channel, keys, salt_by)
+
+
+def attach_geo(
+    scan: DataFrame,
+    geo: DataFrame,
+    keys: Sequence[str] = GEO_KEYS,
+    salt_by: Sequence[str] = ("slot", "channel"),
+) -> DataFrame:
+    """Join the latitude/longitude rows to scanlines.
 
-    Grid rows are as wide as the scanlines, so they are never broadcast; the key has one value per
-    grid line and spreads evenly.
+    Grid rows are as wide as scanlines, so only narrow stripes are broadcast; a full grid is joined
+    on row and salt, because every slot repeats each row.
     """
-    return scan.join(geo, ["product_type", "resolution", "y"], "left")
+    return lookup_join(scan, geo, keys, salt_by, max_rows=GEO_BROADCAST_ROWS)
 
 
 def mask_counts(scanlines: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from orbitlake.plans.catalog import fail_where
 from orbitlake.plans.config import ConfigurationError
 
 SAMPLE = 3
-TRAIL_ORDER = 1 << 40
+TRAIL_ORDER = 1 << 62
 
 
 def classify_items(files: DataFrame) -> DataFrame:

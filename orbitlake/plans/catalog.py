@@ -187,42 +187,56 @@ def resolve_plans(requests: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def config_request(spark: SparkSession, config: CubeConfig) -> DataFrame:
-    return spark.createDataFrame(
-        [(0, config.product_type, config.resolutions, config.channels)],
-        "request_id int, product_type string, resolutions string, channels string",
-    )
+def config_channels(config: CubeConfig) -> dict[str, list[tuple[str, str]]]:
+    """Channels (logical, in file) of one configuration per effective resolution, in channel order.
+
+    The options of a run are known to the driver before any input is; this is the selection above for
+    a single request, without a job.
+    """
+    known = {res: dict(K.CHANNELS[(p, res)]) for p, res in K.CHANNELS if p == config.product_type}
+    requested = [c.strip() for c in (config.channels or "").split(",") if c.strip()]
+    unknown = [c for c in requested if not any(c in names for names in known.values())]
+    if unknown:
+        raise ConfigurationError(f"unknown channel {unknown[0]!r} for {config.product_type}")
+    allowed = None
+    if config.resolutions is not None:
+        allowed = {r.strip() for r in config.resolutions.split(",")}
+    chosen = {}
+    for resolution, names in known.items():
+        order = [c for c in dict.fromkeys(requested) if c in names] if requested else list(names)
+        if order and (allowed is None or resolution in allowed):
+            chosen[resolution] = [(c, names[c]) for c in order]
+    if not chosen:
+        raise ConfigurationError(f"no {config.product_type} resolution is left to write")
+    if config.flat and len(chosen) != 1:
+        raise ConfigurationError(
+            f"a flat cube needs exactly one effective resolution, got {list(chosen)}"
+        )
+    return chosen
 
 
-def config_plan(spark: SparkSession, config: CubeConfig) -> DataFrame:
-    """Channels to write under ``config``: at most 20 rows with index, window and tile height."""
-    request = config_request(spark, config)
-    kept = effective_resolutions(request).select("resolution", "resolution_index")
-    plan = select_channels(request).join(F.broadcast(kept), "resolution")
-    windows = {res: row_window(config, res) for res in config_resolutions(spark, config)}
-    heights = {res: config.tile_height(res) for res in windows}
-    return plan.select(
-        "product_type",
-        "resolution",
-        "channel",
-        "nc_channel",
-        F.col("channel_index").cast("int").alias("channel_index"),
-        "dimsize",
-        "wavelength_um",
-        "dual_gain",
-        lookup(F.col("resolution"), {r: w[0] for r, w in windows.items()}).alias("y_start"),
-        lookup(F.col("resolution"), {r: w[1] for r, w in windows.items()}).alias("y_stop"),
-        lookup(F.col("resolution"), heights).alias("tile_rows"),
-    )
+def config_resolutions(config: CubeConfig) -> list[str]:
+    return list(config_channels(config))
 
 
-def config_resolutions(spark: SparkSession, config: CubeConfig) -> list[str]:
-    """Effective resolutions of one configuration (at most two rows reach the driver)."""
-    rows = effective_resolutions(config_request(spark, config), strict=True)
-    found = [r.resolution for r in rows.orderBy("resolution_index").collect()]
-    if config.flat and len(found) != 1:
-        raise ConfigurationError(f"a flat cube needs exactly one effective resolution, got {found}")
-    return found
+PLAN_SCHEMA = (
+    "product_type string, resolution string, channel string, nc_channel string, channel_index int, "
+    "dimsize int, wavelength_um float, dual_gain boolean, y_start int, y_stop int, tile_rows int"
+)
+
+
+def config_plan(spark: SparkSession, config: CubeConfig) -> DataFrame:
+    """Channels to write under ``config``: at most 16 rows with index, window and tile height."""
+    rows = [
+        (
+            config.product_type, resolution, channel, nc_channel, index, K.DIMSIZE[resolution],
+            K.WAVELENGTH_UM[channel], channel in K.DUAL_GAIN_CHANNELS,
+            *row_window(config, resolution), config.tile_height(resolution),
+        )
+        for resolution, members in config_channels(config).items()
+        for index, (channel, nc_channel) in enumerate(members)
+    ]
+    return spark.createDataFrame(rows, PLAN_SCHEMA)
 
 
 def row_window(config: CubeConfig, resolution: str) -> tuple[int, int]:
