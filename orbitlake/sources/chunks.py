@@ -91,14 +91,16 @@ def decode_chunks(
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pending: list[pa.RecordBatch] = []
+            size = 0
             for index in range(batch.num_rows):
                 scene, part, name, content = (column[index].as_py() for column in batch.columns)
                 try:
                     for table, columns in decoder(name, content, wanted):
                         pending.append(tagged(table, scene, part, columns))
-                        if sum(b.nbytes for b in pending) > FLUSH_BYTES:
+                        size += pending[-1].nbytes
+                        if size > FLUSH_BYTES:
                             yield pa.concat_batches(pending)
-                            pending = []
+                            pending, size = [], 0
                 except Exception as exc:  # noqa: BLE001 - one bad file must not stop the others
                     pending.append(tagged("errors", scene, part, {"error": [f"{name}: {exc}"]}))
             if pending:
