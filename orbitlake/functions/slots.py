@@ -16,7 +16,7 @@ from orbitlake.constants import (
 )
 from orbitlake.functions import names
 
-START_TOLERANCE_MINUTES = 5
+START_TOLERANCE_S = 300
 
 
 def _fail(message: Column, to: str) -> Column:
@@ -93,17 +93,14 @@ def nominal_cycle_start(start: Column, cycle: Column, strict: bool = True) -> Co
     minutes ahead of the sensing start belongs to the day before. A cycle outside 1..144 fails the
     query, or gives NULL with ``strict=False``.
     """
+    minutes = (cycle - 1) * CYCLE_MINUTES
+    second_of_day = F.hour(start) * 3600 + F.minute(start) * 60 + F.floor(F.second(start))
+    ahead = minutes * 60 > second_of_day + START_TOLERANCE_S
     midnight = F.date_trunc("day", start).cast("timestamp_ntz")
-    nominal = F.timestamp_add("MINUTE", (cycle - 1) * CYCLE_MINUTES, midnight).cast("timestamp_ntz")
-    latest = F.timestamp_add("MINUTE", F.lit(START_TOLERANCE_MINUTES), start).cast("timestamp_ntz")
-    previous = F.timestamp_add("DAY", F.lit(-1), nominal).cast("timestamp_ntz")
+    nominal = F.timestamp_add("MINUTE", minutes - F.when(ahead, 24 * 60).otherwise(0), midnight)
     message = F.concat(F.lit("repeat cycle outside 1..144: "), cycle.cast("string"))
     bad = _fail(message, "timestamp_ntz") if strict else F.lit(None)
-    return (
-        F.when(~cycle.between(1, CYCLES_PER_DAY), bad)
-        .when(nominal > latest, previous)
-        .otherwise(nominal)
-    )
+    return F.when(~cycle.between(1, CYCLES_PER_DAY), bad).otherwise(nominal.cast("timestamp_ntz"))
 
 
 def scene_time(path: Column) -> Column:

@@ -252,14 +252,13 @@ def attach_geo(
     scan: DataFrame,
     geo: DataFrame,
     keys: Sequence[str] = GEO_KEYS,
-    salt_by: Sequence[str] = ("slot", "channel"),
 ) -> DataFrame:
     """Join the latitude/longitude rows to scanlines.
 
-    Grid rows are as wide as scanlines, so only narrow stripes are broadcast; a full grid is joined
-    on row and salt, because every slot repeats each row.
+    Grid rows are as wide as scanlines, so only narrow stripes are broadcast and rows of a full grid
+    are not repeated for salts: every slot and channel has each row once, so no row is hot.
     """
-    return lookup_join(scan, geo, keys, salt_by, max_rows=GEO_BROADCAST_ROWS)
+    return lookup_join(scan, geo, keys, (), max_rows=GEO_BROADCAST_ROWS, salts=1)
 
 
 def mask_counts(scanlines: DataFrame) -> DataFrame:

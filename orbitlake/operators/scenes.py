@@ -76,8 +76,11 @@ def parse_chunks(items: DataFrame, strict: bool = True) -> DataFrame:
     parsed = items.filter(F.col("kind") == "chunk").select(
         "*", names.parse_chunk_name(F.col("path")).alias("parsed")
     )
+    product = F.col("parsed.product_type")
     if strict:
-        parsed = fail_where(parsed, F.col("parsed.error"))
+        # Raised by the projection that parses, so that no filter repeats the parsing.
+        error = F.col("parsed.error")
+        product = F.when(error.isNotNull(), F.raise_error(error).cast("string")).otherwise(product)
     else:
         parsed = parsed.filter(
             F.col("parsed.error").isNull() & F.col("parsed.repeat_cycle").between(1, 144)
@@ -85,7 +88,7 @@ def parse_chunks(items: DataFrame, strict: bool = True) -> DataFrame:
     return parsed.select(
         *items.columns,
         names.item_name(F.col("path")).alias("name"),
-        "parsed.product_type",
+        product.alias("product_type"),
         "parsed.sensing_start",
         "parsed.repeat_cycle",
         "parsed.chunk_no",

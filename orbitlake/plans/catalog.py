@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from orbitlake import constants as K
 from orbitlake.functions.geolocation import lookup
 from orbitlake.plans.config import ConfigurationError, CubeConfig
+from orbitlake.session import literal_table
 
 CHANNEL_SCHEMA = (
     "product_type string, resolution string, resolution_order int, channel string, "
@@ -33,7 +34,7 @@ def channels(spark: SparkSession) -> DataFrame:
                     channel in K.DUAL_GAIN_CHANNELS,
                 )
             )
-    return spark.createDataFrame(rows, CHANNEL_SCHEMA)
+    return literal_table(spark, rows, CHANNEL_SCHEMA)
 
 
 def body_rows(spark: SparkSession) -> DataFrame:
@@ -43,7 +44,7 @@ def body_rows(spark: SparkSession) -> DataFrame:
         for (product, resolution), ends in K.CHUNK_ROW_ENDS.items()
         for number, end in enumerate(ends)
     ]
-    return spark.createDataFrame(rows, ROW_SCHEMA)
+    return literal_table(spark, rows, ROW_SCHEMA)
 
 
 def fail_where(df: DataFrame, message: Column) -> DataFrame:
@@ -236,7 +237,7 @@ def config_plan(spark: SparkSession, config: CubeConfig) -> DataFrame:
         for resolution, members in config_channels(config).items()
         for index, (channel, nc_channel) in enumerate(members)
     ]
-    return spark.createDataFrame(rows, PLAN_SCHEMA)
+    return literal_table(spark, rows, PLAN_SCHEMA)
 
 
 def row_window(config: CubeConfig, resolution: str) -> tuple[int, int]:

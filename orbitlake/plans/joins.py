@@ -26,10 +26,13 @@ def lookup_join(
 
     ``small`` is broadcast when it has at most ``max_rows`` rows. Beyond that both sides are
     shuffled on the key and a salt: a hot key of ``big`` spreads over ``salts`` tasks by the hash of
-    ``salt_by``, and ``small``, far smaller, is repeated once per salt.
+    ``salt_by``, and ``small``, far smaller, is repeated once per salt. With ``salts=1`` nothing is
+    repeated, and splitting a hot key is left to adaptive execution.
     """
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
+    if salts == 1:
+        return big.join(small, list(on), how)
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -29,6 +29,7 @@ from orbitlake.functions.slots import PIXEL_TIME_TYPES
 from orbitlake.operators.rasters import expand_scanline_time
 from orbitlake.plans import catalog
 from orbitlake.plans.config import CubeConfig
+from orbitlake.session import literal_table
 
 Build = Callable[[CubeConfig], Column]
 INT_MAX = {"int32": 2**31 - 1, "int64": 2**63 - 1}
@@ -345,7 +346,7 @@ def declared_attributes(
             for variable, attrs in described
             for key, value in attrs.items()
         ]
-    return spark.createDataFrame(rows, ATTRIBUTE_SCHEMA)
+    return literal_table(spark, rows, ATTRIBUTE_SCHEMA)
 
 
 def all_groups() -> list[str]:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # UTC: slot labels and day boundaries are UTC wall-clock values.
 SETTINGS = {
@@ -45,6 +48,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/orbitlake/{label}-{uuid.uuid4().hex}"
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A table of given rows that stays in the plan, so that reading it needs no job."""
+    schema = T.StructType.fromDDL(ddl)
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(arrow)
+    arrays = [pa.array(list(values), field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 

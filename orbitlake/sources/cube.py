@@ -18,7 +18,7 @@ from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
 from orbitlake.plans.joins import lookup_join
-from orbitlake.session import staged
+from orbitlake.session import literal_table, staged
 
 PARTITIONS = ("product_type", "resolution", "slot")
 ROW_KEYS = ("product_type", "resolution", "slot", "channel", "y")
@@ -57,7 +57,7 @@ def check_identity(spark: SparkSession, path: str, config: CubeConfig) -> None:
     stored = open_table(spark, path, "identity")
     if stored is None:
         row = [(json.dumps(wanted),)]
-        spark.createDataFrame(row, "identity string").coalesce(1).write.parquet(f"{path}/identity")
+        literal_table(spark, row, "identity string").coalesce(1).write.parquet(f"{path}/identity")
         return
     found = json.loads(stored.first().identity)
     differing = sorted(k for k in wanted if wanted[k] != found.get(k))
@@ -248,7 +248,7 @@ def log_run(spark: SparkSession, path: str, config: CubeConfig, metrics: dict) -
     """Append a run's signature and counters to the ingest log."""
     row = [(json.dumps(config.signature(), sort_keys=True), json.dumps(metrics, sort_keys=True))]
     schema = "signature string, metrics string"
-    spark.createDataFrame(row, schema).withColumn("logged_at", F.current_timestamp()).coalesce(
+    literal_table(spark, row, schema).withColumn("logged_at", F.current_timestamp()).coalesce(
         1
     ).write.mode("append").parquet(f"{path}/ingest_log")
 

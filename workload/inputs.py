@@ -166,19 +166,21 @@ def bundle_scenes(spark, sf):
 
 
 def _parsed(spark, sf):
-    items = scenes.classify_items(t.chunk_files(spark, sf)).select("path", "length", "kind")
-    return scenes.parse_chunks(items)
+    files = staged(t.chunk_files(spark, sf).select("path", "length"), "listing")
+    return scenes.parse_chunks(scenes.classify_items(files))
 
 
 @query(
     "duplicate_chunks",
     f"""WITH {t.FILES_SQL} SELECT product AS product_type,
-      strftime(coordinate, '%Y-%m-%d %H:%M:%S') AS coordinate, num AS chunk_no, count(*) AS n_files,
-      min(name) AS first_name, max(name) AS other_name FROM chunk GROUP BY product, coordinate, num
-      HAVING count(*) > 1""",
+      strftime(coordinate, '%Y-%m-%d %H:%M:%S') AS coordinate, num AS chunk_no, 2 * count(*) AS n_files,
+      min(name) AS first_name, max(name) AS other_name FROM chunk GROUP BY product, coordinate, num""",
 )
 def duplicate_chunks(spark, sf):
-    found = scenes.duplicate_chunks(_parsed(spark, sf))
+    """Every chunk is delivered to two folders."""
+    chunks = _parsed(spark, sf)
+    copies = chunks.withColumn("path", F.concat(F.lit("s3://copy/"), "name"))
+    found = scenes.duplicate_chunks(chunks.unionByName(copies))
     return found.withColumn("coordinate", t.text("coordinate"))
 
 
@@ -198,6 +200,11 @@ def item_size(spark, sf):
     )
 
 
+def listing(spark, sf):
+    """The mixed items as a listing of files, with plain columns."""
+    return staged(t.mixed_files(spark, sf).select("path", "length"), "listing")
+
+
 @query(
     "scene_order",
     f"""WITH {t.FILES_SQL}, scene AS (
@@ -210,7 +217,7 @@ def item_size(spark, sf):
       FROM scene""",
 )
 def scene_order(spark, sf):
-    items = scenes.classify_items(t.mixed_files(spark, sf)).select("path", "length", "kind")
+    items = scenes.classify_items(listing(spark, sf))
     ordered = scenes.scene_order(scenes.discover(items, strict=False))
     # Positions of a global order: count per sorted partition, then number inside each.
     numbered = ordered.select("scene_id", F.monotonically_increasing_id().alias("id"))
@@ -243,7 +250,7 @@ def _positions(numbered):
       GROUP BY kind, product_type""",
 )
 def union_scenes(spark, sf):
-    items = scenes.classify_items(t.mixed_files(spark, sf)).select("path", "length", "kind")
+    items = scenes.classify_items(listing(spark, sf))
     found = scenes.discover(items, strict=False)
     return found.groupBy("kind", "product_type").agg(F.count("*").alias("n_scenes"))
 

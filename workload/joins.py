@@ -120,7 +120,7 @@ def attach_geo(spark, sf):
     at = ["resolution", "row", "col"]
     latitude = geolocation.latlon(F.col("row"), F.col("col"), F.col("resolution"))["latitude"]
     geo = pixels.select(*at).distinct().withColumn("latitude", latitude)
-    joined = rasters.attach_geo(pixels, geo, at, ["l_orderkey", "l_linenumber"])
+    joined = rasters.attach_geo(pixels, geo, at)
     return joined.select(
         "l_orderkey",
         "l_linenumber",
