@@ -92,7 +92,7 @@ def scene_problems(found: DataFrame, decoded: Decoded, parts: DataFrame, config:
         .join(decoded.chunk_rows.select("scene_id").distinct(), "scene_id", "left_anti")
         .withColumn("error", F.lit("no chunk could be read"))
     )
-    problems = problems.unionByName(empty)
+    problems = problems.unionByName(empty).unionByName(scenes.equal_parts(decoded.members))
     if config.body_chunks is not None:
         checked = coverage.check_body_rows(parts).filter(F.col("error").isNotNull())
         problems = problems.unionByName(checked.groupBy("scene_id").agg(text))

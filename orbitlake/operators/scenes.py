@@ -73,6 +73,7 @@ def parse_chunks(items: DataFrame, strict: bool = True) -> DataFrame:
 
     An unreadable name or cycle fails the query; ``strict=False`` drops it.
     """
+    items = items.drop("name")
     parsed = items.filter(F.col("kind") == "chunk").select(
         "*", names.parse_chunk_name(F.col("path")).alias("parsed")
     )
@@ -249,7 +250,7 @@ def part_order(name: Column) -> Column:
 def equal_parts(members: DataFrame) -> DataFrame:
     """Scenes with two different files of the same kind and number, with an error text."""
     name = F.col("name")
-    counted = members.groupBy("scene_id", part_order(name).alias("part_order")).agg(
+    counted = members.filter(names.is_chunk(name)).groupBy("scene_id", part_order(name).alias("part_order")).agg(
         F.min(names.item_name(name)).alias("first_name"),
         F.max(names.item_name(name)).alias("last_name"),
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +30,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship(spark: SparkSession, *packages: ModuleType) -> None:
+    """Send packages to the Python workers, once per application, so that tasks can import them."""
+    for package in packages:
+        key = (spark.sparkContext.applicationId, package.__name__)
+        if key in _shipped:
+            continue
+        root = Path(package.__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="ship-")) / package.__name__
+        archive = shutil.make_archive(str(base), "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(key)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -37,6 +37,7 @@ TABLES: dict[str, dict[str, str]] = {
         "warm_slope": "double", "warm_offset": "double",
         **{name: "double" for name in CONVERSION_CONSTANTS},
     },
+    "members": {"name": "string"},
     "errors": {"error": "string"},
 }
 KEY = {"scene_id": "string", "part_order": "bigint"}
@@ -72,6 +73,7 @@ class Decoded:
     time_rows: DataFrame
     platform_rows: DataFrame
     calib_rows: DataFrame
+    members: DataFrame
     errors: DataFrame
 
 
@@ -94,6 +96,7 @@ def decode_chunks(
             size = 0
             for index in range(batch.num_rows):
                 scene, part, name, content = (column[index].as_py() for column in batch.columns)
+                pending.append(tagged("members", scene, part, {"name": [name]}))
                 try:
                     for table, columns in decoder(name, content, wanted):
                         pending.append(tagged(table, scene, part, columns))

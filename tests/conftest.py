@@ -22,5 +22,6 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .getOrCreate()
     )
+    session.sparkContext.addPyFile(str(Path(__file__).with_name("small_scene.py")))
     yield configure(session)
     session.stop()

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbitlake.session import configure
+import orbitlake
+from orbitlake.session import configure, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +18,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark, orbitlake, sys.modules["workload"])
             return function(configure(spark), sf_dir)
 
         if name in QUERIES:

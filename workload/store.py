@@ -185,6 +185,11 @@ def decoded_tables(spark, sf) -> Decoded:
         "time_rows": times,
         "platform_rows": times,
         "calib_rows": calibration,
+        "members": scan.select(
+            "scene_id",
+            "part_order",
+            F.concat(F.lit("FCI-1C-RRAD-FDHSI-CHK-BODY-"), "part_order", F.lit(".nc")).alias("name"),
+        ),
         "errors": scan.select("scene_id", "part_order", F.lit("").alias("error")).limit(0),
     }
     return Decoded(**{n: found[n].select(*schema_of(n).fieldNames()) for n in TABLES})
