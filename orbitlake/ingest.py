@@ -12,7 +12,7 @@ from orbitlake.functions import names
 from orbitlake.operators import coverage, rasters, scenes, slot_values
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.plans.joins import lookup_join
+from orbitlake.plans.joins import keep_matching, lookup_join
 from orbitlake.plans.variables import declared_attributes, select_variables
 from orbitlake.session import configure, staged
 from orbitlake.sources import cube as store
@@ -246,7 +246,7 @@ def write_slot_table(
     if existing is not None:
         fresh = staged(fresh, table)
         days = fresh.select(*store.DAY_PARTITIONS).distinct()
-        current = existing.join(F.broadcast(days), list(store.DAY_PARTITIONS), "left_semi")
+        current = keep_matching(existing, days, store.DAY_PARTITIONS)
         fresh = staged(store.merge_rows(current, fresh, keys), table)
     store.write_days(fresh, path, table)
 

@@ -32,9 +32,9 @@ def layout_of(stored: DataFrame) -> DataFrame:
 def common_names(declared: DataFrame, group: str = "group") -> DataFrame:
     """Names declared in every group: the intersection, as a count of groups per name."""
     pairs = declared.select(group, "variable").distinct()
-    groups = pairs.select(group).distinct().agg(F.count("*").alias("n_groups"))
+    n_groups = pairs.select(group).distinct().agg(F.count("*"))
     per_name = pairs.groupBy("variable").agg(F.count("*").alias("n"))
-    return per_name.join(F.broadcast(groups)).filter(F.col("n") == F.col("n_groups")).select("variable")
+    return per_name.filter(F.col("n") == n_groups.scalar()).select("variable")
 
 
 def missing_names(declared: DataFrame, present: DataFrame) -> DataFrame:

@@ -46,11 +46,12 @@ def foreign_summary(items: DataFrame, product_type: str) -> DataFrame:
     """Number of foreign items and the first three names; the sample is a top-k, never a full list."""
     foreign = foreign_items(items, product_type).select("name")
     sample = foreign.orderBy("name").limit(SAMPLE)
-    shown = sample.agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("shown"))
+    shown = sample.agg(F.array_join(F.sort_array(F.collect_list("name")), ", "))
     total = foreign.agg(F.count("*").alias("n_foreign"))
-    # Two one-row aggregates side by side.
-    return total.join(F.broadcast(shown)).withColumn(
-        "more", F.greatest(F.col("n_foreign") - SAMPLE, F.lit(0))
+    return total.select(
+        "n_foreign",
+        shown.scalar().alias("shown"),
+        F.greatest(F.col("n_foreign") - SAMPLE, F.lit(0)).alias("more"),
     )
 
 

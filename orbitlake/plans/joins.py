@@ -36,3 +36,12 @@ def lookup_join(
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def keep_matching(
+    df: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows whose key occurs in ``keys``; a broadcast key set of checked size prunes partitions."""
+    if fits_broadcast(keys, max_rows):
+        keys = F.broadcast(keys)
+    return df.join(keys, list(on), "left_semi")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.plans.joins import lookup_join
+from orbitlake.plans.joins import keep_matching, lookup_join
 from orbitlake.session import literal_table, staged
 
 PARTITIONS = ("product_type", "resolution", "slot")
@@ -137,7 +137,7 @@ def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = R
 
 def touched_slots(existing: DataFrame, slots: DataFrame) -> DataFrame:
     """Existing rows of the given slots; slot keys are partition columns, so others are not read."""
-    return existing.join(F.broadcast(slots), list(SLOT_KEYS), "left_semi")
+    return keep_matching(existing, slots, SLOT_KEYS)
 
 
 def merge_into(
@@ -220,7 +220,7 @@ def select_time(spark: SparkSession, path: str, df: DataFrame, when: str) -> Dat
     """Rows of the slot with the given time label."""
     label = F.lit(datetime.datetime.fromisoformat(when)).cast("timestamp_ntz")
     slot = spark.read.parquet(f"{path}/slot_meta").filter(F.col("time") == label)
-    return df.join(F.broadcast(slot.select(*SLOT_KEYS)), list(SLOT_KEYS), "left_semi")
+    return keep_matching(df, slot.select(*SLOT_KEYS), SLOT_KEYS)
 
 
 # --- resume -----------------------------------------------------------------

@@ -2,37 +2,48 @@
 
 import pytest
 import small_scene as s
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from orbitlake import ConfigurationError, CubeConfig
 from orbitlake.ingest import ingest
-from orbitlake.operators import audit, diff
+from orbitlake.operators import audit, diff, rasters
 from orbitlake.plans.variables import group_name
-from orbitlake.sources import cube
+from orbitlake.sources import cube, grids
 
 PIXEL = ("counts", "pixel_quality", "pixel_time")
 EPOCH = "2024-01-01"
 
 
-@pytest.fixture(autouse=True)
-def small_grid(monkeypatch):
-    s.shrink(monkeypatch)
+@pytest.fixture(autouse=True, scope="module")
+def small_grid():
+    with pytest.MonkeyPatch.context() as patch:
+        s.shrink(patch)
+        yield
 
 
 def run(spark, source, path, **options):
     split = {k: options.pop(k) for k in ("write_mode", "existing") if k in options}
-    config = CubeConfig("FDHSI", time_epoch=EPOCH, include_geolocation=False, **options)
+    options = {"include_geolocation": False, **options}
+    config = CubeConfig("FDHSI", time_epoch=EPOCH, **options)
     return ingest(spark, str(source), config, str(path), s.decoder, **split)
 
 
+@pytest.fixture(scope="module")
+def full(spark, tmp_path_factory, small_grid):
+    """A cube of one complete scene, with geolocation; tests only read it."""
+    path = tmp_path_factory.mktemp("full")
+    metrics = run(spark, s.write_parts(path / "in", (3, 1, 2)), path / "cube", include_geolocation=True)
+    assert metrics == {"files_processed": 1, "files_failed": 0, "count": 1}
+    return path / "cube"
+
+
 def scan(spark, path, **where):
     return cube.read_cube(spark, str(path), **where)
 
 
-def test_full_scene(spark, tmp_path):
-    metrics = run(spark, s.write_parts(tmp_path / "in", (1, 2, 3)), tmp_path / "cube")
-    assert metrics == {"files_processed": 1, "files_failed": 0, "count": 1}
-    rows = scan(spark, tmp_path / "cube").collect()
+def test_full_scene(spark, full):
+    rows = scan(spark, full).collect()
     assert len(rows) == 2 * 24 + 12
     for r in rows:
         size = {"1km": 24, "2km": 12}[r.resolution]
@@ -44,26 +55,39 @@ def test_full_scene(spark, tmp_path):
         index = s.index_of(number, r.y, size)
         last = max(n for n in (1, 2, 3) if index in s.indices(n))
         assert r.pixel_time == [100.0 * index + last] * size
-    meta = spark.read.parquet(f"{tmp_path}/cube/slot_meta").collect()
+    meta = spark.read.parquet(f"{full}/slot_meta").collect()
     assert {m.resolution for m in meta} == {"1km", "2km"}
     assert meta[0].subsatellite_latitude == pytest.approx(10 + 5.5)
     assert meta[0].sun_earth_distance == pytest.approx(0.9833, abs=1e-3)
     calibration = {
         (r.channel): (r.slope, r.offset, r.warm_slope)
-        for r in spark.read.parquet(f"{tmp_path}/cube/slot_channel").collect()
+        for r in spark.read.parquet(f"{full}/slot_channel").collect()
     }
     assert calibration == {"vis_04": (1.0, 0.0, None), "vis_06": (2.0, 1.0, None), "ir_38": (1.0, 0.0, None)}
+    geo = {r.resolution: (r.lines, r.total) for r in grids.geo_info(spark.read.parquet(f"{full}/geo")).collect()}
+    assert geo == {"1km": (24, 24 * 24), "2km": (12, 12 * 12)}
+    wide = rasters.attach_geo(scan(spark, full), spark.read.parquet(f"{full}/geo"))
+    assert wide.filter(F.size("latitude") == F.size("counts")).count() == 60
+
+
+def test_zip_and_loose_chunks_give_the_same_cube(spark, full, tmp_path):
+    run(spark, s.zip_parts(tmp_path / "zip", (2, 3, 1)), tmp_path / "cube")
+    assert diff.equal_cubes(scan(spark, full), scan(spark, tmp_path / "cube"), PIXEL)
 
 
-def test_zip_and_loose_chunks_give_the_same_cube(spark, tmp_path):
-    run(spark, s.write_parts(tmp_path / "loose", (3, 1, 2)), tmp_path / "a")
-    run(spark, s.zip_parts(tmp_path / "zip", (2, 3, 1)), tmp_path / "b")
-    assert diff.equal_cubes(scan(spark, tmp_path / "a"), scan(spark, tmp_path / "b"), PIXEL)
+def test_export_geo(spark, tmp_path):
+    path = str(tmp_path / "geo")
+    grids.export_geo(spark, ["1km", "2km"], path)
+    found = {r.resolution: r.total for r in grids.geo_info(spark.read.parquet(path)).collect()}
+    assert found == {"1km": 24 * 24, "2km": 12 * 12}
+    with pytest.raises(AnalysisException):
+        grids.export_geo(spark, ["2km"], path)
+    with pytest.raises(ConfigurationError, match="unknown resolutions"):
+        grids.export_geo(spark, ["9km"], path, overwrite=True)
 
 
 @pytest.mark.parametrize("existing", ["force", "resume"])
-def test_late_part_completes_the_slot(spark, tmp_path, existing):
-    run(spark, s.write_parts(tmp_path / "all", (1, 2, 3)), tmp_path / "full")
+def test_late_part_completes_the_slot(spark, full, tmp_path, existing):
     run(spark, s.write_parts(tmp_path / "first", (2, 3)), tmp_path / "cube")
     before = scan(spark, tmp_path / "cube").toPandas()
     late = s.write_parts(tmp_path / "late", (1,))
@@ -72,21 +96,20 @@ def test_late_part_completes_the_slot(spark, tmp_path, existing):
     assert len(scan(spark, tmp_path / "cube").toPandas()) == len(before) == 40
     run(spark, late, tmp_path / "cube", existing=existing)
 
-    full, now = scan(spark, tmp_path / "full"), scan(spark, tmp_path / "cube")
-    assert diff.equal_cubes(full, now, ["counts", "pixel_quality"])
+    want, now = scan(spark, full), scan(spark, tmp_path / "cube")
+    assert diff.equal_cubes(want, now, ["counts", "pixel_quality"])
     # Only the last row of part 1 differs: chunk 2 wins its index in the full input.
-    times = diff.cube_diff(full, now, ["pixel_time"]).first()
+    times = diff.cube_diff(want, now, ["pixel_time"]).first()
     assert (times.only_a, times.only_b, times.differing) == (0, 0, 3)
     meta = spark.read.parquet(f"{tmp_path}/cube/slot_meta").first()
     assert meta.subsatellite_latitude == pytest.approx(10 + 2.5)
 
 
-def test_repeated_ingest_changes_nothing(spark, tmp_path):
+def test_repeated_ingest_changes_nothing(spark, full, tmp_path):
     source = s.write_parts(tmp_path / "in", (1, 2, 3))
     run(spark, source, tmp_path / "cube")
-    run(spark, source, tmp_path / "once")
     run(spark, source, tmp_path / "cube", existing="force")
-    assert diff.equal_cubes(scan(spark, tmp_path / "once"), scan(spark, tmp_path / "cube"), PIXEL)
+    assert diff.equal_cubes(scan(spark, full), scan(spark, tmp_path / "cube"), PIXEL)
     assert spark.read.parquet(f"{tmp_path}/cube/ingest_log").count() == 2
 
 
@@ -100,9 +123,8 @@ def test_partial_scenes_are_refused_where_they_must_be(spark, tmp_path):
         assert cube.open_table(spark, str(tmp_path / path), "scanlines") is None
 
 
-def test_stripe_holds_its_rows_of_the_full_disk(spark, tmp_path):
+def test_stripe_holds_its_rows_of_the_full_disk(spark, full, tmp_path):
     source = s.write_parts(tmp_path / "in", (1, 2, 3))
-    run(spark, source, tmp_path / "full")
     run(spark, source, tmp_path / "stripe", body_chunks=(2, 2))
     stripe = scan(spark, tmp_path / "stripe")
     rows = {r.resolution: (r.a, r.z) for r in stripe.groupBy("resolution").agg(F.min("y").alias("a"), F.max("y").alias("z")).collect()}
@@ -110,7 +132,7 @@ def test_stripe_holds_its_rows_of_the_full_disk(spark, tmp_path):
     window = ((F.col("resolution") == "1km") & F.col("y").between(6, 17)) | (
         (F.col("resolution") == "2km") & F.col("y").between(3, 8)
     )
-    assert diff.equal_cubes(scan(spark, tmp_path / "full").filter(window), stripe, PIXEL)
+    assert diff.equal_cubes(scan(spark, full).filter(window), stripe, PIXEL)
     with pytest.raises(ConfigurationError, match="stripe is 'stripe_c2_2', not None"):
         run(spark, source, tmp_path / "stripe", existing="force")
     y = spark.read.parquet(f"{tmp_path}/stripe/axis_y").groupBy("resolution").count().collect()

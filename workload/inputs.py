@@ -7,6 +7,7 @@ import json
 import zipfile
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orbitlake.functions import fills, names
@@ -232,11 +233,10 @@ def _positions(numbered):
         F.col("id").bitwiseAND((1 << 33) - 1).alias("place"),
     )
     sizes = numbered.groupBy("piece").agg(F.count("*").alias("n"))
-    earlier = sizes.alias("a").join(
-        sizes.alias("b"), F.col("b.piece") < F.col("a.piece"), "left"
-    )
-    offsets = earlier.groupBy("a.piece").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
-    return numbered.join(F.broadcast(offsets), "piece").select(
+    # One row per sorted partition, so the running total is short.
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return numbered.join(offsets, "piece").select(
         "scene_id", (F.col("offset") + F.col("place") + 1).alias("position")
     )
 
