@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import workload  # noqa: E402 - needs the path above
+from orbitlake.constants import DUAL_GAIN_CHANNELS  # noqa: E402
 from orbitlake.functions.radiometry import calibrated_row  # noqa: E402
 from orbitlake.operators import rasters  # noqa: E402
 from orbitlake.session import configure, scratch_path  # noqa: E402
@@ -59,7 +60,7 @@ def wide_scanlines(spark: SparkSession) -> DataFrame:
     return t.read(spark, SF_DIR, "lineitem").select(
         F.pmod("l_suppkey", F.lit(10)).alias("scene_id"),
         F.col("l_orderkey").cast("int").alias("y"),
-        F.lit("ir_38").alias("nc_channel"),
+        F.when(F.col("l_suppkey") % 16 == 0, "ir_38").otherwise("wv_63").alias("nc_channel"),
         row(7, 8192, "int").alias("counts"),
         row(3, 256, "smallint").alias("quality"),
         row(1, 500, "int").alias("index_map"),
@@ -72,8 +73,9 @@ def scanline_stage(spark: SparkSession, path: str) -> tuple[float, int]:
     start = time.time()
     luts = rasters.time_lut(rasters.time_map(t.time_rows(spark, SF_DIR)))
     timed = rasters.attach_time_lut(scan, luts)
+    dual_gain = F.col("nc_channel").isin(*DUAL_GAIN_CHANNELS)
     radiance = calibrated_row(
-        F.col("counts"), F.lit(True), F.lit(0.0012), F.lit(-0.25), F.lit(0.0242), F.lit(-94.4)
+        F.col("counts"), dual_gain, F.lit(0.0012), F.lit(-0.25), F.lit(0.0242), F.lit(-94.4)
     )
     run(
         timed.select(

@@ -81,5 +81,14 @@ def radiance_row(counts: Column, slope: Column, offset: Column) -> Column:
     return row_of(radiance, counts, slope, offset)
 
 
-def calibrated_row(counts: Column, *calibration: Column) -> Column:
-    return row_of(calibrated, counts, *calibration)
+def calibrated_row(
+    counts: Column,
+    dual_gain: Column,
+    slope: Column,
+    offset: Column,
+    warm_slope: Column,
+    warm_offset: Column,
+) -> Column:
+    """Radiance of a scanline of any channel; the gain is chosen per pixel only where there are two."""
+    both = row_of(radiance_dual_gain, counts, slope, offset, warm_slope, warm_offset)
+    return F.when(dual_gain, both).otherwise(radiance_row(counts, slope, offset))

@@ -151,7 +151,8 @@ def build_scanlines(
     if runs is not None:
         scan = drop_superseded(scan, runs)
     if config.include_pixel_time:
-        luts = rasters.time_lut(rasters.time_map(decoded.time_rows))
+        times = rasters.time_map(decoded.time_rows)
+        luts = rasters.time_lut(times, config.pixel_time_dtype)
         scan = rasters.attach_time_lut(scan, luts)
     return select_variables(scan, "scanlines", config, channels)
 

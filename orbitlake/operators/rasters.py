@@ -50,12 +50,15 @@ def usable_index(index: Column) -> Column:
     return (index >= 0) & (index < INDEX_FILL)
 
 
-def time_lut(times: DataFrame) -> DataFrame:
+def time_lut(times: DataFrame, dtype: str = "float64") -> DataFrame:
     """A time map as one array per scene, position = index, NULL where an index is unmapped.
 
-    Indices are 16-bit, so an array has at most 65,535 elements.
+    Indices are 16-bit, so an array has at most 65,535 elements. Times take their storage type here,
+    once per index, so that a pixel only looks its value up.
     """
-    known = times.filter(usable_index(F.col("idx")))
+    known = times.filter(usable_index(F.col("idx"))).withColumn(
+        "time_s", pixel_time_as(F.col("time_s"), dtype)
+    )
     dense = (
         known.groupBy("scene_id")
         .agg(F.max("idx").alias("last"))
@@ -83,9 +86,9 @@ def attach_time_lut(
     return lookup_join(scan, luts, ["scene_id"], ["y", "nc_channel"], max_rows=max_scenes)
 
 
-def expand_scanline_time(index_map: Column, lut: Column, dtype: str = "float64") -> Column:
+def expand_scanline_time(index_map: Column, lut: Column) -> Column:
     """Scanline form: the time of every pixel of a row, by position in the scene's array."""
-    return F.transform(index_map, lambda i: pixel_time_as(F.get(lut, i), dtype))
+    return F.transform(index_map, lambda i: F.get(lut, i))
 
 
 def platform_means(platform_rows: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def _axis(config: CubeConfig) -> Column:
 
 
 def _pixel_time(config: CubeConfig) -> Column:
-    return expand_scanline_time(F.col("index_map"), F.col("lut"), config.pixel_time_dtype)
+    return expand_scanline_time(F.col("index_map"), F.col("lut"))
 
 
 def _conversion(name: str, units: str, text: str) -> Variable:

@@ -51,6 +51,15 @@ def test_index_misses_are_null(spark):
     assert sorted(r.time_s for r in got.collect()) == [0.0, 10.5, 20.25]
 
 
+@pytest.mark.parametrize(
+    ("dtype", "expected"),
+    [("float64", [1.75, None]), ("float32", [1.75, None]), ("int32", [1, None]), ("int64", [1, None])],
+)
+def test_time_arrays_take_the_storage_type(spark, dtype, expected):
+    mapped = rasters.time_map(times(spark, (1, 0, 0, 1.75), (1, 1, 1, float("nan"))))
+    assert rasters.time_lut(mapped, dtype).first().lut == expected
+
+
 def test_lookup_join_paths_agree(spark):
     big = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
     small = spark.range(0, 1000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
