@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 from types import ModuleType
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,20 +29,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_shipped: set[tuple[str, str]] = set()
+def ship(*packages: ModuleType) -> None:
+    """Send the code of these packages along with every task that uses it.
 
-
-def ship(spark: SparkSession, *packages: ModuleType) -> None:
-    """Send packages to the Python workers, once per application, so that tasks can import them."""
+    For sessions whose Python workers do not have the packages installed.
+    """
     for package in packages:
-        key = (spark.sparkContext.applicationId, package.__name__)
-        if key in _shipped:
-            continue
-        root = Path(package.__file__).resolve().parent
-        base = Path(tempfile.mkdtemp(prefix="ship-")) / package.__name__
-        archive = shutil.make_archive(str(base), "zip", root.parent, root.name)
-        spark.sparkContext.addPyFile(archive)
-        _shipped.add(key)
+        cloudpickle.register_pickle_by_value(package)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

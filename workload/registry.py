@@ -18,7 +18,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark, orbitlake, sys.modules["workload"])
+            ship(orbitlake, sys.modules["workload"])
             return function(configure(spark), sf_dir)
 
         if name in QUERIES:
