@@ -14,7 +14,7 @@ from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
 from orbitlake.plans.joins import keep_matching, lookup_join
 from orbitlake.plans.variables import declared_attributes, select_variables
-from orbitlake.session import configure, staged
+from orbitlake.session import configure, setting, staged
 from orbitlake.sources import cube as store
 from orbitlake.sources import grids
 from orbitlake.sources.archives import unpack_archives
@@ -24,6 +24,8 @@ from orbitlake.sources.files import list_inputs
 EXISTING = ("error", "resume", "force")
 WRITE_MODES = ("direct", "staged")
 SHOWN = 3
+# Whole files travel to the decoder, so a batch holds few of them.
+FILES_PER_BATCH = "4"
 
 
 def read_scenes(
@@ -52,20 +54,21 @@ def read_scenes(
     unpacked = unpack_archives(archives.repartition(F.col("path"))).select(
         F.col("archive").alias("scene_id"), "name", "content", "error"
     )
-    member = found.filter(F.col("kind") == "bundle").select(
-        "scene_id", F.explode("members.path").alias("path")
-    )
-    # The listing side of the join is names only; contents are read by the scan that decodes them.
-    loose = (
-        list_inputs(spark, source, filters, content=True)
-        .join(member, "path")
-        .select("scene_id", "name", "content", F.lit(None).cast("string").alias("error"))
+    # The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
+    contents = scenes.classify_items(list_inputs(spark, source, filters, content=True))
+    loose = scenes.parse_chunks(contents).select(
+        names.scene_uri(F.col("product_type"), F.col("coordinate")).alias("scene_id"),
+        "name",
+        "content",
+        F.lit(None).cast("string").alias("error"),
     )
     files = unpacked.unionByName(loose)
     chunks = files.filter(names.is_chunk(F.col("name")) | F.col("error").isNotNull())
     ordered = chunks.withColumn("part_order", scenes.part_order(F.col("name")))
-    tagged = decode_chunks(ordered, _failing_archives(decoder), wanted)
-    return found, read_decoded(spark, write_decoded(tagged))
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", FILES_PER_BATCH):
+        tagged = decode_chunks(ordered, _failing_archives(decoder), wanted)
+        path = write_decoded(tagged)
+    return found, read_decoded(spark, path)
 
 
 def _failing_archives(decoder: Decoder) -> Decoder:
