@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orbitlake.session import scratch_path, staged
 
-__all__ = ["components", "drop_path", "fresh", "held_out", "read", "running_total", "staged"]
+__all__ = ["bitmap", "components", "drop_path", "fresh", "held_out", "read", "running_total", "staged"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +35,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bitmap(hashes: DataFrame, column: str, size: int) -> np.ndarray:
+    """Which of ``size`` slots the hashes of a column fall into, eight to a byte.
+
+    Its size is fixed however many rows there are; the driver gets one row per 64 slots at most.
+    ``size`` is a power of two.
+    """
+    slot = F.pmod(column, F.lit(size))
+    cells = hashes.select(slot.alias("slot")).select(
+        F.shiftright("slot", 6).cast("int").alias("cell"),
+        F.expr("shiftleft(1L, cast(pmod(slot, 64) as int))").alias("bit"),
+    )
+    cells = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    found = np.zeros(size // 64, np.int64)
+    found[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return found.view(np.uint8)
+
+
 def running_total(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     """Add ``before`` and ``total``: the sum of ``value`` ahead of a row, and over all its key.
 
@@ -47,7 +65,8 @@ def running_total(df: DataFrame, by: list[str], order: list[str], value: str) ->
     ranked = staged(ranked, "running")
     here = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
     sums = ranked.groupBy(*by, "_pid").agg(F.sum(value).alias("_sum"))
-    whole = Window.partitionBy(*by)
+    # Each window holds at most one row per partition of the table.
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     ahead = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     sums = staged(
         sums.select(

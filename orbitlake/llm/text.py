@@ -115,3 +115,9 @@ def ngrams(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray,
     room = np.repeat(first[1:], np.diff(first))[:count] - np.arange(count)
     at = np.flatnonzero(room >= size)
     return mix(rolled[at] + np.uint64(size)), at
+
+
+def marked(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """True for hashes whose slot is set in a bitmap of :func:`orbitlake.llm.tables.bitmap`."""
+    slot = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 != 0
