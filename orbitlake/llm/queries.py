@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import orbitlake
+from orbitlake.llm.decontaminate import contamination
+from orbitlake.llm.kneser_ney import lm_scores
+from orbitlake.llm.licenses import license_report
+from orbitlake.llm.mixing import mixture
+from orbitlake.llm.quality import quality_scores
 from orbitlake.llm.simhash import simhash_groups
+from orbitlake.llm.suffixes import removal_report
 from orbitlake.llm.tables import read
+from orbitlake.llm.toxicity import toxicity_scores
+from orbitlake.llm.urls import url_verdicts
+from orbitlake.llm.vectors import vector_groups
 from orbitlake.session import configure, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +47,48 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op7_simhash_pivots")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"))
+
+
+@query("op1_toxicity_cnn")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op2_decontaminate_prefix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op3_kneser_ney")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read(spark, sf_dir, "documents"))
+
+
+@query("op4_mix_systematic")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_pu")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_embeddings_pca")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(read(spark, sf_dir, "embeddings"))
+
+
+@query("op8_url_trust")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read(spark, sf_dir, "pages"))
+
+
+@query("op9_license_fuzzy")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(read(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(read(spark, sf_dir, "documents"))
