@@ -35,9 +35,9 @@ WIDTH = REACH + LENGTH
 BITMAP_BITS = 1 << 26
 #: Distinct segments of one anchor that one task compares; more are compared in chunks whose
 #: remaining strings meet in a join.
-CHUNK = 1 << 15
+CHUNK = 1 << 14
 #: Segments that are sorted together; bounds a task's memory.
-BATCH = 1 << 16
+BATCH = 1 << 14
 
 _POSITION = np.uint64((1 << 30) - 1)
 
@@ -157,12 +157,13 @@ def shared_columns(group: np.ndarray, texts: list[bytes], before: np.ndarray) ->
         # One file per batch, column after column; symbol 0 stands beyond a document's ends.
         table = np.zeros((WIDTH, count), np.uint16)
         flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
-        row = np.repeat(np.arange(count), sizes)
         starts = np.cumsum(sizes) - sizes
-        column = np.arange(len(flat)) - np.repeat(starts, sizes) + np.repeat(REACH - before, sizes)
-        table[column, row] = flat
+        for row, (at, size, column) in enumerate(
+            zip(starts.tolist(), sizes.tolist(), (REACH - before).tolist())
+        ):
+            table[column : column + size, row] = flat[at : at + size]
         table.tofile(file)
-        del table, flat, row, column
+        del table, flat
 
         order = np.arange(count)
         prefix = np.zeros(count, np.int16)  # common with the segment ahead in the order

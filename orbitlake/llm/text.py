@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are worked on in slices of about this many bytes, always whole documents.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 #: Bytes of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing: digits, a-z, all of non-ASCII.
