@@ -217,7 +217,8 @@ def _feature_rows(docs: DataFrame, limit: int) -> np.ndarray:
             )
 
     found = docs.select("text").mapInArrow(run, "row binary").limit(limit).toArrow()
-    raw = b"".join(found.column("row").to_pylist())
+    # Rows arrive in any order; training must not depend on it.
+    raw = b"".join(sorted(found.column("row").to_pylist()))
     return np.frombuffer(raw, np.float32).reshape(-1, N_FEATURES)
 
 
