@@ -58,7 +58,8 @@ def judged_pages(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
     parts = pages.select(
         "page_id", url_part(F.col("url"), 1).alias("host"), url_part(F.col("url"), 2).alias("path")
     )
-    hosts = host_rules(parts.select("host").distinct(), rules)
+    # A table of its own, so that the join can split the pages of a host that has most of them.
+    hosts = staged(host_rules(parts.select("host").distinct(), rules), "hostrules")
     joined = parts.join(hosts, "host", "left")
     fits = F.filter("rules", lambda r: F.col("path").startswith(r["path"]))
     ranked = F.transform(
@@ -141,5 +142,6 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
         return F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
 
     hosts = ranks.groupBy("host").agg((rank("distrust") > rank("trust") * RATIO).alias("bad"))
+    hosts = staged(hosts, "hosts")
     verdict = F.when(F.col("ruled").isNotNull(), F.col("ruled")).when(F.col("bad"), "block").otherwise("allow")
     return judged.join(hosts, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
