@@ -10,6 +10,9 @@ FDHSI = "FDHSI"
 HRFI = "HRFI"
 PRODUCT_TYPES = (FDHSI, HRFI)
 
+# Resolutions of each product in the order of its file.
+RESOLUTIONS = {FDHSI: ("1km", "2km"), HRFI: ("500m", "1km")}
+
 # Channels per product and resolution as (logical name, name inside the file).
 CHANNELS = {
     (FDHSI, "1km"): [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,6 @@ from orbitlake.functions import names
 from orbitlake.operators import coverage, rasters, scenes, slot_values
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.plans.joins import keep_matching, lookup_join
 from orbitlake.plans.variables import declared_attributes, select_variables
 from orbitlake.session import configure, setting, staged
 from orbitlake.sources import cube as store
@@ -50,12 +50,20 @@ def read_scenes(
         for _channel, nc_channel in members
     }
 
+    # A local archive is opened in place, member by member; others come through Spark's file systems.
     archives = found.filter(F.col("kind") == "zip").select(F.col("scene_id").alias("path"))
-    unpacked = unpack_archives(archives.repartition(F.col("path"))).select(
-        F.col("archive").alias("scene_id"), "name", "content", "error"
+    local = F.col("path").startswith("file:")
+    remote = scenes.classify_items(
+        list_inputs(spark, source, filters, content=True, pattern="*.zip")
+    ).filter((F.col("kind") == "zip") & ~local)
+    unpacked = unpack_archives(archives.filter(local).repartition(F.col("path"))).unionByName(
+        unpack_archives(remote)
     )
+    unpacked = unpacked.select(F.col("archive").alias("scene_id"), "name", "content", "error")
     # The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
-    contents = scenes.classify_items(list_inputs(spark, source, filters, content=True))
+    contents = scenes.classify_items(
+        list_inputs(spark, source, filters, content=True, pattern="*.nc")
+    )
     loose = scenes.parse_chunks(contents).select(
         names.scene_uri(F.col("product_type"), F.col("coordinate")).alias("scene_id"),
         "name",
@@ -83,23 +91,34 @@ def _failing_archives(decoder: Decoder) -> Decoder:
 
 
 def scene_problems(found: DataFrame, decoded: Decoded, parts: DataFrame, config: CubeConfig) -> DataFrame:
-    """First error of each scene that cannot be written: undecodable files, bad or overlapping rows."""
-    text = F.min("error").alias("error")
-    files = decoded.errors.groupBy("scene_id").agg(text)
-    overlaps = coverage.overlap_guard(parts).groupBy("scene_id").agg(
-        F.min(F.concat("problem", F.lit(" part rows at "), F.col("row").cast("string"))).alias("error")
-    )
-    problems = files.unionByName(overlaps)
-    empty = (
-        found.select("scene_id")
-        .join(decoded.chunk_rows.select("scene_id").distinct(), "scene_id", "left_anti")
-        .withColumn("error", F.lit("no chunk could be read"))
-    )
-    problems = problems.unionByName(empty).unionByName(scenes.equal_parts(decoded.members))
+    """The foremost error of each scene that cannot be written.
+
+    Coverage comes first: rows that overlap or are not those of their chunk, then parts that claim
+    one number, then files that cannot be read, then scenes without any chunk.
+    """
+    overlap = F.concat("problem", F.lit(" part rows at "), F.col("row").cast("string"))
+    causes = [coverage.overlap_guard(parts).select("scene_id", overlap.alias("error"))]
     if config.body_chunks is not None:
         checked = coverage.check_body_rows(parts).filter(F.col("error").isNotNull())
-        problems = problems.unionByName(checked.groupBy("scene_id").agg(text))
-    return problems.groupBy("scene_id").agg(text)
+        causes.append(checked.select("scene_id", "error"))
+    causes.append(scenes.equal_parts(decoded.members).select("scene_id", "error"))
+    causes.append(decoded.errors.select("scene_id", "error"))
+    unread = found.select("scene_id").join(
+        decoded.chunk_rows.select("scene_id").distinct(), "scene_id", "left_anti"
+    )
+    causes.append(unread.withColumn("error", F.lit("no chunk could be read")))
+    return first_cause(causes)
+
+
+def first_cause(causes: list[DataFrame]) -> DataFrame:
+    """One error per scene out of tables (scene_id, error) in order of precedence."""
+    ranked = [
+        cause.groupBy("scene_id").agg(F.min("error").alias("error")).withColumn("rank", F.lit(rank))
+        for rank, cause in enumerate(causes)
+    ]
+    return reduce(DataFrame.unionByName, ranked).groupBy("scene_id").agg(
+        F.min_by("error", "rank").alias("error")
+    )
 
 
 def check_coverage(parts: DataFrame, config: CubeConfig, write_mode: str) -> None:
@@ -110,11 +129,9 @@ def check_coverage(parts: DataFrame, config: CubeConfig, write_mode: str) -> Non
         raise ConfigurationError("; ".join(f"{row.scene_id}: {row.error}" for row in shown))
 
 
-def superseding_runs(found: DataFrame, parts: DataFrame) -> DataFrame | None:
-    """Row runs of scenes that share a slot with another scene; None when no slot is shared."""
+def superseding_runs(found: DataFrame, parts: DataFrame) -> DataFrame:
+    """Row runs of scenes that share a slot with another scene."""
     shared = found.groupBy("slot").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    if shared.isEmpty():
-        return None
     runs = coverage.tile_runs(parts).join(
         found.join(shared, "slot", "left_semi").select("scene_id", "slot"), "scene_id"
     )
@@ -136,23 +153,22 @@ def drop_superseded(scan: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def build_scanlines(
-    found: DataFrame,
+    groups: DataFrame,
     decoded: Decoded,
     parts: DataFrame,
     plan: DataFrame,
     config: CubeConfig,
     channels: list[str],
 ) -> DataFrame:
-    """Scanlines of the given scenes with the variables the configuration asks for.
+    """Scanlines of the given groups with the variables the configuration asks for.
 
-    Where several scenes of a run share a slot, the later one by name wins a row.
+    Where several scenes of a run share a slot, the later one by name wins a row. Stored fill
+    becomes NULL.
     """
-    scan = rasters.assemble(decoded.scan_in, plan)
-    slot_of = found.select("scene_id", "slot")
-    scan = lookup_join(scan, slot_of, ["scene_id"], ["y", "nc_channel"], how="inner")
-    runs = superseding_runs(found, parts)
-    if runs is not None:
-        scan = drop_superseded(scan, runs)
+    scan = rasters.mask_counts(rasters.assemble(decoded.scan_in, plan))
+    scan = scan.join(groups.select("scene_id", "resolution", "slot"), ["scene_id", "resolution"])
+    runs = superseding_runs(groups.select("scene_id", "slot").distinct(), parts)
+    scan = drop_superseded(scan, runs)
     if config.include_pixel_time:
         times = rasters.time_map(decoded.time_rows)
         luts = rasters.time_lut(times, config.pixel_time_dtype)
@@ -187,25 +203,28 @@ def ingest_decoded(
     found = slot_values.with_slots(found, config.time_epoch, config.slot_count)
     parts = coverage.attach_grid(rasters.parts_of_group(decoded.chunk_rows, plan), config)
 
-    check_coverage(parts, config, write_mode)
+    # A scene with a file that cannot be read fails by itself; its gaps are no fault of the input.
+    failed = decoded.errors.select("scene_id").distinct()
+    check_coverage(parts.join(failed, "scene_id", "left_anti"), config, write_mode)
     problems = scene_problems(found, decoded, parts, config)
     results = staged(found.join(problems, "scene_id", "left"), "results")
     good = results.filter(F.col("error").isNull()).drop("error")
 
-    present = store.open_table(spark, path, "slot_meta")
-    if present is not None and existing == "error":
-        store.refuse_existing(good, present)
-
     # A group none of whose parts meets its window gets no rows and no per-slot values.
     groups = coverage.clipped(parts).select("scene_id", "product_type", "resolution").distinct()
-    good_groups = groups.join(good.drop("product_type"), "scene_id")
-
-    fresh = good if present is None else store.not_ingested(good, present)
-    known = None if present is None else store.already_ingested(good, present)
+    good_groups = staged(groups.join(good.drop("product_type"), "scene_id"), "groups")
+
+    present = store.present_groups(spark, path, config)
+    if present is not None:
+        present = staged(present, "present")
+        if existing == "error":
+            store.refuse_existing(good_groups, present)
+    fresh = good_groups if present is None else store.not_ingested(good_groups, present)
+    known = None if present is None else store.already_ingested(good_groups, present)
     if write_mode == "staged":
-        fresh, known = good, None
+        fresh, known = good_groups, None
     store.write_cube(build_scanlines(fresh, decoded, parts, plan, config, channels), path, config.flat)
-    if known is not None and not known.isEmpty():
+    if known is not None:
         late = build_scanlines(known, decoded, parts, plan, config, channels)
         store.merge_into(
             spark, late, path, keep_existing=existing == "resume", flat=config.flat
@@ -222,8 +241,9 @@ def ingest_decoded(
         write_slot_table(spark, slot_channel, path, "slot_channel", config, channels)
 
     for name, table in grids.static_tables(spark, config).items():
-        store.write_once(table, path, name)
-    store.write_once(declared_attributes(spark, config, attributes).coalesce(1), path, "attributes")
+        store.write_groups(table, path, name, ["product_type", "resolution"])
+    declared = declared_attributes(spark, config, attributes).coalesce(1)
+    store.write_groups(declared, path, "attributes", ["group"])
     metrics = scenes.run_metrics(results).first().asDict()
     store.log_run(spark, path, config, metrics)
     return metrics
@@ -250,7 +270,7 @@ def write_slot_table(
     if existing is not None:
         fresh = staged(fresh, table)
         days = fresh.select(*store.DAY_PARTITIONS).distinct()
-        current = keep_matching(existing, days, store.DAY_PARTITIONS)
+        current = existing.join(days, list(store.DAY_PARTITIONS), "left_semi")
         fresh = staged(store.merge_rows(current, fresh, keys), table)
     store.write_days(fresh, path, table)
 

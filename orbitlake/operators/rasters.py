@@ -21,12 +21,6 @@ from orbitlake.functions import fills
 from orbitlake.functions.radiometry import quality_bit
 from orbitlake.functions.slots import pixel_time_as
 from orbitlake.plans import catalog
-from orbitlake.plans.joins import lookup_join
-
-# Scenes whose time arrays may be broadcast together: at most 64 Ki doubles, 512 KiB, each.
-LUT_BROADCAST_SCENES = 200
-# Grid rows that may be broadcast: at most 22,272 pairs of floats, 174 KiB, each.
-GEO_BROADCAST_ROWS = 1000
 
 
 def arrival() -> Column:
@@ -69,21 +63,18 @@ def time_lut(times: DataFrame, dtype: str = "float64") -> DataFrame:
     return entries.groupBy("scene_id").agg(ordered["time_s"].alias("lut"))
 
 
-def expand_pixel_time(pixels: DataFrame, times: DataFrame, salt_by: list[str]) -> DataFrame:
+def expand_pixel_time(pixels: DataFrame, times: DataFrame) -> DataFrame:
     """Pixel form: one row per pixel with its ``idx``; adds ``time_s``, NULL for a miss."""
     known = times.filter(usable_index(F.col("idx")))
-    return lookup_join(pixels, known, ["scene_id", "idx"], salt_by)
+    return pixels.join(known, ["scene_id", "idx"], "left")
 
 
-def attach_time_lut(
-    scan: DataFrame, luts: DataFrame, max_scenes: int = LUT_BROADCAST_SCENES
-) -> DataFrame:
+def attach_time_lut(scan: DataFrame, luts: DataFrame) -> DataFrame:
     """Give every scanline the time array of its scene.
 
-    Few scenes are broadcast. Beyond ``max_scenes`` the scanlines are shuffled by scene and a hash
-    of row and channel, so a scene spreads over many tasks instead of filling one.
+    Adaptive execution broadcasts arrays that turn out small, and splits a scene that fills a task.
     """
-    return lookup_join(scan, luts, ["scene_id"], ["y", "nc_channel"], max_rows=max_scenes)
+    return scan.join(luts, "scene_id", "left")
 
 
 def expand_scanline_time(index_map: Column, lut: Column) -> Column:
@@ -114,12 +105,9 @@ CALIBRATION_COLUMNS = ("slope", "offset", "warm_slope", "warm_offset", *CONVERSI
 def calibration_table(calib_rows: DataFrame) -> DataFrame:
     """Calibration per scene and channel: the first part that carries scale and offset."""
     complete = calib_rows.filter(F.col("slope").isNotNull() & F.col("offset").isNotNull())
-    first = F.min(F.struct("part_order", *CALIBRATION_COLUMNS)).alias("first")
-    return (
-        complete.groupBy("scene_id", "nc_channel")
-        .agg(first)
-        .select("scene_id", "nc_channel", *(f"first.{c}" for c in CALIBRATION_COLUMNS))
-    )
+    # A number to order by and numbers to keep: this stays a hash aggregate.
+    first = (F.min_by(c, "part_order").alias(c) for c in CALIBRATION_COLUMNS)
+    return complete.groupBy("scene_id", "nc_channel").agg(*first)
 
 
 def slot_calibration(calibration: DataFrame, plan: DataFrame, strict: bool = False) -> DataFrame:
@@ -245,10 +233,9 @@ def attach_calibration(
     scan: DataFrame,
     slot_channel: DataFrame,
     keys: Sequence[str] = CALIBRATION_KEYS,
-    salt_by: Sequence[str] = ("y",),
 ) -> DataFrame:
     """Join per-slot calibration to scanlines or pixels."""
-    return lookup_join(scan, slot_channel, keys, salt_by)
+    return scan.join(slot_channel, list(keys), "left")
 
 
 def attach_geo(
@@ -256,12 +243,8 @@ def attach_geo(
     geo: DataFrame,
     keys: Sequence[str] = GEO_KEYS,
 ) -> DataFrame:
-    """Join the latitude/longitude rows to scanlines.
-
-    Grid rows are as wide as scanlines, so only narrow stripes are broadcast and rows of a full grid
-    are not repeated for salts: every slot and channel has each row once, so no row is hot.
-    """
-    return lookup_join(scan, geo, keys, (), max_rows=GEO_BROADCAST_ROWS, salts=1)
+    """Join the latitude/longitude rows to scanlines; each row of the grid occurs equally often."""
+    return scan.join(geo, list(keys), "left")
 
 
 def mask_counts(scanlines: DataFrame) -> DataFrame:

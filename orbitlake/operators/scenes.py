@@ -101,6 +101,20 @@ def parse_chunks(items: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def rejected_chunks(items: DataFrame) -> DataFrame:
+    """Chunk files (path, name, error) that ``parse_chunks`` drops when it is not strict."""
+    name = names.item_name(F.col("path"))
+    parsed = items.filter(F.col("kind") == "chunk").select(
+        "path", name.alias("name"), names.parse_chunk_name(F.col("path")).alias("parsed")
+    )
+    cycle = F.when(
+        ~F.coalesce(F.col("parsed.repeat_cycle").between(1, 144), F.lit(False)),
+        F.concat(F.lit("invalid repeat cycle: "), F.col("name")),
+    )
+    rejected = parsed.select("path", "name", F.coalesce("parsed.error", cycle).alias("error"))
+    return rejected.filter(F.col("error").isNotNull())
+
+
 def _scene_members(chunks: DataFrame) -> DataFrame:
     """One row per scene and chunk number: the first path, and how many files claim the number.
 

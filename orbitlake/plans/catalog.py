@@ -23,13 +23,13 @@ ROW_SCHEMA = "product_type string, resolution string, chunk_no int, row_start in
 
 def channels(spark: SparkSession) -> DataFrame:
     """One row per product, resolution and channel."""
-    rows, order = [], {}
+    rows = []
     for (product, resolution), entries in K.CHANNELS.items():
-        order[product] = order.get(product, -1) + 1
+        order = K.RESOLUTIONS[product].index(resolution)
         for index, (channel, nc_channel) in enumerate(entries):
             rows.append(
                 (
-                    product, resolution, order[product], channel, nc_channel, index,
+                    product, resolution, order, channel, nc_channel, index,
                     K.DIMSIZE[resolution], K.WAVELENGTH_UM[channel],
                     channel in K.DUAL_GAIN_CHANNELS,
                 )

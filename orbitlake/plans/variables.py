@@ -14,8 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbitlake import constants as K
 from orbitlake.constants import (
-    CHANNELS,
     COUNTS_FILL,
     DUAL_GAIN_CHANNELS,
     EQUATOR_RADIUS_KM,
@@ -350,4 +350,4 @@ def declared_attributes(
 
 
 def all_groups() -> list[str]:
-    return sorted({group_name(resolution) for _product, resolution in CHANNELS})
+    return sorted({group_name(resolution) for _product, resolution in K.CHANNELS})

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.plans.joins import keep_matching, lookup_join
 from orbitlake.session import literal_table, staged
 
 PARTITIONS = ("product_type", "resolution", "slot")
@@ -137,7 +136,7 @@ def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = R
 
 def touched_slots(existing: DataFrame, slots: DataFrame) -> DataFrame:
     """Existing rows of the given slots; slot keys are partition columns, so others are not read."""
-    return keep_matching(existing, slots, SLOT_KEYS)
+    return existing.join(slots, list(SLOT_KEYS), "left_semi")
 
 
 def merge_into(
@@ -174,11 +173,38 @@ def _open_with_keys(
         return existing
     # A flat cube holds one product and resolution, which its rows do not repeat.
     grid = flat_like.select("product_type", "resolution").first()
+    if grid is None:
+        return existing.withColumns({c: F.lit("") for c in ("product_type", "resolution")}).limit(0)
     return existing.withColumns(
         {"product_type": F.lit(grid.product_type), "resolution": F.lit(grid.resolution)}
     )
 
 
+def present_groups(spark: SparkSession, path: str, config: CubeConfig) -> DataFrame | None:
+    """Groups of which the cube holds any row: product, resolution and slot; None for a new cube.
+
+    Rows count, not the per-slot tables: streams and stopped runs leave rows without those. The
+    keys are partition columns, so no row is read.
+    """
+    stored = open_table(spark, path, "scanlines")
+    if stored is None:
+        return None
+    if config.flat:
+        grid = catalog.config_resolutions(config)[0]
+        stored = stored.withColumns(
+            {"product_type": F.lit(config.product_type), "resolution": F.lit(grid)}
+        )
+    return stored.select(*SLOT_KEYS).distinct()
+
+
+def write_groups(df: DataFrame, path: str, table: str, keys: Sequence[str]) -> None:
+    """Add the groups of a static table that it does not hold yet; stored groups stay."""
+    stored = open_table(df.sparkSession, path, table)
+    if stored is not None:
+        df = df.join(stored.select(*keys).distinct(), list(keys), "left_anti")
+    df.write.mode("append").parquet(f"{path}/{table}")
+
+
 def write_once(df: DataFrame, path: str, table: str) -> None:
     """Write a static table unless it is there already."""
     df.write.mode("ignore").parquet(f"{path}/{table}")
@@ -220,25 +246,32 @@ def select_time(spark: SparkSession, path: str, df: DataFrame, when: str) -> Dat
     """Rows of the slot with the given time label."""
     label = F.lit(datetime.datetime.fromisoformat(when)).cast("timestamp_ntz")
     slot = spark.read.parquet(f"{path}/slot_meta").filter(F.col("time") == label)
-    return keep_matching(df, slot.select(*SLOT_KEYS), SLOT_KEYS)
+    return df.join(slot.select(*SLOT_KEYS), list(SLOT_KEYS), "left_semi")
 
 
 # --- resume -----------------------------------------------------------------
 
 
+def _shared_keys(scenes: DataFrame, present: DataFrame) -> list[str]:
+    return [k for k in SLOT_KEYS if k in scenes.columns and k in present.columns]
+
+
 def already_ingested(scenes: DataFrame, present: DataFrame) -> DataFrame:
-    """Scenes whose slot the cube already holds."""
-    return scenes.join(present.select("slot").distinct(), "slot", "left_semi")
+    """Scenes or groups that the cube already holds, by the slot keys both sides have."""
+    keys = _shared_keys(scenes, present)
+    return scenes.join(present.select(*keys).distinct(), keys, "left_semi")
 
 
 def not_ingested(scenes: DataFrame, present: DataFrame) -> DataFrame:
-    """Scenes of slots the cube does not hold yet."""
-    return scenes.join(present.select("slot").distinct(), "slot", "left_anti")
+    """Scenes or groups that the cube does not hold yet, by the slot keys both sides have."""
+    keys = _shared_keys(scenes, present)
+    return scenes.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
 def refuse_existing(scenes: DataFrame, present: DataFrame) -> None:
     """Fail unless every scene goes to a new slot; names the first three (a bounded sample)."""
-    clash = already_ingested(scenes, present).orderBy("slot").limit(3).collect()
+    clash = already_ingested(scenes, present).select("scene_id", "slot").distinct()
+    clash = clash.orderBy("slot", "scene_id").limit(3).collect()
     if clash:
         shown = ", ".join(f"{row.scene_id} (slot {row.slot})" for row in clash)
         raise ConfigurationError(f"slots already ingested, use force or resume: {shown}")
@@ -269,4 +302,4 @@ def run_signature(log: DataFrame) -> DataFrame:
 def attach_slot_calibration(scan: DataFrame, path: str) -> DataFrame:
     """Join a cube's scanlines with its per-slot calibration."""
     table = scan.sparkSession.read.parquet(f"{path}/slot_channel").drop("channel_index", "day")
-    return lookup_join(scan, table, ["product_type", "resolution", "slot", "channel"], ["y"])
+    return scan.join(table, ["product_type", "resolution", "slot", "channel"], "left")

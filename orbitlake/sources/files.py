@@ -26,13 +26,19 @@ def name_filter(path: Column, filters: Sequence[str]) -> Column:
 
 
 def list_inputs(
-    spark: SparkSession, path: str | list[str], filters: Sequence[str] = (), content: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    filters: Sequence[str] = (),
+    content: bool = False,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Files below a local or remote path with their sizes; contents are read only on request.
 
-    Without ``content`` the bytes are pruned from the scan, so this is a pure listing.
+    Without ``content`` the bytes are pruned from the scan, so this is a pure listing. ``pattern``
+    is a glob of file names: files of other names are not opened.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
     columns = ["path", "length", "modificationTime"] + (["content"] if content else [])
     return files.filter(name_filter(F.col("path"), filters)).select(
         *columns, item_name(F.col("path")).alias("name")

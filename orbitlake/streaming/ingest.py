@@ -9,8 +9,9 @@ from pyspark.sql.types import StructType
 
 from orbitlake.constants import BODY_CHUNKS, DEFAULT_EPOCH
 from orbitlake.functions import slots
-from orbitlake.operators.scenes import classify_items, parse_chunks
-from orbitlake.sources.cube import merge_into
+from orbitlake.operators.scenes import classify_items, parse_chunks, rejected_chunks
+from orbitlake.plans.config import CubeConfig
+from orbitlake.sources.cube import check_identity, merge_into
 
 
 def file_stream(
@@ -55,13 +56,21 @@ def scene_completeness(chunks: DataFrame, delay: str = "30 minutes", *keys: str)
 
 
 def chunk_stream(files: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Parsed chunk names of a file stream; a path listed again within the delay counts once."""
+    """Parsed chunk names of a file stream; a path listed again within the delay counts once.
+
+    A stream goes on past names it cannot read: ``rejected_stream`` lists them with their errors.
+    """
     chunks = parse_chunks(classify_items(files), strict=False).withColumn(
         "event_time", F.col("sensing_start").cast("timestamp")
     )
     return chunks.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["path"])
 
 
+def rejected_stream(files: DataFrame) -> DataFrame:
+    """Files of the stream that ``chunk_stream`` leaves out, with the error of each."""
+    return rejected_chunks(classify_items(files))
+
+
 def with_slot(stream: DataFrame, ts: str, epoch: str = DEFAULT_EPOCH) -> DataFrame:
     return stream.withColumn("slot", slots.slot_index(F.col(ts), epoch))
 
@@ -72,12 +81,16 @@ def merge_stream(
     checkpoint: str,
     table: str = "scanlines",
     available_now: bool = True,
+    config: CubeConfig | None = None,
 ) -> StreamingQuery:
     """Merge every micro-batch into the cube, keyed by slot, channel and row.
 
     A batch that is replayed after a failure rewrites the same rows, so the result does not change;
-    late rows fill their lines and leave the others alone.
+    late rows fill their lines and leave the others alone. With ``config`` the cube's identity is
+    recorded, or checked, before the stream starts.
     """
+    if config is not None:
+        check_identity(scanlines.sparkSession, path, config)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_into(batch.sparkSession, batch, path, table)

@@ -15,11 +15,8 @@ TILE = 3
 
 def shrink(monkeypatch):
     """Replace the real grids by the small ones."""
-    for key in list(K.CHANNELS):
-        if key not in LAYOUT:
-            monkeypatch.delitem(K.CHANNELS, key)
-    for (product, resolution), (channels, size) in LAYOUT.items():
-        monkeypatch.setitem(K.CHANNELS, (product, resolution), channels)
+    monkeypatch.setattr(K, "CHANNELS", {key: channels for key, (channels, _size) in LAYOUT.items()})
+    for (product, resolution), (_channels, size) in LAYOUT.items():
         monkeypatch.setitem(K.DIMSIZE, resolution, size)
         monkeypatch.setitem(K.TILE_ROWS, resolution, TILE)
         ends = [size // PARTS * n for n in range(1, PARTS + 1)]

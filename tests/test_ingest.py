@@ -227,3 +227,25 @@ def test_fill_audit(spark, tmp_path):
         audit.audit_cube(spark, older("mixed", stored.unionByName(root)), config)
     with pytest.raises(ConfigurationError, match="unknown layout"):
         audit.audit_cube(spark, str(tmp_path / "nothing"), config)
+
+
+def test_second_resolution_joins_the_cube(spark, tmp_path):
+    source = s.write_parts(tmp_path / "in", (1, 2, 3))
+    path = tmp_path / "cube"
+    run(spark, source, path, resolutions="1km")
+    run(spark, source, path, resolutions="2km")
+    assert scan(spark, path).groupBy("resolution").count().count() == 2
+    for table in ("channels", "axis_x", "axis_y", "slot_meta"):
+        stored = spark.read.parquet(f"{path}/{table}").select("resolution").distinct().collect()
+        assert {r.resolution for r in stored} == {"1km", "2km"}, table
+    groups = spark.read.parquet(f"{path}/attributes").select("group").distinct().collect()
+    assert {r.group for r in groups} == {"data_1km", "data_2km"}
+
+
+def test_unreadable_file_fails_its_own_scene_only(spark, tmp_path):
+    s.write_parts(tmp_path / "in" / "good", (1, 2, 3))
+    bad = s.write_parts(tmp_path / "in" / "bad", (1, 2, 3), cycle=2)
+    (bad / s.name(2, cycle=2)).write_text("not a chunk")
+    metrics = run(spark, tmp_path / "in", tmp_path / "cube", partial_chunk="error")
+    assert metrics == {"files_processed": 1, "files_failed": 1, "count": 2}
+    assert {r.slot for r in scan(spark, tmp_path / "cube").select("slot").distinct().collect()} == {0}

@@ -12,7 +12,6 @@ from orbitlake import constants as K
 from orbitlake.functions import fills, geolocation, radiometry
 from orbitlake.operators import rasters
 from orbitlake.plans import catalog
-from orbitlake.plans.joins import lookup_join
 from orbitlake.sources import grids
 
 
@@ -42,12 +41,12 @@ def test_index_misses_are_null(spark):
         [("s", "vis_04", 0, [0, 1, 3, 2, -1, 99, 65535, None])],
         "scene_id string, nc_channel string, y int, index_map array<int>",
     )
-    for max_scenes in (10, 0):
-        joined = rasters.attach_time_lut(scan, lut, max_scenes)
+    for parts in (1, 3):
+        joined = rasters.attach_time_lut(scan.repartition(parts), lut)
         got = joined.select(rasters.expand_scanline_time(F.col("index_map"), F.col("lut"))).first()[0]
         assert got == [0.0, 10.5, None, 20.25, None, None, None, None]
     pixels = scan.select("scene_id", "y", F.explode(F.col("index_map").cast("array<bigint>")).alias("idx"))
-    got = rasters.expand_pixel_time(pixels, mapped, ["y"]).filter("time_s is not null")
+    got = rasters.expand_pixel_time(pixels, mapped).filter("time_s is not null")
     assert sorted(r.time_s for r in got.collect()) == [0.0, 10.5, 20.25]
 
 
@@ -60,13 +59,19 @@ def test_time_arrays_take_the_storage_type(spark, dtype, expected):
     assert rasters.time_lut(mapped, dtype).first().lut == expected
 
 
-def test_lookup_join_paths_agree(spark):
-    big = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    small = spark.range(0, 1000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    expected = sorted(map(tuple, big.join(small, "k", "left").select("id", "v").collect()), key=str)
-    for options in ({}, {"max_rows": 1}, {"max_rows": 1, "salts": 1}):
-        got = lookup_join(big, small, ["k"], ["id"], **options).select("id", "v").collect()
-        assert sorted(map(tuple, got), key=str) == expected
+def test_lookups_keep_every_row(spark):
+    """A key that most rows share, keys without a match, and an empty side."""
+    scan = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string").alias("scene_id"), "id"
+    )
+    luts = spark.range(0, 1000, 7).select(
+        F.col("id").cast("string").alias("scene_id"), F.array(F.col("id") * 2.0).alias("lut")
+    )
+    got = {r.id: r.lut for r in rasters.attach_time_lut(scan, luts).collect()}
+    for number in range(1000):
+        key = 7 if number % 3 == 0 else number
+        assert got[number] == ([key * 2.0] if key % 7 == 0 else None)
+    assert rasters.attach_time_lut(scan, luts.limit(0)).where("lut is null").count() == 1000
 
 
 def test_platform_means(spark):

@@ -25,7 +25,7 @@ rad AS (
 def calibrated(spark, sf):
     """Every acquisition with the radiance of its counts."""
     joined = rasters.attach_calibration(
-        t.acquisitions(spark, sf), t.slot_channel(spark, sf), ["slot", "channel"], ["event_id"]
+        t.acquisitions(spark, sf), t.slot_channel(spark, sf), ["slot", "channel"]
     )
     radiance = radiometry.calibrated(
         F.col("counts"), F.col("dual_gain"), F.col("slope"), F.col("offset"),

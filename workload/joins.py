@@ -24,7 +24,7 @@ def expand_pixel_time(spark, sf):
     scan = t.scan_in(spark, sf).withColumnRenamed("index_map", "idx")
     pixels = rasters.pixels(scan.select("scene_id", "y", "idx"), "idx")
     pixels = pixels.withColumns({"x": F.col("x").cast("bigint"), "idx": F.col("idx").cast("bigint")})
-    return rasters.expand_pixel_time(pixels, _times(spark, sf), ["y", "x"]).select("y", "x", "time_s")
+    return rasters.expand_pixel_time(pixels, _times(spark, sf)).select("y", "x", "time_s")
 
 
 @query("expand_scanline_time", PIXEL_TIME_SQL)
@@ -37,9 +37,9 @@ def expand_scanline_time(spark, sf):
 
 @query("expand_scanline_time_salted", PIXEL_TIME_SQL)
 def expand_scanline_time_salted(spark, sf):
-    """The way taken when there are too many scenes to broadcast their time arrays."""
+    """The same where scanlines of a scene lie in many partitions."""
     luts = rasters.time_lut(_times(spark, sf))
-    scan = rasters.attach_time_lut(t.scan_in(spark, sf), luts, max_scenes=0)
+    scan = rasters.attach_time_lut(t.scan_in(spark, sf).repartition("scene_id", "y"), luts)
     times = rasters.expand_scanline_time(F.col("index_map"), F.col("lut"))
     rows = scan.select("y", times.alias("time_s"))
     return rasters.pixels(rows, "time_s").withColumn("x", F.col("x").cast("bigint"))
@@ -102,7 +102,7 @@ def missing_chunks(spark, sf):
 )
 def attach_calibration(spark, sf):
     joined = rasters.attach_calibration(
-        t.acquisitions(spark, sf), t.slot_channel(spark, sf), ["slot", "channel"], ["event_id"]
+        t.acquisitions(spark, sf), t.slot_channel(spark, sf), ["slot", "channel"]
     )
     return joined.select("event_id", "slope", "offset")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from orbitlake import constants as K
@@ -12,7 +14,7 @@ from orbitlake.operators.rasters import pixels
 from orbitlake.plans.catalog import attach_wavelength
 from orbitlake.plans.config import CubeConfig
 from orbitlake.session import scratch_path
-from orbitlake.sources import cube
+from orbitlake.sources import cube, grids
 from orbitlake.sources.chunks import TABLES, Decoded, schema_of
 from workload import tables as t
 from workload.registry import query
@@ -110,6 +112,25 @@ def static_tables(spark, sf):
     return spark.read.parquet(f"{path}/channels")
 
 
+@query(
+    "static_groups",
+    f"""WITH {t.CHANNELS_SQL}, {t.ACQ_SQL} SELECT c.resolution, a.channel, count(*) AS n_rows,
+      round(CAST(c.wavelength AS DOUBLE), 4) AS wavelength
+      FROM acq a JOIN cat c USING (channel) WHERE c.product_type = 'FDHSI' GROUP BY ALL""",
+)
+def static_groups(spark, sf):
+    """Runs of single resolutions bring the static rows of theirs, once each."""
+    path = scratch_path(spark, "static")
+    for resolution in ("1km", "2km", "1km"):
+        config = CubeConfig(K.FDHSI, resolutions=resolution, include_geolocation=False)
+        for name, table in grids.static_tables(spark, config).items():
+            cube.write_groups(table, path, name, ["product_type", "resolution"])
+    known = spark.read.parquet(f"{path}/channels")
+    found = t.acquisitions(spark, sf).select("channel").join(known, "channel")
+    wavelength = F.round(F.first("central_wavelength").cast("double"), 4).alias("wavelength")
+    return found.groupBy("resolution", "channel").agg(F.count("*").alias("n_rows"), wavelength)
+
+
 @query(
     "cube_identity",
     """SELECT p_partkey, CASE WHEN p_size % 3 = 0 AND p_size % 4 = 0 THEN 'layout,stripe'
@@ -195,6 +216,17 @@ def decoded_tables(spark, sf) -> Decoded:
     return Decoded(**{n: found[n].select(*schema_of(n).fieldNames()) for n in TABLES})
 
 
+def run_ingest(spark, decoded: Decoded, path: str, **options) -> None:
+    config = CubeConfig(K.FDHSI, include_geolocation=False, time_epoch=t.EPOCH)
+    label = F.col("scene_id").cast("bigint")
+    scenes = decoded.scan_in.select("scene_id").distinct().select(
+        "scene_id",
+        F.lit(K.FDHSI).alias("product_type"),
+        slots.slot_start(label, t.EPOCH).alias("coordinate"),
+    )
+    ingest_decoded(spark, scenes, decoded, config, path, **options)
+
+
 @query(
     "ingest",
     f"""WITH {t.SCAN_SQL}, {t.TIME_SQL}, cal AS (
@@ -208,16 +240,8 @@ def decoded_tables(spark, sf) -> Decoded:
 )
 def ingest(spark, sf):
     """Ten scenes through a whole ingest, read back pixel by pixel with their radiance."""
-    config = CubeConfig(K.FDHSI, include_geolocation=False, time_epoch=t.EPOCH)
-    decoded = decoded_tables(spark, sf)
-    label = F.col("scene_id").cast("bigint")
-    scenes = decoded.scan_in.select("scene_id").distinct().select(
-        "scene_id",
-        F.lit(K.FDHSI).alias("product_type"),
-        slots.slot_start(label, t.EPOCH).alias("coordinate"),
-    )
     path = scratch_path(spark, "ingest")
-    ingest_decoded(spark, scenes, decoded, config, path)
+    run_ingest(spark, decoded_tables(spark, sf), path)
     scan = cube.attach_slot_calibration(cube.read_cube(spark, path), path)
     wide = pixels(
         scan.select(
@@ -240,3 +264,60 @@ def ingest(spark, sf):
         "pixel_time",
         radiance.alias("radiance"),
     )
+
+
+@query(
+    "ingest_fill",
+    f"""WITH {t.SCAN_SQL}, cal AS (SELECT scene_id, min(y) + 1 AS slope FROM pixel GROUP BY scene_id)
+      SELECT p.scene_id AS slot, p.y, p.x, CASE WHEN p.counts % 50 <> 7 THEN p.counts ELSE -1 END AS counts,
+        CASE WHEN p.counts % 50 = 7 THEN NULL
+          WHEN p.nc_channel = 'ir_38' AND p.counts > 4095 THEN p.counts * 2.0::DOUBLE - 1
+          ELSE p.counts * c.slope + 0.5::DOUBLE END AS radiance
+      FROM pixel p JOIN cal c USING (scene_id)""",
+)
+def ingest_fill(spark, sf):
+    """Fill in the counts of the input is missing in the cube, and has no radiance."""
+    decoded = decoded_tables(spark, sf)
+    filled = F.transform("counts", lambda c: F.when(c % 50 == 7, K.COUNTS_FILL).otherwise(c))
+    scan = decoded.scan_in.withColumn("counts", filled.cast("array<int>"))
+    path = scratch_path(spark, "ingest")
+    run_ingest(spark, replace(decoded, scan_in=scan), path)
+    stored = cube.attach_slot_calibration(cube.read_cube(spark, path), path)
+    wide = pixels(
+        stored.select("slot", "channel", "y", "counts", "slope", "offset", "warm_slope", "warm_offset"),
+        "counts",
+    )
+    radiance = calibrated(
+        F.col("counts"), F.col("channel").isin(*K.DUAL_GAIN_CHANNELS), F.col("slope"),
+        F.col("offset"), F.col("warm_slope"), F.col("warm_offset"),
+    )
+    whole = (F.col(c).cast("bigint").alias(c) for c in ("slot", "y", "x"))
+    counts = F.coalesce("counts", F.lit(-1)).cast("bigint").alias("counts")
+    return wide.select(*whole, counts, radiance.alias("radiance"))
+
+
+@query(
+    "stream_then_ingest",
+    f"""WITH {t.SCAN_SQL} SELECT scene_id AS slot, y,
+      CAST(sum(CASE WHEN y % 2 = 0 THEN -counts ELSE counts END) AS BIGINT) AS total
+      FROM pixel GROUP BY scene_id, y""",
+)
+def stream_then_ingest(spark, sf):
+    """A stream brought every other row, and no slot tables; the ingest keeps those and adds the rest."""
+    decoded = decoded_tables(spark, sf)
+    path = scratch_path(spark, "ingest")
+    streamed = decoded.scan_in.filter("y % 2 = 0").select(
+        F.lit(K.FDHSI).alias("product_type"),
+        F.when(F.col("nc_channel") == "ir_38", "2km").otherwise("1km").alias("resolution"),
+        F.col("scene_id").cast("int").alias("slot"),
+        F.col("nc_channel").alias("channel"),
+        "y",
+        F.transform("counts", lambda c: -c).alias("counts"),
+    )
+    cube.merge_into(spark, streamed, path)
+    run_ingest(spark, decoded, path, existing="resume")
+    stored = cube.read_cube(spark, path)
+    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)
+    return stored.select(
+        F.col("slot").cast("bigint").alias("slot"), F.col("y").cast("bigint").alias("y"), total.alias("total")
+    )

@@ -131,6 +131,20 @@ def late_chunk(spark, sf):
     return found.select(F.col("slot").cast("bigint").alias("slot"), "channel", "y", "counts")
 
 
+@query(
+    "rejected_names",
+    f"""WITH {t.FILES_SQL} SELECT replace(name, '.nc', 'x.nc') AS name,
+      'cannot parse chunk file name: ' || replace(name, '.nc', 'x.nc') AS error
+      FROM chunk WHERE event_id % 4 = 0""",
+)
+def rejected_names(spark, sf):
+    """Files of a stream whose names cannot be read are listed, not lost."""
+    listed = t.chunk_files_of(event_stream(spark, sf))
+    broken = F.when(F.col("event_id") % 4 == 0, F.regexp_replace("path", r"\.nc$", "x.nc"))
+    files = listed.select(F.coalesce(broken, "path").alias("path"), "length")
+    return finish(spark, streaming.rejected_stream(files), "rejected").select("name", "error")
+
+
 @query(
     "dedup_paths",
     f"""WITH {t.FILES_SQL} SELECT product AS product_type, num AS chunk_no, count(DISTINCT name) AS n_paths
