@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import orbitlake
+from orbitlake.llm import oracles
 from orbitlake.llm.decontaminate import contamination
 from orbitlake.llm.kneser_ney import lm_scores
 from orbitlake.llm.licenses import license_report
@@ -54,7 +55,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@query("op2_decontaminate_prefix")
+@query("op2_decontaminate_prefix", oracles.CONTAMINATION)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -79,7 +80,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(read(spark, sf_dir, "embeddings"))
 
 
-@query("op8_url_trust")
+@query("op8_url_trust", oracles.VERDICTS)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(read(spark, sf_dir, "pages"))
 
