@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitlake.llm.tables import bitmap, staged
+from orbitlake.llm.tables import bitmap, fresh, staged
 from orbitlake.llm.text import LOWER, WORD_BYTES, Hasher, marked, ngrams, slices, word_spans
 
 WINDOW = 13
@@ -247,7 +247,8 @@ def contamination(docs: DataFrame, items: DataFrame, digest: bool = True) -> Dat
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones; all columns are kept."""
     bad = contamination(docs, items, digest=False).where("contaminated")
-    bad = staged(bad.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct(), "bad")
+    own, row = fresh("_id", docs), fresh("_row", docs)
+    bad = staged(bad.select(F.col("doc_id").alias(own), F.col("row").alias(row)).distinct(), "bad")
     text = F.coalesce(F.col("text"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text, 256) == F.col("_row"))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.sha2(text, 256) == F.col(row))
     return docs.join(bad, same, "left_anti")

@@ -114,10 +114,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     number, so that rows that repeat an id are sampled and emitted on their own.
     """
     row, copy = fresh("_row", docs), fresh("copy", docs)
+    taken, copies = fresh("_taken", docs), fresh("_copies", docs)
     marked = staged(docs.withColumn(row, F.monotonically_increasing_id()), "mixdocs")
     slim = marked.select("doc_id", "source", "text", F.col(row).alias("_row"))
     counted = with_copies(slim, ["doc_id", "_row"]).where("copies > 0")
-    counted = staged(counted.select(F.col("_row").alias("_taken"), F.col("copies").alias("_copies")), "copies")
-    emitted = marked.join(counted, F.col(row) == F.col("_taken"))
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return emitted.select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias(copy))
+    counted = staged(counted.select(F.col("_row").alias(taken), F.col("copies").alias(copies)), "copies")
+    emitted = marked.join(counted, F.col(row) == F.col(taken))
+    numbers = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
+    return emitted.select(*[F.col(f"`{c}`") for c in docs.columns], numbers.alias(copy))

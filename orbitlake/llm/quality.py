@@ -232,10 +232,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on texts outside the held-out fold: labelled good ones, and any others without labels."""
     seen = ~held_out("doc_id", FOLD)
     good = labels.where(seen & (F.col("quality") == 1)).select("doc_id")
-    rows = []
+    slim, rows = docs.select("doc_id", "text"), []
     for ids, limit in ((good, MAX_POSITIVES), (docs.where(seen).select("doc_id"), MAX_UNLABELLED)):
         chosen = F.broadcast(sample_ids(ids, limit))
-        rows.append(_feature_rows(docs.join(chosen, F.col("doc_id") == F.col("_id")), limit))
+        rows.append(_feature_rows(slim.join(chosen, F.col("doc_id") == F.col("_id")), limit))
     return fit(*rows)
 
 

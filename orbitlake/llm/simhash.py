@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitlake.llm.tables import components, staged
+from orbitlake.llm.tables import components, fresh, staged
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -243,10 +243,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     slim = with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp")
+    mark, own, root, least = (fresh(name, docs) for name in ("_mark", "_fp", "_root", "_least"))
     found = near_duplicates(staged(slim, "simhash")).select(
-        F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_least")
+        F.col("fp").alias(own), F.col("root").alias(root), F.col("component_id").alias(least)
     )
-    marked = with_fingerprint(docs, name="_mark")
-    kept = marked.join(found, marked["_mark"] == found["_fp"])
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("_least")))
-    return kept.dropDuplicates(["_root"]).select(*[F.col(f"`{c}`") for c in names])
+    marked = with_fingerprint(docs, name=mark)
+    kept = marked.join(found, F.col(mark) == F.col(own))
+    kept = kept.where(F.col("doc_id").eqNullSafe(F.col(least)))
+    return kept.dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in names])

@@ -246,7 +246,8 @@ def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[list[np.n
                 names=["slots", "language"],
             )
 
-    joined = docs.join(chosen, F.col("doc_id") == F.col("_id")).select("text")
+    slim = docs.select("doc_id", "text")
+    joined = slim.join(chosen, F.col("doc_id") == F.col("_id")).select("text")
     found = joined.mapInArrow(run, "slots binary, language int").limit(limit).toArrow()
     rows = sorted(zip(found.column("slots").to_pylist(), found.column("language").to_pylist()))
     slots = [np.frombuffer(r[0], np.int32).reshape(-1, PIECES) for r in rows]

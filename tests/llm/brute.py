@@ -10,9 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import xxhash
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+CLASHING = ("_id", "_row", "_mark", "_fp", "_root", "_least", "_taken", "_copies", "_of", "_digest", "_spans", "fp")
 DOCS = "doc_id long, text string, lang string, source string, n_chars int, size int, copy string"
 
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
@@ -73,7 +75,9 @@ def awkward_rows():
 
 
 def awkward(spark):
-    return spark.createDataFrame(awkward_rows(), DOCS)
+    """Awkward rows, with more columns whose names the operators use inside."""
+    table = spark.createDataFrame(awkward_rows(), DOCS)
+    return table.withColumns({name: F.lit(name) for name in CLASHING})
 
 
 def pairs(docs):
