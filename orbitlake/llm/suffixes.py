@@ -38,6 +38,8 @@ BITMAP_BITS = 1 << 26
 CHUNK = 1 << 14
 #: Segments that are sorted together; bounds a task's memory.
 BATCH = 1 << 14
+#: Slots in which a task remembers segments whose bytes it has passed on.
+PASSED = 1 << 18
 
 _POSITION = np.uint64((1 << 30) - 1)
 
@@ -103,12 +105,15 @@ def anchor_counts(docs: DataFrame) -> DataFrame:
 def repeated_places(docs: DataFrame, repeated: np.ndarray, mixed: np.ndarray) -> DataFrame:
     """(digest, place, before, after, anchor, segment, bytes) of the places of repeated anchors.
 
-    ``bytes`` is there once per slice and segment, for anchors whose segments differ.
+    ``bytes`` is there for anchors whose segments differ, and left out where the task remembers that
+    it has passed the segment on: a segment that many documents share travels about once per task.
     """
     sent = docs.sparkSession.sparkContext.broadcast((repeated, mixed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
+        # No slot holds a key of its own at first.
+        passed = np.arange(1, PASSED + 1, dtype=np.uint64)
         for rows, data, offsets in slices(batches):
             place, doc, before, after, anchor, segment = anchors(hasher, data, offsets)
             seen = np.flatnonzero(marked(anchor, sent.value[0]))
@@ -118,6 +123,11 @@ def repeated_places(docs: DataFrame, repeated: np.ndarray, mixed: np.ndarray) ->
             carried = np.zeros(len(place), bool)
             carried[np.unique(segment ^ mix(anchor), return_index=True)[1]] = True
             carried &= marked(anchor, sent.value[1])
+            first = np.flatnonzero(carried)
+            key = segment[first] ^ mix(anchor[first])
+            slot = (key & np.uint64(PASSED - 1)).astype(np.int64)
+            carried[first[passed[slot] == key]] = False
+            passed[slot] = key
             raw = data.tobytes()
             segments = [
                 raw[a:b] if take else None
@@ -210,14 +220,9 @@ def _spans(shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _match(table: pa.Table) -> pa.Table:
     """Shared byte ranges of complete units sorted by unit; for chunked anchors also what is left.
 
-    A row with ``window`` is one 200-byte string of a chunk: with its segment where the chunk holds
+    ``table`` holds each segment of a unit once. A row with ``window`` is one 200-byte string of a chunk: with its segment where the chunk holds
     it once, without where it holds it more often.
     """
-    unit = table.column("unit").to_numpy()
-    segment = table.column("segment").to_numpy()
-    new = np.ones(len(unit), bool)
-    new[1:] = (unit[1:] != unit[:-1]) | (segment[1:] != segment[:-1])
-    table = table.take(np.flatnonzero(new))
     unit, anchor, segment, chunks = (
         table.column(c).to_numpy() for c in ("unit", "anchor", "segment", "chunks")
     )
@@ -280,11 +285,24 @@ def _match(table: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, rows = [], 0
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit and segment without those that repeat the row ahead of them."""
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
+        unit, segment = (batch.column(c).to_numpy() for c in ("unit", "segment"))
+        new = np.ones(len(unit), bool)
+        new[1:] = (unit[1:] != unit[:-1]) | (segment[1:] != segment[:-1])
+        new[0] = (unit[0], segment[0]) != last
+        last = unit[-1], segment[-1]
+        if new.any():
+            yield batch.filter(pa.array(new))
+
+
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, rows = [], 0
+    for batch in _once(batches):
         held.append(batch)
         rows += batch.num_rows
         if rows < BATCH:
@@ -383,13 +401,13 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with one more column, the ranges to remove; its name is returned too."""
-    digest, spans = fresh("_digest", docs), fresh("_spans", docs)
+    digest, spans, of = (fresh(name, docs) for name in ("_digest", "_spans", "_of"))
     marked = docs.withColumn(digest, text_digest(F.col("text")))
     ranges = repeated_ranges(marked.select(F.col(digest).alias("digest"), "text"))
     ranges = staged(ranges, "ranges").select(
-        F.col("digest").alias("_of"), F.col("spans").alias(spans)
+        F.col("digest").alias(of), F.col("spans").alias(spans)
     )
-    joined = marked.join(ranges, marked[digest] == ranges["_of"], "left")
+    joined = marked.join(ranges, F.col(digest) == F.col(of), "left")
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], spans), spans
 
 
