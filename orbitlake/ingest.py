@@ -34,14 +34,21 @@ def read_scenes(
     config: CubeConfig,
     decoder: Decoder,
     filters: tuple[str, ...] = (),
+    slots: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, Decoded]:
-    """List, check, group and decode an input folder.
+    """List, check, group and decode an input folder, or those of its items in a range of slots.
 
-    Returns the scene table and the decoded tables, written once to the shared folder. Files of one
+    Files outside the half-open range are not decoded, those of other days not even opened. Returns the scene table and the decoded tables, written once to the shared folder. Files of one
     scene that fail are reported in ``errors``.
     """
     configure(spark)
-    items = scenes.classify_items(list_inputs(spark, source, filters))
+    days = "" if slots is None else scenes.day_glob(slots, config.time_epoch)
+
+    def listed(**options: Any) -> DataFrame:
+        items = scenes.classify_items(list_inputs(spark, source, filters, **options))
+        return items if slots is None else scenes.items_in_slots(items, slots, config.time_epoch)
+
+    items = listed()
     scenes.check_inputs(items, config.product_type)
     found = staged(scenes.discover(items), "scenes")
     wanted = {
@@ -53,17 +60,13 @@ def read_scenes(
     # A local archive is opened in place, member by member; others come through Spark's file systems.
     archives = found.filter(F.col("kind") == "zip").select(F.col("scene_id").alias("path"))
     local = F.col("path").startswith("file:")
-    remote = scenes.classify_items(
-        list_inputs(spark, source, filters, content=True, pattern="*.zip")
-    ).filter((F.col("kind") == "zip") & ~local)
+    remote = listed(content=True, pattern=f"*{days}*.zip").filter((F.col("kind") == "zip") & ~local)
     unpacked = unpack_archives(archives.filter(local).repartition(F.col("path"))).unionByName(
         unpack_archives(remote)
     )
     unpacked = unpacked.select(F.col("archive").alias("scene_id"), "name", "content", "error")
     # The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
-    contents = scenes.classify_items(
-        list_inputs(spark, source, filters, content=True, pattern="*.nc")
-    )
+    contents = listed(content=True, pattern=f"*{days}*.nc")
     loose = scenes.parse_chunks(contents).select(
         names.scene_uri(F.col("product_type"), F.col("coordinate")).alias("scene_id"),
         "name",
@@ -282,8 +285,12 @@ def ingest(
     path: str,
     decoder: Decoder,
     filters: tuple[str, ...] = (),
+    slots: tuple[int, int] | None = None,
     **options: Any,
 ) -> dict[str, Any]:
-    """Ingest a folder of ZIPs or loose chunk files; see ``ingest_decoded`` for the options."""
-    found, decoded = read_scenes(spark, source, config, decoder, filters)
+    """Ingest a folder of ZIPs or loose chunk files; see ``ingest_decoded`` for the options.
+
+    ``slots`` restricts the run to a half-open range of slots before anything is decoded.
+    """
+    found, decoded = read_scenes(spark, source, config, decoder, filters, slots)
     return ingest_decoded(spark, found, decoded, config, path, **options)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orbitlake.constants import CYCLES_PER_DAY
 from orbitlake.functions import names, slots
 from orbitlake.plans.catalog import fail_where
 from orbitlake.plans.config import ConfigurationError
@@ -69,6 +72,28 @@ def check_inputs(items: DataFrame, product_type: str) -> None:
         )
 
 
+def items_in_slots(items: DataFrame, wanted: tuple[int, int], epoch: str) -> DataFrame:
+    """Items of a listing whose time label lies in a half-open range of slots.
+
+    Items without a readable label stay, so that they are reported as in a run without a range.
+    """
+    label = slots.scene_time(F.col("path"))
+    slot = slots.slot_index(label, epoch, strict=False)
+    inside = F.coalesce((slot >= wanted[0]) & (slot < wanted[1]), F.lit(False))
+    return items.filter(label.isNull() | inside)
+
+
+def day_glob(wanted: tuple[int, int], epoch: str) -> str:
+    """A glob alternative over the days that names of a half-open range of slots can carry.
+
+    The last cycle of a day may be sensed just after midnight, so the range ends a day later.
+    """
+    first, last = wanted[0] // CYCLES_PER_DAY, (max(wanted) - 1) // CYCLES_PER_DAY + 1
+    start = datetime.date.fromisoformat(epoch)
+    days = (start + datetime.timedelta(days=n) for n in range(first, last + 1))
+    return "{" + ",".join(f"{day:%Y%m%d}" for day in days) + "}"
+
+
 def parse_chunks(items: DataFrame, strict: bool = True) -> DataFrame:
     """Chunk rows of a listing with their name fields and the nominal start of their cycle.
 

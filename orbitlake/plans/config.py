@@ -75,16 +75,15 @@ class CubeConfig:
     def slot_count(self) -> int | None:
         return total_slots(self.time_slots, self.time_end, self.time_epoch)
 
-    @property
-    def stripe_token(self) -> str | None:
-        return None if self.body_chunks is None else "stripe_c{}_{}".format(*self.body_chunks)
-
     def tile_height(self, resolution: str) -> int:
         """Rows per output tile: the override of the resolution, else ``tile_rows``, else default."""
         return dict(self.tile_overrides).get(resolution) or self.tile_rows or TILE_ROWS[resolution]
 
     def signature(self) -> dict:
-        """Options that decide whether two runs write the same slice of a cube."""
+        """Options that decide whether two runs write the same slice of a cube.
+
+        ``resolutions`` are those asked for; a log entry holds the ones they resolve to.
+        """
         options = asdict(self)
         for name in ("projection_units", "partial_chunk", "time_end", "time_slots", "flat"):
             options.pop(name)

@@ -46,7 +46,7 @@ def identity(config: CubeConfig) -> dict:
         "cadence_s": CYCLE_SECONDS,
         "layout": "flat" if config.flat else "grouped",
         "grid": "_".join([config.product_type, *grids]) if config.flat else None,
-        "stripe": config.stripe_token,
+        "stripe": None if config.body_chunks is None else "chunks {} to {}".format(*config.body_chunks),
     }
 
 
@@ -70,9 +70,9 @@ def check_identity(spark: SparkSession, path: str, config: CubeConfig) -> None:
 IDENTITY_FIELDS = ("epoch", "cadence_s", "layout", "grid", "stripe")
 
 
-def stripe_token(first: Column, last: Column) -> Column:
-    """Identity token of a row window; NULL for the full disk."""
-    return F.concat(F.lit("stripe_c"), first.cast("string"), F.lit("_"), last.cast("string"))
+def stripe_text(first: Column, last: Column) -> Column:
+    """How the identity names the chunks of a row window."""
+    return F.format_string("chunks %d to %d", first, last)
 
 
 def identity_conflicts(
@@ -278,8 +278,9 @@ def refuse_existing(scenes: DataFrame, present: DataFrame) -> None:
 
 
 def log_run(spark: SparkSession, path: str, config: CubeConfig, metrics: dict) -> None:
-    """Append a run's signature and counters to the ingest log."""
-    row = [(json.dumps(config.signature(), sort_keys=True), json.dumps(metrics, sort_keys=True))]
+    """Append a run's signature, with its resolutions resolved, and its counters to the ingest log."""
+    signature = {**config.signature(), "resolutions": sorted(catalog.config_resolutions(config))}
+    row = [(json.dumps(signature, sort_keys=True), json.dumps(metrics, sort_keys=True))]
     schema = "signature string, metrics string"
     literal_table(spark, row, schema).withColumn("logged_at", F.current_timestamp()).coalesce(
         1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orbitlake import ConfigurationError, CubeConfig
 from orbitlake.ingest import ingest
-from orbitlake.operators import audit, diff, rasters
+from orbitlake.operators import audit, diff, rasters, scenes
 from orbitlake.plans.variables import group_name
 from orbitlake.sources import cube, grids
 
@@ -133,7 +133,7 @@ def test_stripe_holds_its_rows_of_the_full_disk(spark, full, tmp_path):
         (F.col("resolution") == "2km") & F.col("y").between(3, 8)
     )
     assert diff.equal_cubes(scan(spark, full).filter(window), stripe, PIXEL)
-    with pytest.raises(ConfigurationError, match="stripe is 'stripe_c2_2', not None"):
+    with pytest.raises(ConfigurationError, match="stripe is 'chunks 2 to 2', not None"):
         run(spark, source, tmp_path / "stripe", existing="force")
     y = spark.read.parquet(f"{tmp_path}/stripe/axis_y").groupBy("resolution").count().collect()
     assert {r.resolution: r["count"] for r in y} == {"1km": 12, "2km": 6}
@@ -168,6 +168,23 @@ def test_bad_files_fail_their_scene_only(spark, tmp_path):
     assert {r.slot for r in scan(spark, tmp_path / "cube").select("slot").distinct().collect()} == {0, 2}
 
 
+def test_a_range_of_slots_decodes_no_other_scene(spark, full, tmp_path):
+    source = s.write_parts(tmp_path / "in", (1, 2, 3))
+    (source / s.name(1, cycle=2)).write_text("never decoded")
+    (source / s.name(1, cycle=1, start="20240105000001")).write_text("never opened")
+    config = CubeConfig("FDHSI", time_epoch=EPOCH, include_geolocation=False)
+    metrics = ingest(spark, str(source), config, str(tmp_path / "cube"), s.decoder, slots=(0, 1))
+    assert metrics == {"files_processed": 1, "files_failed": 0, "count": 1}
+    assert diff.equal_cubes(scan(spark, full), scan(spark, tmp_path / "cube"), PIXEL)
+    log = cube.run_signature(spark.read.parquet(f"{tmp_path}/cube/ingest_log")).first()
+    assert log.resolutions == '["1km","2km"]'
+
+
+def test_slots_cover_the_day_after_their_last():
+    assert scenes.day_glob((0, 144), "2024-02-28") == "{20240228,20240229}"
+    assert scenes.day_glob((143, 145), "2024-02-28") == "{20240228,20240229,20240301}"
+
+
 def test_corrupt_zip_is_counted(spark, tmp_path):
     source = s.zip_parts(tmp_path / "in", (1, 2, 3))
     (source / "W_XX-FCI-1C-RRAD-FDHSI-FD-20240101001000-END.zip").write_text("not-a-real-zip")

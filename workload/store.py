@@ -145,14 +145,14 @@ def cube_identity(spark, sf):
         F.lit(K.CYCLE_SECONDS).alias("cadence_s"),
         F.lit("grouped").alias("layout"),
         F.lit(None).cast("string").alias("grid"),
-        F.when(size % 2 == 0, cube.stripe_token(size, size + 1)).alias("stripe"),
+        F.when(size % 2 == 0, cube.stripe_text(size, size + 1)).alias("stripe"),
     )
     late = F.when(size % 4 == 0, size + 2).otherwise(size + 1)
     wanted = stored.join(t.read(spark, sf, "part").select("p_partkey", "p_size"), "p_partkey")
     wanted = wanted.withColumns(
         {
             "layout": F.when(size % 3 == 0, "flat").otherwise("grouped"),
-            "stripe": F.when(size % 2 == 0, cube.stripe_token(size, late)),
+            "stripe": F.when(size % 2 == 0, cube.stripe_text(size, late)),
         }
     )
     found = cube.identity_conflicts(wanted, stored, "p_partkey")
