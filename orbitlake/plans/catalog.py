@@ -241,15 +241,15 @@ def config_plan(spark: SparkSession, config: CubeConfig) -> DataFrame:
 
 
 def row_window(config: CubeConfig, resolution: str) -> tuple[int, int]:
-    """Full-disk rows a cube stores: everything, or the chosen chunks widened to whole tiles."""
-    size = K.DIMSIZE[resolution]
-    if config.body_chunks is None:
-        return 0, size
-    ends = K.CHUNK_ROW_ENDS[(config.product_type, resolution)]
-    first, last = config.body_chunks
-    start, stop = (0, *ends)[first - 1], ends[last - 1]
-    height = config.tile_height(resolution)
-    return start // height * height, min(-(-stop // height) * height, size)
+    """Full-disk rows a cube stores: all tiles, or those that hold a row of the chosen chunks."""
+    size, height = K.DIMSIZE[resolution], config.tile_height(resolution)
+    top, bottom = 0, size - 1
+    if config.body_chunks is not None:
+        ends = K.CHUNK_ROW_ENDS[(config.product_type, resolution)]
+        before, final = config.body_chunks[0] - 2, config.body_chunks[1] - 1
+        top, bottom = ends[before] if before >= 0 else 0, ends[final] - 1
+    tile_top, tile_bottom = top // height, bottom // height
+    return tile_top * height, min((tile_bottom + 1) * height, size)
 
 
 def stripe_rows(stripes: DataFrame, strict: bool = True) -> DataFrame:
@@ -280,13 +280,15 @@ def stripe_rows(stripes: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stripe_window(spans: DataFrame) -> DataFrame:
-    """Widen ``row_start``/``row_stop`` to the tile grid, capped at the grid size."""
-    height = lookup(F.col("resolution"), K.TILE_ROWS)
-    size = lookup(F.col("resolution"), K.DIMSIZE)
-    return spans.withColumn(
-        "window_start", (F.floor(F.col("row_start") / height) * height).cast("int")
-    ).withColumn(
-        "window_stop", F.least(F.ceil(F.col("row_stop") / height) * height, size).cast("int")
+    """From the first row of the first tile to the last row of the last, within the grid."""
+    grid = F.col("resolution")
+    height, size = lookup(grid, K.TILE_ROWS), lookup(grid, K.DIMSIZE)
+    top, bottom = tile_of(F.col("row_start"), grid), tile_of(F.col("row_stop") - 1, grid)
+    return spans.withColumns(
+        {
+            "window_start": (top * height).cast("int"),
+            "window_stop": F.least((bottom + 1) * height, size).cast("int"),
+        }
     )
 
 

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from orbitlake.functions import ephemeris, names, slots
 
 ZIP = (
-    "W_XX-X,IMG+SAT,X+FCI-1C-RRAD-FDHSI-FD--x-x---x_C_XXXX_20241001120234_IDPFI_OPE_"
-    "20241001120007_20241001120924_N__C_0073_0000.zip"
+    "any text FCI-1C-RRAD-FDHSI-FD more_20270211083512_20270211083019_20270211083944_end.zip"
 )
 
 
-def chunk(kind="BODY", start="20250702000352", cycle=144, number=1, product="FDHSI"):
+def chunk(kind="BODY", start="20270306000241", cycle=144, number=1, product="FDHSI"):
     return (
         f"W_XX-FCI-1C-RRAD-{product}-FD--CHK-{kind}---NC4E_C_XXXX_{start}_IDPFI_OPE_{start}_{start}"
         f"_N__O_{cycle:04d}_{number:04d}.nc"
@@ -31,14 +30,14 @@ def test_sensing_start_takes_the_second_last_stamp(spark):
         spark, names.sensing_start, "s3://b/x/" + ZIP, "a_20240102030405.zip", "a_20241301000000.zip",
         "a_20240101000060.zip", "none.zip",
     )
-    assert got == [dt.datetime(2024, 10, 1, 12, 0, 7), dt.datetime(2024, 1, 2, 3, 4, 5), None, None, None]
+    assert got == [dt.datetime(2027, 2, 11, 8, 30, 19), dt.datetime(2024, 1, 2, 3, 4, 5), None, None, None]
 
 
 def test_kinds(spark):
     got = evaluate(
         spark, names.item_kind, "s3://b/" + ZIP, chunk(), chunk("TRAIL"), "preview.jpg", "a.xml",
         chunk("HEAD"), chunk().replace("RRAD", "XXXX"), ZIP.replace(".zip", ".ZIP"), ZIP[:-4] + ".nc",
-        "FCI-1C-RRAD-FDHSI-FD--CHK-BODY---NC4E_garbage.nc",
+        chunk()[:-20] + "short.nc",
     )
     assert got == ["zip", "chunk", "chunk"] + ["ignored"] * 6 + ["chunk"]
 
@@ -46,8 +45,8 @@ def test_kinds(spark):
 def test_chunk_fields_and_errors(spark):
     good, garbage, product, start = evaluate(
         spark, names.parse_chunk_name, "s3://b/" + chunk("TRAIL", number=41),
-        "FCI-1C-RRAD-FDHSI-FD--CHK-BODY---NC4E_garbage.nc", chunk(product="OTHER"),
-        chunk(start="20251302000352"),
+        chunk()[:-20] + "short.nc", chunk(product="OTHER"),
+        chunk(start="20271306000241"),
     )
     assert (good.product_type, good.repeat_cycle, good.chunk_no, good.is_trail) == ("FDHSI", 144, 41, True)
     assert good.error is None
@@ -67,12 +66,11 @@ def test_part_number(spark):
 @pytest.mark.parametrize(
     ("epoch", "ts", "slot"),
     [
-        ("2026-03-15", "2026-03-15 12:00:07", 72),
-        ("2026-03-15", "2026-03-15 12:09:23", 72),
-        ("2026-03-15", "2026-03-15 23:50:00", 143),
-        ("2026-03-15", "2026-03-16 00:00:00", 144),
-        ("2026-03-15", "2026-03-16 12:00:00", 216),
-        ("2000-01-01", "2000-01-02 06:20:00", 182),
+        ("2027-02-27", "2027-02-27 00:00:00", 0),
+        ("2027-02-27", "2027-02-27 07:39:59", 45),
+        ("2027-02-27", "2027-02-27 07:40:00", 46),
+        ("2027-02-27", "2027-03-01 00:10:30", 289),
+        ("1999-12-31", "2000-01-01 01:05:00", 150),
     ],
 )
 def test_slot_index(spark, epoch, ts, slot):
@@ -81,13 +79,13 @@ def test_slot_index(spark, epoch, ts, slot):
 
 
 def test_slot_index_refuses_what_is_off_the_axis(spark):
-    early = F.lit("2026-03-14 23:59:59").cast("timestamp_ntz")
+    early = F.lit("2027-02-26 23:59:59").cast("timestamp_ntz")
     with pytest.raises(PySparkException, match="outside the slot axis"):
-        spark.range(1).select(slots.slot_index(early, "2026-03-15")).collect()
-    assert spark.range(1).select(slots.slot_index(early, "2026-03-15", strict=False)).first()[0] is None
-    late = F.lit("2026-03-15 00:20:00").cast("timestamp_ntz")
+        spark.range(1).select(slots.slot_index(early, "2027-02-27")).collect()
+    assert spark.range(1).select(slots.slot_index(early, "2027-02-27", strict=False)).first()[0] is None
+    late = F.lit("2027-02-27 00:20:00").cast("timestamp_ntz")
     with pytest.raises(PySparkException, match="outside the slot axis"):
-        spark.range(1).select(slots.slot_index(late, "2026-03-15", slot_count=2)).collect()
+        spark.range(1).select(slots.slot_index(late, "2027-02-27", slot_count=2)).collect()
 
 
 def test_total_slots():
@@ -104,14 +102,15 @@ def test_nominal_cycle_start(spark):
         column = slots.nominal_cycle_start(F.lit(start).cast("timestamp_ntz"), F.lit(cycle))
         return spark.range(1).select(column).first()[0]
 
-    assert nominal("2025-07-02 00:03:52", 144) == dt.datetime(2025, 7, 1, 23, 50)
-    assert nominal("2025-07-02 00:03:52", 1) == dt.datetime(2025, 7, 2)
-    assert nominal("2025-07-01 23:56:00", 144) == dt.datetime(2025, 7, 1, 23, 50)
-    assert nominal("2025-07-02 00:05:00", 2) == dt.datetime(2025, 7, 2, 0, 10)
-    assert nominal("2025-07-02 00:04:59", 2) == dt.datetime(2025, 7, 1, 0, 10)
+    assert nominal("2027-03-01 00:01:17", 144) == dt.datetime(2027, 2, 28, 23, 50)
+    assert nominal("2027-03-01 23:51:17", 144) == dt.datetime(2027, 3, 1, 23, 50)
+    assert nominal("2027-03-01 08:31:40", 52) == dt.datetime(2027, 3, 1, 8, 30)
+    # Five minutes ahead still belong to the day, a second more does not.
+    assert nominal("2027-03-01 08:25:00", 52) == dt.datetime(2027, 3, 1, 8, 30)
+    assert nominal("2027-03-01 08:24:59", 52) == dt.datetime(2027, 2, 28, 8, 30)
     for cycle in (0, 145, -1):
         with pytest.raises(PySparkException, match="repeat cycle"):
-            nominal("2025-07-02 00:03:52", cycle)
+            nominal("2027-03-01 00:01:17", cycle)
 
 
 @pytest.mark.parametrize(
