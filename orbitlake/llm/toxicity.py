@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitlake.llm.quality import sample_ids
-from orbitlake.llm.tables import held_out
+from orbitlake.llm.tables import held_out, staged
 from orbitlake.llm.text import LOWER, WORD_BYTES, Hasher, mix, slices, word_spans
 
 FOLD = 0
@@ -25,8 +25,11 @@ FILTERS = 12
 EPOCHS = 10
 DROPPED = 0.6
 BATCH = 32
-#: Share of the sample that only calibrates.
+#: Share of the sample that only calibrates, as all labelled texts beyond the sample do.
 CALIBRATION = 0.25
+#: Margins are counted in bins of this fineness for the thresholds, up to the bins of +-64.
+BINS_PER_UNIT = 256
+MAX_BIN = 64 * BINS_PER_UNIT
 #: Labelled texts of each kind that a language needs for a threshold of its own.
 LEAST = 12
 #: Texts that a slot must occur in to be learned; all other slots stay at zero.
@@ -199,109 +202,157 @@ def train(docs: list[np.ndarray], labels: np.ndarray) -> Model:
     return model
 
 
-def _best_cut(margin: np.ndarray, label: np.ndarray) -> float:
-    """The cut with the fewest errors; in the middle of the widest gap that has as few."""
-    order = np.argsort(margin)
-    margin, label = margin[order], label[order]
-    errors = np.concatenate(([0], np.cumsum(label))) + np.concatenate(
-        ([0], np.cumsum(1 - label[::-1]))
-    )[::-1]
-    edges = np.concatenate(([margin[0] - 1], margin, [margin[-1] + 1]))
-    gaps = np.where(errors == errors.min(), np.diff(edges), -1)
-    at = int(gaps.argmax())
-    return float((edges[at] + edges[at + 1]) / 2)
+def _best_cut(at: np.ndarray, bad: np.ndarray, good: np.ndarray) -> float:
+    """The cut with the fewest errors; in the middle of the widest gap that has as few.
 
-
-def calibrate(model: Model, docs: list[np.ndarray], labels: np.ndarray, languages: np.ndarray) -> None:
-    """Set a threshold for each language, shared where a language has too few labelled texts."""
-    margin = np.concatenate(
-        [margins(model, *_joined(docs[i : i + BATCH])) for i in range(0, len(docs), BATCH)]
-    )
-    both = 0 < labels.sum() < len(labels)
-    model.thresholds[:] = _best_cut(margin, labels) if both else 0.0
+    ``bad`` and ``good`` weigh the texts of each label whose margin is ``at``.
+    """
+    at, where = np.unique(at, return_inverse=True)
+    bad, good = np.bincount(where, bad), np.bincount(where, good)
+    errors = np.concatenate(([0], np.cumsum(bad))) + np.concatenate(([0], np.cumsum(good[::-1])))[::-1]
+    edges = np.concatenate(([at[0] - 1], at, [at[-1] + 1]))
+    # Weighted sums of the same texts differ in their last digits.
+    few = errors <= errors.min() + 1e-9 * (bad.sum() + good.sum())
+    gap = int(np.where(few, np.diff(edges), -1).argmax())
+    return float((edges[gap] + edges[gap + 1]) / 2)
+
+
+def calibrate(model: Model, cells: np.ndarray) -> None:
+    """Set a threshold for each language, shared where a language has too few labelled texts.
+
+    ``cells`` has rows of (language, label, fitted, bin, number of texts) for all labelled texts.
+    Texts the model was fitted on don't vouch for themselves: they count in the numbers of their
+    label, whose margins are those of its other texts. So the share of a label is that of all texts.
+    """
+    model.thresholds[:] = 0.0
+    spoken, label, fitted, bins, n = cells.T
+    kept = fitted == 0
+    if len(np.unique(label[kept])) < 2:
+        kept = np.ones(len(n), bool)
+    at = (bins + 0.5) / BINS_PER_UNIT
+
+    def cut(own: np.ndarray, least: int) -> float | None:
+        counts = [n[own & kept & (label == mark)].sum() for mark in (0, 1)]
+        if min(counts) < least:
+            return None
+        weigh = [n[own & (label == mark)].sum() / counts[mark] for mark in (0, 1)]
+        used = own & kept
+        good, bad = (np.where(label[used] == mark, n[used] * weigh[mark], 0.0) for mark in (0, 1))
+        return _best_cut(at[used], bad, good)
+
+    shared = cut(np.ones(len(n), bool), 1)
     for number in range(len(LANGUAGES)):
-        own = languages == number
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= LEAST:
-            model.thresholds[number] = _best_cut(margin[own], labels[own])
-
+        own = cut(spoken == number, LEAST)
+        model.thresholds[number] = (shared or 0.0) if own is None else own
 
-def scores(model: Model, slots: np.ndarray, first: np.ndarray, languages: np.ndarray) -> np.ndarray:
-    """0 to 1; 0.5 at the threshold of a text's language."""
-    margin = margins(model, slots, first) - model.thresholds[languages]
-    return 1 / (1 + np.exp(-np.clip(model.sharpness * margin, -40, 40)))
 
-
-def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[list[np.ndarray], np.ndarray]:
-    chosen = F.broadcast(sample_ids(labelled, limit))
+def _sample(docs: DataFrame, chosen: DataFrame, limit: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The words of texts with the ids of ``chosen``, and which of them only calibrate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for _, data, offsets in slices(batches):
-            slots, first, languages = pieces(data, offsets, hasher)
+        for rows, data, offsets in slices(batches):
+            slots, first, _ = pieces(data, offsets, hasher)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([slots[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
-                    pa.array(languages.astype(np.int32)),
+                    rows.column("apart"),
                 ],
-                names=["slots", "language"],
+                names=["slots", "apart"],
             )
 
     slim = docs.select("doc_id", "text")
-    joined = slim.join(chosen, F.col("doc_id") == F.col("_id")).select("text")
-    found = joined.mapInArrow(run, "slots binary, language int").limit(limit).toArrow()
-    rows = sorted(zip(found.column("slots").to_pylist(), found.column("language").to_pylist()))
+    joined = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "apart")
+    found = joined.mapInArrow(run, "slots binary, apart boolean").limit(limit).toArrow()
+    rows = sorted(zip(found.column("slots").to_pylist(), found.column("apart").to_pylist()))
     slots = [np.frombuffer(r[0], np.int32).reshape(-1, PIECES) for r in rows]
-    return slots, np.array([r[1] for r in rows], np.int64)
+    return slots, np.array([r[1] for r in rows], bool)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on labelled texts outside the held-out fold; None without labels of both kinds."""
-    seen = labels.where(~held_out("doc_id", FOLD))
-    texts, languages, marks = [], [], []
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame] | None:
+    """A model fitted on some of the labelled texts outside the held-out fold, without thresholds.
+
+    And (_id, mark, fitted) of all labelled ids outside the fold. None without labels of both kinds.
+    """
+    seen = labels.where(~held_out("doc_id", FOLD) & F.col("toxic").isin(0, 1))
+    marked = seen.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("mark")).distinct()
+    chosen = [
+        sample_ids(seen.where(F.col("toxic") == mark), MAX_PER_LABEL).select("_id", F.lit(mark).alias("mark"))
+        for mark in (0, 1)
+    ]
+    # By the id alone, so that it can be told for any text.
+    apart = F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(100)) < int(100 * CALIBRATION)
+    chosen = staged(chosen[0].union(chosen[1]).withColumn("apart", apart), "sampled")
+    texts, aside, marks = [], [], []
     for mark in (0, 1):
-        own, spoken = _sample(docs, seen.where(F.col("toxic") == mark), MAX_PER_LABEL)
+        own, side = _sample(docs, chosen.where(F.col("mark") == mark), MAX_PER_LABEL)
         texts += own
-        languages.append(spoken)
+        aside.append(side)
         marks.append(np.full(len(own), float(mark)))
     if not len(marks[0]) or not len(marks[1]):
         return None
-    labels_, spoken = np.concatenate(marks), np.concatenate(languages)
-    side = np.random.default_rng(13).random(len(texts)) < CALIBRATION
-    fitted = np.flatnonzero(~side) if side.any() and not side.all() else np.arange(len(texts))
-    model = train([texts[i] for i in fitted], labels_[fitted])
-    checked = np.flatnonzero(side) if side.any() else fitted
-    calibrate(model, [texts[i] for i in checked], labels_[checked], spoken[checked])
-    return model
+    labels_, side = np.concatenate(marks), np.concatenate(aside)
+    if len(np.unique(labels_[~side])) < 2:
+        side[:] = False
+        chosen = chosen.withColumn("apart", F.lit(False))
+    model = train([text for text, out in zip(texts, side) if not out], labels_[~side])
+    known = marked.join(chosen, ["_id", "mark"], "left")
+    return model, known.select("_id", "mark", F.coalesce(~F.col("apart"), F.lit(False)).alias("fitted"))
+
+
+def margin_cells(found: DataFrame, known: DataFrame) -> np.ndarray:
+    """Rows of (language, label, fitted, bin, number of texts) of all labelled texts.
+
+    ``found`` has (doc_id, language, margin). There are at most so many rows as bins, whatever the
+    number of texts; margins beyond the last bin count there.
+    """
+    place = F.floor(F.col("margin") * BINS_PER_UNIT)
+    joined = found.join(known, F.col("doc_id") == F.col("_id"))
+    joined = joined.select(
+        F.col("language").cast("long").alias("language"),
+        F.col("mark").cast("long").alias("mark"),
+        F.col("fitted").cast("long").alias("fitted"),
+        F.least(F.greatest(place, F.lit(-MAX_BIN)), F.lit(MAX_BIN)).alias("bin"),
+    )
+    cells = joined.groupBy("language", "mark", "fitted", "bin").agg(F.count("*").alias("n")).toArrow()
+    return np.stack([column.to_numpy() for column in cells.columns], 1)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every whole text.
 
-    The language that picks a threshold is read off the text. A null or empty text scores as one
-    without words. Without labels of both kinds every score is 0. Rows that repeat an id are scored
-    on their own texts.
+    The language that picks a threshold is read off the text; thresholds make the fewest errors on
+    all labelled texts outside the fold. A null or empty text scores as one without words. Without
+    labels of both kinds every score is 0. Rows that repeat an id are scored on their own texts.
     """
-    model = learn(docs, labels)
+    learned = learn(docs, labels)
     slim = docs.select("doc_id", held_out("doc_id", FOLD).alias("held_out"), "text")
+    if learned is None:
+        return slim.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    model, known = learned
     schema = T.StructType(
-        [docs.schema["doc_id"], *T.StructType.fromDDL("held_out boolean, score double, predicted int")]
+        [docs.schema["doc_id"], *T.StructType.fromDDL("held_out boolean, language int, margin double")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for rows, data, offsets in slices(batches):
             slots, first, languages = pieces(data, offsets, hasher)
-            score = np.zeros(rows.num_rows)
-            if model is not None:
-                score = scores(model, slots, first, languages)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id"),
                     rows.column("held_out"),
-                    pa.array(score),
-                    pa.array((score >= 0.5).astype(np.int32)),
+                    pa.array(languages.astype(np.int32)),
+                    pa.array(margins(model, slots, first)),
                 ],
                 names=schema.fieldNames(),
             )
 
-    return slim.mapInArrow(run, schema)
+    # Every text is gone through once; thresholds need the margins before there are scores.
+    found = staged(slim.mapInArrow(run, schema), "margins")
+    calibrate(model, margin_cells(found, known))
+    cut = F.element_at(F.array(*[F.lit(float(t)) for t in model.thresholds]), F.col("language") + 1)
+    # 0.5 at the threshold of a text's language.
+    over = F.least(F.greatest((F.col("margin") - cut) * model.sharpness, F.lit(-40.0)), F.lit(40.0))
+    found = found.select("doc_id", "held_out", (F.lit(1.0) / (F.exp(-over) + 1)).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -58,6 +58,29 @@ def test_classifiers_on_awkward_rows(spark, given, scores):
     assert scores(docs.limit(0), few).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 20])
+def test_toxicity_thresholds_at_all_texts(spark, monkeypatch, share):
+    """The cut follows the labels' shares over all texts, not those of the bounded sample."""
+    prepare(spark)
+    monkeypatch.setattr(toxicity, "MAX_PER_LABEL", 60)
+    monkeypatch.setattr(toxicity, "_sample", lambda docs, chosen, limit: (chosen.collect(), np.zeros(60, bool)))
+    monkeypatch.setattr(toxicity, "train", lambda docs, marks: toxicity.new_model(np.zeros(0, int)))
+    # Margins by a bin: clean ones in 0 to 9, toxic ones in 5 to 14, as many in each of them.
+    ids = [i for i in range(10**6) if brute.fold(i) != 0][: 200 * (share + 1)]
+    toxic = set(ids[:200])
+    marks = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    model, known = toxicity.learn(marks, marks)
+    assert known.count() == len(ids) and 60 < known.where("fitted").count() <= 120
+    rows = [(i, 0, float(n % 10 + 5 * (n < 200))) for n, i in enumerate(ids)]
+    toxicity.calibrate(
+        model, toxicity.margin_cells(spark.createDataFrame(rows, "doc_id long, language int, margin double"), known)
+    )
+    cut = model.thresholds[0]
+    errors = [sum((m >= c) != (i in toxic) for i, _, m in rows) for c in [cut, *np.arange(-0.5, 15)]]
+    assert errors[0] <= min(errors) + 0.05 * len(toxic)
+    assert share == 1 or cut > 9
+
+
 def test_toxicity_gradient():
     """The training step follows the slope of the loss."""
     rng = np.random.default_rng(0)
