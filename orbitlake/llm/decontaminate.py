@@ -222,15 +222,14 @@ def contamination(docs: DataFrame, items: DataFrame, digest: bool = True) -> Dat
     spans = spans.select(*key, covered.alias("n_hit"))
     named = hits.select(*key, "window").distinct().join(windows.select("window", "item_id"), "window")
     named = named.select(*key, F.col("item_id").cast("string").alias("item")).distinct()
-    named = named.groupBy(*key).agg(
+    named = named.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
         F.count("*").alias("n_items"),
         F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("items_sha256"),
     )
-    found = staged(spans.join(named, key), "contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "n_hit", "n_items", "items_sha256"
-    )
-    sized = places.where("shingle is null").select("doc_id", "row", "n_words")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
+    found = spans.join(named, same).select("_id", "_row", "n_hit", "n_items", "items_sha256")
+    found = staged(found, "contaminated")
+    sized = places.where("shingle is null").select("doc_id", "row", "n_words")
     judged = sized.join(found, same, "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return judged.select(

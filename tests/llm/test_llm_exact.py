@@ -103,6 +103,17 @@ def test_contamination(spark, docs, benchmark):
     assert kept.count() == sum(n for row, n in want.items() if not row[-1])
 
 
+def test_contamination_without_an_id(spark):
+    rows = [(None, "Intro. " + brute.ITEM + " outro"), (None, "a clean row"), (1, brute.ITEM), (1, "clean too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(5, brute.ITEM)], "item_id long, text string")
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = counted(decontaminate.contamination(docs, table).collect(), *names)
+    assert got == brute.contamination(rows, [(5, brute.ITEM)])
+    kept = decontaminate.drop_contaminated(docs, table).collect()
+    assert {r["text"] for r in kept} == {"a clean row", "clean too"}
+
+
 def test_mixture(docs):
     rows = [(r["doc_id"], r["source"], len(brute.tokens(r["text"]))) for r in docs.collect()]
     sizes = {}
