@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitlake.llm.tables import staged
-from orbitlake.session import literal_table
+from orbitlake.llm.tables import drop_path, staged
+from orbitlake.session import literal_table, scratch_path
 
 #: (host, start of the path, verdict)
 RULES = (
@@ -19,7 +19,10 @@ RULES = (
     ("com", "/de/", "block"),
 )
 DAMPING = 0.85
+#: Rounds of the SQL counterpart, which has no loop; the operator goes on until ranks settle.
 ROUNDS = 10
+#: Ranks have settled when a round adds no more than this share to any of them.
+TOLERANCE = 1e-12
 #: A host is blocked when its distrust is above so many times its trust.
 RATIO = 2.0
 
@@ -85,28 +88,36 @@ def host_links(pages: DataFrame) -> DataFrame:
     return found.groupBy("source", "target").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(
+    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
     """(host, kind, rank): personalised PageRank of each kind of seed over its own links.
 
-    ``seeds`` holds (host, kind, seed), ``links`` (kind, source, target, share). Each round is a
-    join and a sum over hosts, written to the shared folder; the rounds end when no rank moves.
+    ``seeds`` holds (host, kind, seed), ``links`` (kind, source, target, share). Each round moves on
+    what the round before added, by a join and a sum over hosts, and is written to the shared
+    folder. Rounds end when none adds more than ``tolerance`` times a rank: a host that is reached
+    for the first time always asks for another, so a chain of links is followed to its end, and
+    cycles take about 170 rounds at 1e-12.
     """
-    ranks = staged(seeds.select("host", "kind", F.col("seed").alias("rank")), "ranks")
-    for _ in range(rounds):
-        moved = ranks.join(
-            links, (ranks["host"] == links["source"]) & (ranks["kind"] == links["kind"])
-        ).select(links["target"].alias("host"), links["kind"], (F.col("rank") * F.col("share") * damping).alias("rank"))
-        given = seeds.select("host", "kind", (F.col("seed") * (1 - damping)).alias("rank"))
-        after = given.union(moved).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
-        after = staged(after, "ranks")
-        before = ranks.select("host", "kind", F.col("rank").alias("before"))
-        change = after.join(before, ["host", "kind"], "full").agg(
-            F.max(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("before", F.lit(0.0))))
+    spark = seeds.sparkSession
+    given = (F.col("seed") * (1 - damping)).alias("rank")
+    ranks, path = staged(seeds.select("host", "kind", given).withColumn("added", F.col("rank")), "ranks"), None
+    while True:
+        front = ranks.where("added > 0").select("host", F.col("kind").alias("_kind"), "added")
+        moved = front.join(links, (front["host"] == links["source"]) & (front["_kind"] == links["kind"])).select(
+            links["target"].alias("host"), links["kind"], (F.col("added") * F.col("share") * damping).alias("rank")
         )
-        ranks = after
-        if (change.first()[0] or 0.0) < 1e-12:
-            break
-    return ranks
+        after = ranks.select("host", "kind", "rank", F.lit(0.0).alias("added"))
+        after = after.union(moved.withColumn("added", F.col("rank")))
+        after = after.groupBy("host", "kind").agg(F.sum("rank").alias("rank"), F.sum("added").alias("added"))
+        written = scratch_path(spark, "ranks")
+        after.write.parquet(written)
+        ranks = spark.read.schema(ranks.schema).parquet(written)
+        if path:
+            drop_path(spark, path)
+        path = written
+        if ranks.where(F.col("added") > F.col("rank") * tolerance).isEmpty():
+            return ranks.select("host", "kind", "rank")
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

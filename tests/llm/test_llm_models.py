@@ -250,3 +250,32 @@ def test_urls(spark):
     given_pages = read(spark, SF_DIR, "pages")
     rows = [(r["page_id"], r["url"], r["html"]) for r in given_pages.collect()]
     assert counted(urls.url_verdicts(given_pages).collect(), *names) == plain_verdicts(rows)
+
+
+def test_url_ranks_settle(spark):
+    """A chain of more than ten hosts to a cycle, against the solution of the linear system."""
+    prepare(spark)
+    chain = [f"h{n:02}" for n in range(16)]
+    links = [(a, b, 1.0) for a, b in zip(chain, chain[1:-1])] + [("h14", "h15", 0.5), ("h14", "h00", 0.5)]
+    links += [("x", "y", 1.0), ("y", "x", 1.0)]
+    seeds = {"h00": 0.75, "x": 0.25}
+    hosts = [*chain, "x", "y"]
+    step = np.eye(len(hosts))
+    for a, b, share in links:
+        step[hosts.index(b), hosts.index(a)] -= urls.DAMPING * share
+    want = np.linalg.solve(step, [(1 - urls.DAMPING) * seeds.get(h, 0) for h in hosts])
+    given = spark.createDataFrame([(h, "trust", n) for h, n in seeds.items()], "host string, kind string, seed double")
+    table = [("trust", *link) for link in links]
+    table = spark.createDataFrame(table, "kind string, source string, target string, share double")
+    got = {r["host"]: r["rank"] for r in urls.propagate(given, table, tolerance=1e-4).collect()}
+    assert [got.get(h, 0.0) for h in hosts] == pytest.approx(list(want), rel=5e-3)
+
+
+def test_url_verdicts_along_a_chain(spark):
+    prepare(spark)
+    hosts = [f"h{n}.net" for n in range(13)] + ["bad.example.com"]
+    pages = [(n, f"http://{a}/", f'<a href="http://{b}/de/">') for n, (a, b) in enumerate(zip(hosts, hosts[1:]))]
+    pages += [(99, "http://bad.example.com/de/", ""), (100, "http://other.net/", "")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.url_verdicts(table).collect()}
+    assert got.pop(100) == "allow" and set(got.values()) == {"block"}
