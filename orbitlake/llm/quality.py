@@ -231,6 +231,8 @@ def sample_ids(ids: DataFrame, limit: int) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on texts outside the held-out fold: labelled good ones, and any others without labels."""
     seen = ~held_out("doc_id", FOLD)
+    # The bound is on texts there are, so labels of other texts go first.
+    labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
     good = labels.where(seen & (F.col("quality") == 1)).select("doc_id")
     slim, rows = docs.select("doc_id", "text"), []
     for ids, limit in ((good, MAX_POSITIVES), (docs.where(seen).select("doc_id"), MAX_UNLABELLED)):

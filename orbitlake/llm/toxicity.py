@@ -274,6 +274,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame] | None:
 
     And (_id, mark, fitted) of all labelled ids outside the fold. None without labels of both kinds.
     """
+    # The bound is on texts there are, so labels of other texts go first.
+    labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
     seen = labels.where(~held_out("doc_id", FOLD) & F.col("toxic").isin(0, 1))
     marked = seen.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("mark")).distinct()
     chosen = [

@@ -81,6 +81,17 @@ def test_toxicity_thresholds_at_all_texts(spark, monkeypatch, share):
     assert share == 1 or cut > 9
 
 
+def test_labels_of_other_texts(spark, monkeypatch):
+    """The bounded sample is drawn from labels whose texts are there."""
+    prepare(spark)
+    monkeypatch.setattr(quality, "MAX_POSITIVES", 3)
+    monkeypatch.setattr(toxicity, "MAX_PER_LABEL", 3)
+    docs = spark.createDataFrame([(n, f"some words {n}") for n in range(40)], "doc_id long, text string")
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 2 AS int) AS toxic")
+    assert quality.learn(docs, labels) is not None
+    assert toxicity.learn(docs, labels) is not None
+
+
 def test_toxicity_gradient():
     """The training step follows the slope of the loss."""
     rng = np.random.default_rng(0)
