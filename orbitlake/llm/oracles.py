@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orbitlake.llm import decontaminate, urls
+from orbitlake.llm import decontaminate, lexical, passages, urls
 
 _LOWER = f"translate(coalesce({{}}, ''), '{urls.UPPER}', '{urls.LOWER}')"
 _WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -83,3 +83,45 @@ SELECT page_id, host, path, rule,
   coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged
 """
+
+_RUN = passages.WINDOW
+REPEATED_PASSAGES = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+place AS (
+  SELECT r, s, array_to_string(w[s : s + {_RUN - 1}], ' ') AS win
+  FROM (SELECT r, w, unnest(range(1, len(w) - {_RUN - 2})) AS s FROM doc WHERE len(w) >= {_RUN})),
+often AS (SELECT win FROM place GROUP BY win HAVING count(*) > 1),
+covered AS (SELECT DISTINCT r, unnest(range(s, s + {_RUN})) AS k FROM place JOIN often USING (win)),
+gone AS (
+  SELECT r, count(*) AS n_removed, count(*) FILTER (coalesce(k - before, 2) > 1) AS n_spans
+  FROM (SELECT r, k, lag(k) OVER (PARTITION BY r ORDER BY k) AS before FROM covered) GROUP BY r),
+word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM doc),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY k) AS kept FROM word ANTI JOIN covered USING (r, k) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+RANKED = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM doc WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc) GROUP BY r, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+ask AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark),
+term AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(w) AS term FROM ask) GROUP BY q, term),
+score AS (
+  SELECT q, r, CAST(sum(times * weight * ((1000000000 * tf) //
+    (1000 * tf + 8 * (100 - 75 + ((75 * len(w) * docs) // words))))) AS BIGINT) AS score
+  FROM term JOIN weight USING (term) JOIN tf USING (term) JOIN doc USING (r), total GROUP BY q, r),
+ranked AS (
+  SELECT q, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM score JOIN doc USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN ask USING (q) WHERE rank <= {lexical.TOP}
+"""

@@ -10,8 +10,10 @@ import orbitlake
 from orbitlake.llm import oracles
 from orbitlake.llm.decontaminate import contamination
 from orbitlake.llm.kneser_ney import lm_scores
+from orbitlake.llm.lexical import lexical_search
 from orbitlake.llm.licenses import license_report
 from orbitlake.llm.mixing import mixture
+from orbitlake.llm.passages import passage_report
 from orbitlake.llm.quality import quality_scores
 from orbitlake.llm.simhash import simhash_groups
 from orbitlake.llm.suffixes import removal_report
@@ -19,6 +21,7 @@ from orbitlake.llm.tables import read
 from orbitlake.llm.toxicity import toxicity_scores
 from orbitlake.llm.urls import url_verdicts
 from orbitlake.llm.vectors import vector_groups
+from orbitlake.llm.whitening import whiten
 from orbitlake.session import configure, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +96,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(read(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening_chebyshev")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_passages_blocks", oracles.REPEATED_PASSAGES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op13_lexical_blocks", oracles.RANKED)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

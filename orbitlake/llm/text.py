@@ -68,6 +68,51 @@ def word_spans(
     return starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, offsets)
 
 
+def pieces(data: np.ndarray, members: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about ``size`` that cover a text and cut no word; a longer word is not cut."""
+    start = 0
+    while start < len(data):
+        stop = start + size
+        while stop < len(data):
+            gaps = np.flatnonzero(~members[data[stop : stop + 65536]])
+            if len(gaps):
+                stop += int(gaps[0])
+                break
+            stop += 65536
+        stop = min(stop, len(data))
+        yield start, stop
+        start = stop
+
+
+def word_slices(
+    batches: Iterator[pa.RecordBatch], carry: int, members: np.ndarray = TOKEN_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int, int]]:
+    """Yield (rows, word hashes, first, base, old) without ever working on a whole long text.
+
+    ``first`` holds the number of each row's first word, and one more entry. A text that is longer
+    than a slice comes in pieces, each with its one row: its first word is the ``base``-th of the
+    text, and its ``old`` leading words, ``carry`` at most, were there in the piece before.
+    """
+    hasher = Hasher()
+
+    def hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hasher.load(data)
+        starts, ends, first = word_spans(data, offsets, members)
+        return hasher.ranges(starts, ends), first
+
+    for rows, data, offsets in slices(batches):
+        if len(data) <= 2 * SLICE_BYTES:
+            yield rows, *hashed(data, offsets), 0, 0
+            continue
+        held, seen = np.zeros(0, np.uint64), 0
+        for start, stop in pieces(data, members):
+            words = hashed(data[start:stop], np.array([0, stop - start]))[0]
+            whole = np.concatenate([held, words])
+            yield rows, whole, np.array([0, len(whole)]), seen - len(held), len(held)
+            seen += len(words)
+            held = whole[len(whole) - min(carry, len(whole)) :]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a bijection)."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -117,6 +162,24 @@ def ngrams(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray,
     return mix(rolled[at] + np.uint64(size)), at
 
 
+class Roller:
+    """Hashes of all runs of ``size`` consecutive words, from one running sum of word hashes."""
+
+    def __init__(self, size: int, salt: int = 0) -> None:
+        self.size, self.salt, self.hasher = size, np.uint64(salt), Hasher()
+
+    def __call__(self, words: np.ndarray) -> np.ndarray:
+        """One hash for each word that has enough words behind it, across documents too."""
+        count = len(words) - self.size + 1
+        if count <= 0:
+            return np.zeros(0, np.uint64)
+        self.hasher._grow(len(words) + 1)
+        values = mix(words ^ self.salt) if self.salt else words
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(values * self.hasher.powers[: len(words)], out=sums[1:])
+        return mix((sums[self.size :] - sums[:count]) * self.hasher.inverses[:count])
+
+
 def marked(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """True for hashes whose slot is set in a bitmap of :func:`orbitlake.llm.tables.bitmap`."""
     slot = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)

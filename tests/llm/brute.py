@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -103,6 +104,8 @@ def fingerprint(text):
 def groups(count, linked):
     """Smallest reachable index of each row; ``linked`` is a symmetric boolean matrix."""
     label = np.arange(count)
+    if not count:
+        return label
     linked = linked | np.eye(count, dtype=bool)
     while True:
         after = np.where(linked, label[None, :], count).min(1)
@@ -171,5 +174,57 @@ def removal(docs):
     return Counter(found)
 
 
+def repeated_words(rows, size=35):
+    """(doc_id, n_words, n_removed, kept_sha256, n_spans) of each text, window by window."""
+    found = [tokens(t) for _, t in rows]
+    seen = Counter(tuple(w[i : i + size]) for w in found for i in range(len(w) - size + 1))
+    out = []
+    for (doc_id, _), w in zip(rows, found):
+        gone = np.zeros(len(w), bool)
+        for i in range(len(w) - size + 1):
+            gone[i : i + size] |= seen[tuple(w[i : i + size])] > 1
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        out.append((doc_id, len(w), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest(), spans))
+    return Counter(out)
+
+
+def ranking(docs, items, top=10):
+    """(item_id, rank, doc_id, score) by scoring every document for every item."""
+    bags = [(doc_id, Counter(words(text))) for doc_id, text in docs]
+    bags = [(doc_id, bag, sum(bag.values())) for doc_id, bag in bags if bag]
+    total, length = len(bags), sum(n for *_, n in bags)
+    df = Counter(term for _, bag, _ in bags for term in bag)
+    weight = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * f + 1))) for t, f in df.items()}
+    out = []
+    for item_id, text in items:
+        scores = []
+        for doc_id, bag, n in bags:
+            m = 25 + 75 * n * total // length
+            score = sum(
+                times * weight[t] * (10**9 * bag[t] // (1000 * bag[t] + 8 * m))
+                for t, times in Counter(words(text)).items()
+                if t in bag
+            )
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        out += [(item_id, r, d, -s) for r, (s, _, d) in enumerate(sorted(scores)[:top], 1)]
+    return Counter(out)
+
+
+def whitened(rows, components=4):
+    """{vec_id: [(deviation, whitened per component)]} of usable vectors of one length, and shares."""
+    kept = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.array([[math.floor(256 * float(c)) for c in v] for _, v in kept], object)
+    fits = np.array(sorted({tuple(r) for r in x.tolist()}), object)
+    n, sums = len(fits), fits.sum(0)
+    centred = (fits - sums / n).astype(float)
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    deviation = ((n * x - sums) ** 2).sum(1)
+    white = (x - sums / n).astype(float) @ axes[:, :components] / np.sqrt(values[:components])
+    return [i for i, _ in kept], n, deviation, white, values[:components] / values.sum()
+
+
 def as_rows(spark, rows, schema):
     return spark.createDataFrame([Row(*r) for r in rows], schema)
