@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitlake.llm.tables import held_out
+from orbitlake.llm.tables import held_out, smallest, staged
 from orbitlake.llm.text import LOWER, TOKEN_BYTES, Hasher, mix, ngrams, slices, word_spans
 
 FOLD = 0
 KEEP_SCORE = 0.3
-#: Bounds of the training sample: trusted positives and unlabelled texts.
+#: Bounds of the sample that the weights are fitted on: trusted positives and unlabelled texts.
 MAX_POSITIVES = 20_000
 MAX_UNLABELLED = 40_000
+#: Cells of margins in which all texts are counted; the outer ones take what lies beyond.
+EDGES = np.arange(-24 * 64, 24 * 64 + 1) / 64
 HIDDEN = 16
 STEPS = 3000
 PASSES = 60
@@ -159,86 +161,129 @@ def _train(
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of positives among unlabelled scores.
+    """The share of positives among unlabelled texts, from counts of both by rising margin.
 
-    Above any score, unlabelled text holds at least ``prior`` times the share of the positives; the
-    least ratio over the scores that many positives exceed comes close to the prior.
+    Above any margin, unlabelled text holds at least ``prior`` times the share of the positives; the
+    least ratio over the margins that many positives exceed comes close to the prior.
     """
-    cuts = np.quantile(positive, np.linspace(0.02, 0.5, 25))
-    shares = [(unlabelled >= c).mean() / max((positive >= c).mean(), 1e-9) for c in cuts]
-    return float(np.clip(min(shares), 0.02, 0.98))
+    above = [1 - np.append(0, np.cumsum(n))[:-1] / max(n.sum(), 1) for n in (positive, unlabelled)]
+    many = (above[0] <= 0.98) & (above[0] >= 0.5)
+    if not many.any():
+        many = above[0] > 0
+    return float(np.clip((above[1][many] / above[0][many]).min(initial=1.0), 0.02, 0.98))
 
 
 def best_cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
-    """The margin with the least non-negative risk of a wrong verdict.
+    """The margin with the least non-negative risk of a wrong verdict, from counts by rising margin.
 
     Of margins that are as good, one on the low side: unseen good texts score less than seen ones.
     """
-    cuts = np.unique(np.quantile(np.concatenate([positive, unlabelled]), np.linspace(0.001, 0.6, 400)))
-    p = np.searchsorted(np.sort(positive), cuts) / len(positive)
-    u = np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    risk = prior * p + np.maximum((1 - u) - prior * (1 - p), 0)
-    good = cuts[risk <= risk.min() + 0.002]
+    below = [np.append(0, np.cumsum(n))[:-1] / max(n.sum(), 1) for n in (positive, unlabelled)]
+    risk = prior * below[0] + np.maximum((1 - below[1]) - prior * (1 - below[0]), 0)
+    # Not beyond the margin that most texts have.
+    risk = np.where(below[1] <= 0.6, risk, np.inf)
+    good = EDGES[np.flatnonzero(risk <= risk.min() + 0.002)]
+    # Empty cells at the low end say nothing.
+    good = np.maximum(good, EDGES[max(int(np.argmax(positive + unlabelled > 0)) - 1, 0)])
     return float(good[0] + 0.3 * (good[-1] - good[0]))
 
 
-def fit(positives: np.ndarray, unlabelled: np.ndarray) -> Model | None:
-    """A model, or None when there is nothing to learn from."""
-    if not len(positives) or not len(unlabelled):
-        return None
-    rows = np.concatenate([positives, unlabelled]).astype(np.float64)
-    mean, scale = rows.mean(0), rows.std(0) + 1e-3
-    model = Model(mean, scale, [], 0.5)
-    p, u = model.inputs(positives), model.inputs(unlabelled)
-    # Few texts are gone through at most so many times.
-    steps = int(np.clip(PASSES * len(u) / BATCH, STEPS // 10, STEPS))
-    if min(len(p), len(u)) > 1:
-        # Each half is scored by what the other half taught: texts never vouch for themselves.
-        margins: list[list[np.ndarray]] = [[], []]
-        for half in (0, 1):
-            model.weights = _train(p[half::2], u[half::2], None, steps // 3)
-            margins[0].append(model.margin(positives[1 - half :: 2]))
-            margins[1].append(model.margin(unlabelled[1 - half :: 2]))
-        model.prior = float(np.mean([estimate_prior(a, b) for a, b in zip(*margins)]))
-    model.weights = _train(p, u, model.prior, steps)
-    # The cut becomes the score from which texts are kept.
-    cut = best_cut(model.margin(positives), model.margin(unlabelled), model.prior)
-    model.weights[3] += np.log(KEEP_SCORE / (1 - KEEP_SCORE)) - cut
-    return model
+def _floats(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("row").flatten().to_numpy().reshape(-1, N_FEATURES).astype(np.float64)
+
 
+def margin_counts(seen: DataFrame, models: list[Model]) -> np.ndarray:
+    """Texts by (half, positive or unlabelled, cell of the margin), over all of ``seen``.
+
+    A text of half h is scored by model h, the one that has not learned from its half.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows, half = _floats(batch), batch.column("half").to_numpy()
+            margin = np.choose(half % len(models), [m.margin(rows) for m in models])
+            cell = np.clip(np.searchsorted(EDGES, margin, "right") - 1, 0, len(EDGES) - 1)
+            good = batch.column("good").to_numpy(zero_copy_only=False)
+            # A positive is an unlabelled text as well.
+            kinds = ((half * 2 + 1) * len(EDGES) + cell, half[good] * 2 * len(EDGES) + cell[good])
+            at, n = np.unique(np.concatenate(kinds), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["at", "n"])
+
+    cells = seen.select("row", "half", "good").mapInArrow(run, "at long, n long")
+    cells = cells.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(4 * len(EDGES), np.int64)
+    counts[cells.column("at").to_numpy()] = cells.column("n").to_numpy()
+    return counts.reshape(2, 2, len(EDGES))
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, key, row) of every whole text: its features, and a hash of id and text."""
+    slim = docs.select(
+        "doc_id",
+        held_out("doc_id", FOLD).alias("held_out"),
+        F.xxhash64(F.lit(3), "doc_id", "text").alias("key"),
+        "text",
+    )
+    schema = T.StructType(
+        [docs.schema["doc_id"], *T.StructType.fromDDL("held_out boolean, key long, row array<float>")]
+    )
 
-def _feature_rows(docs: DataFrame, limit: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for _, data, offsets in slices(batches):
-            rows = features(data, offsets, hasher)
+        for rows, data, offsets in slices(batches):
+            found = features(data, offsets, hasher)
+            cuts = pa.array(np.arange(len(found) + 1, dtype=np.int32) * N_FEATURES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in rows], pa.binary())], names=["row"]
+                [*rows.columns[:3], pa.ListArray.from_arrays(cuts, pa.array(found.ravel()))],
+                names=schema.fieldNames(),
             )
 
-    found = docs.select("text").mapInArrow(run, "row binary").limit(limit).toArrow()
-    # Rows arrive in any order; training must not depend on it.
-    raw = b"".join(sorted(found.column("row").to_pylist()))
-    return np.frombuffer(raw, np.float32).reshape(-1, N_FEATURES)
+    return slim.mapInArrow(run, schema)
+
 
+def _sample(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and halves of a bounded sample: the same rows in every run, in the same order."""
+    # Rows that repeat as a whole have one key, and are one text here.
+    rows = rows.groupBy("key").agg(F.first("row").alias("row"), F.first("half").alias("half"))
+    found = smallest(rows, "key", limit).toArrow().sort_by("key").combine_chunks()
+    if not found.num_rows:
+        return np.zeros((0, N_FEATURES)), np.zeros(0, np.int64)
+    return _floats(found.to_batches()[0]), found.column("half").to_numpy()
 
-def sample_ids(ids: DataFrame, limit: int) -> DataFrame:
-    """The ``limit`` ids with the smallest hashes: the same ones in every run."""
-    hashed = ids.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
-    return hashed.orderBy(F.xxhash64(F.lit(3), "_id"), "_id").limit(limit)
 
+def learn(texts: DataFrame, labels: DataFrame) -> Model | None:
+    """Fit on ``described`` texts outside the held-out fold: labelled good ones, and all as unlabelled.
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on texts outside the held-out fold: labelled good ones, and any others without labels."""
-    seen = ~held_out("doc_id", FOLD)
-    # The bound is on texts there are, so labels of other texts go first.
-    labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
-    good = labels.where(seen & (F.col("quality") == 1)).select("doc_id")
-    slim, rows = docs.select("doc_id", "text"), []
-    for ids, limit in ((good, MAX_POSITIVES), (docs.where(seen).select("doc_id"), MAX_UNLABELLED)):
-        chosen = F.broadcast(sample_ids(ids, limit))
-        rows.append(_feature_rows(slim.join(chosen, F.col("doc_id") == F.col("_id")), limit))
-    return fit(*rows)
+    The weights are fitted on bounded samples. The class prior and the cut come from the margins of
+    all texts outside the fold, as counts by cell, so that they behave alike at every size. None
+    when there is nothing to learn from.
+    """
+    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("_id")).distinct()
+    seen = texts.where("not held_out").join(good, F.col("doc_id") == F.col("_id"), "left")
+    half = F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(2)).alias("half")
+    seen = staged(seen.select("key", "row", half, F.col("_id").isNotNull().alias("good")), "qualityrows")
+    p, of_p = _sample(seen.where("good"), MAX_POSITIVES)
+    u, of_u = _sample(seen, MAX_UNLABELLED)
+    if not len(p):
+        return None
+    rows = np.concatenate([p, u])
+    model = Model(rows.mean(0), rows.std(0) + 1e-3, [], 0.5)
+    p, u = model.inputs(p), model.inputs(u)
+    # Few texts are gone through at most so many times.
+    steps = int(np.clip(PASSES * len(u) / BATCH, STEPS // 10, STEPS))
+    if all((of == h).any() for of in (of_p, of_u) for h in (0, 1)):
+        # Each half is scored by what the other half taught: texts never vouch for themselves.
+        halves = [
+            replace(model, weights=_train(p[of_p != h], u[of_u != h], None, steps // 3)) for h in (0, 1)
+        ]
+        model.prior = float(np.mean([estimate_prior(*n) for n in margin_counts(seen, halves)]))
+    model.weights = _train(p, u, model.prior, steps)
+    # The cut becomes the score from which texts are kept.
+    cut = best_cut(*margin_counts(seen, [model]).sum(0), model.prior)
+    model.weights[3] += np.log(KEEP_SCORE / (1 - KEEP_SCORE)) - cut
+    return model
 
 
 def _scores(model: Model | None, rows: np.ndarray) -> np.ndarray:
@@ -251,32 +296,25 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null text scores as an empty one. Without labels of good texts every score is 0.5. Rows that
     repeat an id are scored on their own texts.
     """
-    model = learn(docs, labels)
-    slim = docs.select("doc_id", held_out("doc_id", FOLD).alias("held_out"), "text")
+    found = staged(described(docs), "quality")
+    model = learn(found, labels)
     schema = T.StructType(
         [docs.schema["doc_id"], *T.StructType.fromDDL("held_out boolean, score double, predicted int")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for rows, data, offsets in slices(batches):
-            score = _scores(model, features(data, offsets, hasher))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    rows.column("held_out"),
-                    pa.array(score),
-                    pa.array((score >= KEEP_SCORE).astype(np.int32)),
-                ],
-                names=schema.fieldNames(),
-            )
+        for batch in batches:
+            score = _scores(model, _floats(batch))
+            kept = pa.array((score >= KEEP_SCORE).astype(np.int32))
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(score), kept]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    return slim.mapInArrow(run, schema)
+    return found.select("doc_id", "held_out", "row").mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the texts the classifier rejects; all columns are kept."""
-    model = learn(docs, labels)
+    model = learn(staged(described(docs), "quality"), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()

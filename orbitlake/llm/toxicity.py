@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitlake.llm.quality import sample_ids
-from orbitlake.llm.tables import held_out, staged
+from orbitlake.llm.tables import held_out, smallest, staged
 from orbitlake.llm.text import LOWER, WORD_BYTES, Hasher, mix, slices, word_spans
 
 FOLD = 0
@@ -255,20 +254,31 @@ def _sample(docs: DataFrame, chosen: DataFrame, limit: int) -> tuple[list[np.nda
             slots, first, _ = pieces(data, offsets, hasher)
             yield pa.RecordBatch.from_arrays(
                 [
+                    rows.column("key"),
                     pa.array([slots[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
                     rows.column("apart"),
                 ],
-                names=["slots", "apart"],
+                names=["key", "slots", "apart"],
             )
 
     slim = docs.select("doc_id", "text")
-    joined = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "apart")
-    found = joined.mapInArrow(run, "slots binary, apart boolean").limit(limit).toArrow()
+    joined = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    joined = joined.select(F.xxhash64(F.lit(3), "doc_id", "text").alias("key"), "text", "apart")
+    found = staged(joined.mapInArrow(run, "key long, slots binary, apart boolean"), "labelled")
+    # An id may stand for many rows; rows that repeat as a whole are one text here.
+    found = found.groupBy("key").agg(F.first("slots").alias("slots"), F.first("apart").alias("apart"))
+    found = smallest(found, "key", limit).toArrow()
     rows = sorted(zip(found.column("slots").to_pylist(), found.column("apart").to_pylist()))
     slots = [np.frombuffer(r[0], np.int32).reshape(-1, PIECES) for r in rows]
     return slots, np.array([r[1] for r in rows], bool)
 
 
+def sample_ids(ids: DataFrame, limit: int) -> DataFrame:
+    """``limit`` ids, chosen by their hashes: the same ones in every run."""
+    ids = ids.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
+    return smallest(ids.withColumn("_key", F.xxhash64(F.lit(3), "_id")), "_key", limit)
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame] | None:
     """A model fitted on some of the labelled texts outside the held-out fold, without thresholds.
 

@@ -8,10 +8,11 @@ import brute
 import numpy as np
 import pytest
 from brute import counted
+from pyspark.sql import functions as F
 
 from orbitlake.llm import kneser_ney, quality, toxicity, urls
 from orbitlake.llm.queries import prepare
-from orbitlake.llm.tables import read
+from orbitlake.llm.tables import read, smallest
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -32,19 +33,70 @@ def held_out_accuracy(rows, labels, column):
     return np.mean([r["predicted"] == marks[r["doc_id"]] for r in own])
 
 
+def class_rates(rows, labels, column):
+    """(area under the curve, share of found ones, share of spared zeros) of the held-out fold."""
+    marks = {r["doc_id"]: r[column] for r in labels.collect()}
+    own = [(r["score"], r["predicted"], marks[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in marks]
+    score, said, mark = map(np.array, zip(*own))
+    one, zero = score[mark == 1], score[mark == 0]
+    area = (one[:, None] > zero).mean() + 0.5 * (one[:, None] == zero).mean()
+    return area, said[mark == 1].mean(), 1 - said[mark == 0].mean()
+
+
 def test_quality_held_out(given):
     rows = quality.quality_scores(*given).collect()
     assert held_out_accuracy(rows, given[1], "quality") > 0.9
+    area, found, spared = class_rates(rows, given[1], "quality")
+    assert area > 0.98 and found > 0.9 and spared > 0.85
     kept = quality.keep_good(*given)
     assert kept.count() == sum(r["predicted"] for r in rows) and kept.columns == given[0].columns
 
 
-def test_toxicity_held_out(given):
-    rows = toxicity.toxicity_scores(*given).collect()
-    assert held_out_accuracy(rows, given[1], "toxic") > 0.9
+def test_toxicity_held_out(spark):
+    """On enough texts that neither class can be ignored."""
+    prepare(spark)
+    docs, labels = (read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    rows = toxicity.toxicity_scores(docs, labels).collect()
+    assert held_out_accuracy(rows, labels, "toxic") > 0.95
+    area, found, spared = class_rates(rows, labels, "toxic")
+    assert area > 0.95 and found > 0.8 and spared > 0.97
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_quality_samples_do_not_depend_on_partitions(spark, given, monkeypatch):
+    """Bounds that bite, ids that repeat with one text or several: one model and one result."""
+    docs, labels = given
+    monkeypatch.setattr(quality, "MAX_POSITIVES", 60)
+    monkeypatch.setattr(quality, "MAX_UNLABELLED", 100)
+    monkeypatch.setattr(quality, "STEPS", 60)
+    other = docs.withColumn("text", F.concat("text", F.lit(" more")))
+    twice = docs.select("doc_id", "text").union(docs.select("doc_id", "text")).union(other.select("doc_id", "text"))
+    found = [
+        counted(quality.quality_scores(twice.repartition(parts), labels).collect(), "doc_id", "score")
+        for parts in (2, 7)
+    ]
+    assert found[0] == found[1]
+
+
+def test_toxicity_samples_do_not_depend_on_partitions(spark, given, monkeypatch):
+    docs, labels = given
+    monkeypatch.setattr(toxicity, "MAX_PER_LABEL", 20)
+    other = docs.withColumn("text", F.concat("text", F.lit(" more")))
+    twice = docs.select("doc_id", "text").union(other.select("doc_id", "text"))
+    chosen = toxicity.sample_ids(labels, 20).withColumn("apart", F.col("_id") % 2 == 0)
+    assert chosen.count() == 20
+    one, two = (toxicity._sample(twice.repartition(parts), chosen, 20) for parts in (2, 7))
+    assert len(one[0]) == 20 and all((a == b).all() for a, b in zip(one[0], two[0])) and (one[1] == two[1]).all()
+
+
+def test_smallest(spark):
+    rows = spark.range(3000).withColumn("key", F.xxhash64("id"))
+    want = smallest(rows, "key", 100).collect()
+    assert len({r["key"] for r in want}) == 100
+    assert sorted(want) == sorted(smallest(rows.repartition(13), "key", 100).collect())
+    assert smallest(rows, "key", 5000).count() == 3000 and smallest(rows.limit(0), "key", 5).count() == 0
+
+
 @pytest.mark.parametrize("scores", [quality.quality_scores, toxicity.toxicity_scores])
 def test_classifiers_on_awkward_rows(spark, given, scores):
     docs, labels = brute.awkward(spark), given[1]
@@ -88,7 +140,7 @@ def test_labels_of_other_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MAX_PER_LABEL", 3)
     docs = spark.createDataFrame([(n, f"some words {n}") for n in range(40)], "doc_id long, text string")
     labels = spark.range(20_000).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 2 AS int) AS toxic")
-    assert quality.learn(docs, labels) is not None
+    assert quality.learn(quality.described(docs), labels) is not None
     assert toxicity.learn(docs, labels) is not None
 
 
@@ -102,11 +154,58 @@ def test_toxicity_gradient():
     assert ((toxicity.margins(model, slots, first) > 0) == marks[:5]).all()
 
 
-def test_prior_estimate():
+def cells(values):
+    return np.bincount(np.searchsorted(quality.EDGES, values, "right") - 1, minlength=len(quality.EDGES))
+
+
+def test_prior_and_cut():
     rng = np.random.default_rng(1)
     good, bad = rng.normal(2, 1, 4000), rng.normal(-2, 1, 1200)
-    found = quality.estimate_prior(good[:1500], np.concatenate([good[1500:], bad]))
-    assert abs(found - 2500 / 3700) < 0.06
+    seen, rest = cells(good[:1500]), cells(np.concatenate([good[1500:], bad]))
+    prior = quality.estimate_prior(seen, rest)
+    assert abs(prior - 2500 / 3700) < 0.06
+    cut = quality.best_cut(seen, rest, prior)
+    errors = [(good < c).mean() * prior + (bad >= c).mean() * (1 - prior) for c in [cut, *np.arange(-3, 3, 0.1)]]
+    assert errors[0] <= min(errors) + 0.01
+
+
+def test_quality_counts_all_texts(spark, given):
+    """Cells hold every text outside the fold once, and the positives again."""
+    texts = quality.described(given[0]).cache()
+    rng = np.random.default_rng(2)
+    size = quality.N_FEATURES
+    models = [
+        quality.Model(np.zeros(size), np.ones(size), [rng.normal(size=(size, 4)), np.zeros(4), rng.normal(size=4), np.zeros(1)], 0.5)
+        for _ in range(2)
+    ]
+    seen = texts.where("not held_out").select(
+        "row", F.pmod("key", F.lit(2)).alias("half"), (F.col("doc_id") % 3 == 0).alias("good")
+    )
+    want = np.zeros((2, 2, len(quality.EDGES)), int)
+    for r in seen.collect():
+        margin = models[r["half"]].margin(np.array([r["row"]], np.float32).astype(float))[0]
+        cell = np.searchsorted(quality.EDGES, margin, "right") - 1
+        want[r["half"], 1, cell] += 1
+        want[r["half"], 0, cell] += r["good"]
+    assert (quality.margin_counts(seen, models) == want).all()
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.9])
+def test_quality_training_lowers_the_risk(prior):
+    """The non-negative risk, computed plainly, falls while weights are trained."""
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(1, 1, (quality.BATCH, 4)), rng.normal(0, 1, (quality.BATCH, 4))
+
+    def risk(weights):
+        def margin(x):
+            return np.tanh(x @ weights[0] + weights[1]) @ weights[2] + weights[3][0]
+
+        one = prior * np.logaddexp(0, -margin(p)).mean()
+        other = np.logaddexp(0, margin(u)).mean() - prior * np.logaddexp(0, margin(p)).mean()
+        return one + max(other, 0)
+
+    before, after = (risk(quality._train(p, u, prior, steps)) for steps in (1, 200))
+    assert after < before
 
 
 def plain_model(texts):
