@@ -137,3 +137,17 @@ PERSPECTIVE_HEIGHT_M = 35786400.0
 ORBIT_RADIUS_KM = 42164.537
 EQUATOR_RADIUS_KM = 6378.137
 POLAR_RADIUS_KM = 6356.752314
+
+# The ellipsoid, and the projection as well-known text.
+POLAR_AXIS_M = 6356752.31424518
+INVERSE_FLATTENING = 298.25722356301
+GEOS_WKT = (
+    'PROJCRS["Geostationary",BASEGEOGCRS["WGS 84",DATUM["World Geodetic System 1984",'
+    'ELLIPSOID["WGS 84",6378137,298.257223563,LENGTHUNIT["metre",1]]],'
+    'PRIMEM["Greenwich",0,ANGLEUNIT["degree",0.0174532925199433]]],'
+    'CONVERSION["Geostationary",METHOD["Geostationary Satellite (Sweep Y)"],'
+    'PARAMETER["Longitude of natural origin",0,ANGLEUNIT["degree",0.0174532925199433]],'
+    f'PARAMETER["Satellite Height",{PERSPECTIVE_HEIGHT_M:.0f},LENGTHUNIT["metre",1]]],'
+    'CS[Cartesian,2],AXIS["easting (X)",east,ORDER[1],LENGTHUNIT["metre",1]],'
+    'AXIS["northing (Y)",north,ORDER[2],LENGTHUNIT["metre",1]]]'
+)

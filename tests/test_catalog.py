@@ -93,10 +93,12 @@ def test_tile_heights():
     assert CubeConfig("HRFI").tile_height("500m") == 556
 
 
-def test_registry_covers_every_variable_once():
-    names = [v.name for v in variables.VARIABLES]
+def test_every_variable_is_stored_once():
+    names = [name for columns in variables.COLUMNS.values() for name in columns]
     assert len(names) == len(set(names)) == 26
-    assert all(v.dims in variables.TABLES for v in variables.VARIABLES)
+    assert set(variables.KEYS) == set(variables.COLUMNS)
+    for table in (variables.SWITCHED, variables.UNITS, variables.LONG_NAMES, variables.MORE, variables.COMPUTED):
+        assert set(table) <= set(names)
 
 
 def test_flags_drop_variables():
@@ -104,24 +106,29 @@ def test_flags_drop_variables():
         "FDHSI", include_pixel_quality=False, include_pixel_time=False, include_calibration=False,
         include_geolocation=False,
     )
-    kept = {v.name for v in variables.enabled_variables(config, ["vis_04"])}
+    kept = set(variables.chosen_columns(config, ["vis_04"]))
     assert kept.isdisjoint({"pixel_quality", "pixel_time", "slope", "latitude", "warm_slope"})
     assert {"counts", "x", "y", "time", "channel", "spatial_ref"} <= kept
 
 
 def test_warm_values_need_a_dual_gain_channel():
     config = CubeConfig("FDHSI")
-    assert "warm_slope" not in {v.name for v in variables.enabled_variables(config, ["vis_04"])}
-    assert "warm_slope" in {v.name for v in variables.enabled_variables(config, ["ir_38"])}
+    assert "warm_slope" not in variables.chosen_columns(config, ["vis_04"])
+    assert "warm_slope" in variables.chosen_columns(config, ["ir_38"], "slot_channel")
 
 
 def test_attributes_follow_the_options(spark):
-    by_name = {v.name: v for v in variables.VARIABLES}
     metre, radian = CubeConfig("FDHSI"), CubeConfig("FDHSI", projection_units="radian")
-    assert by_name["x"].metadata(metre)["units"] == "m"
-    assert by_name["x"].metadata(radian)["standard_name"] == "projection_x_angular_coordinate"
+    assert variables.attributes_of("x", "double", metre) == {
+        "axis": "X", "standard_name": "projection_x_coordinate", "units": "m",
+    }
+    assert variables.attributes_of("x", "double", radian)["standard_name"] == "projection_x_angular_coordinate"
     plain = CubeConfig("FDHSI", include_geolocation=False, pixel_time_dtype="int32")
-    assert by_name["pixel_time"].metadata(plain)["_FillValue"] == 2**31 - 1
+    kind = variables.chosen_columns(plain, ())["pixel_time"]
+    assert variables.attributes_of("pixel_time", kind, plain)["_FillValue"] == 2**31 - 1
+    fills = {n: variables.attributes_of(n, k, metre).get("_FillValue") for n, k in variables.chosen_columns(metre, ["ir_38"]).items()}
+    assert (fills["counts"], fills["pixel_quality"], fills["pixel_time"], fills["slope"]) == (65535, 0, "NaN", "NaN")
+    assert (fills["spatial_ref"], fills["time"], fills["channel"], fills["y"]) == (0, None, None, None)
     stripe = variables.group_attributes(CubeConfig("FDHSI", body_chunks=(32, 40)), "2km", {"license": "x"})
     assert (stripe["disk_row_start"], stripe["disk_row_stop"], stripe["license"]) == (4309, 5568, "x")
 

@@ -10,6 +10,8 @@ from orbitlake import constants as K
 from orbitlake.functions import ephemeris, geolocation, radiometry
 from orbitlake.functions.slots import slot_label
 from orbitlake.operators import rasters
+from orbitlake.plans import catalog
+from orbitlake.plans.config import CubeConfig
 from orbitlake.sources import grids
 from workload import tables as t
 from workload.registry import query
@@ -183,15 +185,20 @@ def projection_axes(spark, sf):
 
 @query(
     "axis_slice",
-    f"""WITH {t.PIXELS_SQL} SELECT DISTINCT "row" AS y, "row" - 8618 AS y_offset,
-      round(ya * 35786400, 3) AS y_m FROM pt WHERE resolution = '1km' AND "row" >= 8618 AND "row" < 11136""",
+    f"""WITH {t.PIXELS_SQL}, {t.WINDOWS_SQL} SELECT DISTINCT resolution, "row" AS y, "row" - y_start AS y_offset,
+      round(ya * 35786400, 3) AS y_m FROM pt JOIN win USING (resolution) WHERE "row" >= y_start AND "row" < y_stop""",
 )
 def axis_slice(spark, sf):
-    """The y axis of a stripe is a slice of the full-disk axis."""
-    rows = t.grid_pixels(spark, sf).filter(F.col("resolution") == "1km")
-    rows = rasters.crop_rows(rows.select(F.col("row").alias("y")).distinct(), 8618, 11136)
-    y_m = F.round(geolocation.proj_xy(F.col("y"), "1km"), 3)
-    return rows.select("y", "y_offset", y_m.alias("y_m"))
+    """The y axis of a stripe is a slice of the full-disk axis, on every grid."""
+    lines = t.grid_pixels(spark, sf).select("resolution", F.col("row").alias("index")).distinct()
+    found = []
+    for product, resolutions in ((K.FDHSI, None), (K.HRFI, "500m")):
+        config = CubeConfig(product, resolutions, body_chunks=(32, 40))
+        axis = grids.axes(spark, config, "y").join(lines, ["resolution", "index"])
+        starts = {r: catalog.row_window(config, r)[0] for r in catalog.config_resolutions(config)}
+        found.append(axis.withColumn("y_offset", F.col("index") - geolocation.lookup(F.col("resolution"), starts)))
+    rows = found[0].unionByName(found[1])
+    return rows.select("resolution", F.col("index").alias("y"), "y_offset", F.round("y", 3).alias("y_m"))
 
 
 def located(spark, sf, lon0: float = 0.0):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from orbitlake.operators import coverage
 from orbitlake.operators.scenes import run_metrics
 from orbitlake.plans import catalog
+from orbitlake.plans.config import CubeConfig
 from workload import tables as t
 from workload.registry import query
 
@@ -159,14 +160,13 @@ def staged_needs_window(spark, sf):
 
 @query(
     "groups_in_window",
-    f"""WITH {t.PARTS_SQL} SELECT DISTINCT scene_id, resolution FROM parts
-      WHERE resolution = '1km' AND row_start < 11136 AND row_stop > 8618""",
+    f"""WITH {t.PARTS_SQL}, {t.WINDOWS_SQL.removeprefix(t.BODY_SQL + ",")}
+      SELECT DISTINCT scene_id, parts.resolution FROM parts JOIN win USING (resolution)
+      WHERE row_start < y_stop AND row_stop > y_start""",
 )
 def groups_in_window(spark, sf):
-    """Groups that get a write under a stripe: at least one part meets its window."""
-    parts = t.parts(spark, sf).filter(F.col("resolution") == "1km").withColumns(
-        {"y_start": F.lit(8618), "y_stop": F.lit(11136), "tile_rows": F.lit(278)}
-    )
+    """Groups that get a write under a stripe: at least one part meets the window of its grid."""
+    parts = coverage.attach_grid(t.parts(spark, sf), CubeConfig("FDHSI", body_chunks=(32, 40)))
     return coverage.clipped(parts).select("scene_id", "resolution").distinct()
 
 

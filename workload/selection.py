@@ -9,6 +9,8 @@ from orbitlake.functions import fills
 from orbitlake.operators import rasters, slot_values
 from orbitlake.plans import catalog, variables
 from orbitlake.plans.config import CubeConfig
+from orbitlake.session import scratch_path
+from orbitlake.sources import cube, grids
 from workload import tables as t
 from workload.registry import query
 
@@ -288,40 +290,68 @@ def attach_wavelength(spark, sf):
 
 @query(
     "variable_registry",
-    f"""WITH {t.SLOT_CHANNEL_SQL} SELECT slot, channel, slope, "offset", warm_slope, warm_offset FROM cal""",
+    f"""WITH {t.SLOT_CHANNEL_SQL} SELECT slot, channel, slope, "offset", warm_slope, warm_offset,
+      channel = 'ir_38' AS dual_gain FROM cal""",
 )
 def variable_registry(spark, sf):
     """The per-slot calibration table as the registry declares it, and one variable more."""
-    extra = variables.Variable(
-        "dual_gain", ("time", "channel"), "boolean", None, build=lambda config: F.col("dual_gain")
-    )
     table = t.slot_channel(spark, sf)
     for name in K.CONVERSION_CONSTANTS:
         table = table.withColumn(name, F.lit(None).cast("float"))
     rows = variables.select_variables(
-        table, "slot_channel", CubeConfig("FDHSI"), ["ir_38"], ("slot", "channel"),
-        (*variables.VARIABLES, extra),
-    )
-    return rows.select("slot", "channel", "slope", "offset", "warm_slope", "warm_offset")
+        table, "slot_channel", CubeConfig("FDHSI"), ["ir_38"], ("slot", "channel"), {"dual_gain": "boolean"}
+    )
+    return rows.select("slot", "channel", "slope", "offset", "warm_slope", "warm_offset", "dual_gain")
 
 
 @query(
     "attribute_resolver",
-    f"""WITH {t.SLOT_CHANNEL_SQL} SELECT slot, count(*) AS n_channels, 'AU' AS units
-      FROM cal GROUP BY slot""",
+    f"""WITH {t.PIXELS_SQL}, lines AS (SELECT DISTINCT resolution, "row" AS y, ya FROM pt WHERE resolution <> '500m')
+      SELECT resolution, y, 'm' AS units, 'projection_y_coordinate' AS standard_name,
+        round(ya * 35786400, 3) AS value FROM lines
+      UNION ALL SELECT resolution, y, 'radian', 'projection_y_angular_coordinate', round(ya, 10) FROM lines""",
 )
 def attribute_resolver(spark, sf):
-    """Attributes travel with the column: units are read back from the schema of the result."""
-    rows = t.slot_channel(spark, sf).groupBy("slot").agg(F.count("*").alias("n_channels"))
-    meta = rows.withColumns(
-        {
-            **{name: F.lit(None).cast("double") for name in K.PLATFORM_COLUMNS},
-            "time": F.lit(None).cast("timestamp_ntz"),
-            "sun_earth_distance": F.lit(1.0),
-        }
-    )
-    table = variables.select_variables(
-        meta, "slot_meta", CubeConfig("FDHSI"), (), ("slot", "n_channels")
+    """Attributes follow the options and travel with the column: both axes, each with its units."""
+    lines = t.grid_pixels(spark, sf).select("resolution", F.col("row").alias("index")).distinct()
+    found = []
+    for units, digits in (("meter", 3), ("radian", 10)):
+        axis = grids.axes(spark, CubeConfig(K.FDHSI, projection_units=units), "y")
+        described = axis.schema["y"].metadata
+        found.append(
+            lines.join(axis, ["resolution", "index"]).select(
+                "resolution",
+                F.col("index").alias("y"),
+                F.lit(described["units"]).alias("units"),
+                F.lit(described["standard_name"]).alias("standard_name"),
+                F.round("y", digits).alias("value"),
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "group_attributes",
+    f"""WITH {t.PIXELS_SQL}, {t.WINDOWS_SQL}
+      SELECT win.resolution, y_start AS disk_row_start, y_stop AS disk_row_stop,
+        '[32, 40]' AS chunks, count(*) AS n_positions
+      FROM win JOIN pt ON pt.resolution = win.resolution AND "row" >= y_start AND "row" < y_stop
+      WHERE win.resolution <> '500m' GROUP BY ALL""",
+)
+def group_attributes(spark, sf):
+    """The attributes of a stripe's groups, read back from the cube, say which rows they hold."""
+    config = CubeConfig(K.FDHSI, body_chunks=(32, 40))
+    path = scratch_path(spark, "attributes")
+    cube.write_groups(variables.declared_attributes(spark, config), path, "attributes", ["group"])
+    stored = spark.read.parquet(f"{path}/attributes").where("variable = ''")
+    names = ("disk_row_start", "disk_row_stop", "fci_chunks")
+    wide = stored.groupBy("group").pivot("attribute", list(names)).agg(F.first("value"))
+    groups = wide.select(
+        F.regexp_replace("group", "^data_", "").alias("resolution"),
+        *(F.col(n).cast("int").alias(n) for n in names[:2]),
+        F.col("fci_chunks").alias("chunks"),
     )
-    units = table.schema["sun_earth_distance"].metadata["units"]
-    return table.select("slot", "n_channels", F.lit(units).alias("units"))
+    positions = t.grid_pixels(spark, sf).select("resolution", F.col("row").alias("y"))
+    inside = (F.col("y") >= F.col("disk_row_start")) & (F.col("y") < F.col("disk_row_stop"))
+    found = positions.join(groups, "resolution").where(inside)
+    return found.groupBy("resolution", *names[:2], "chunks").agg(F.count("*").alias("n_positions"))

@@ -355,6 +355,15 @@ pt AS (
     ('2km', 5568::DOUBLE, 5.58871526468e-05::DOUBLE)) g(resolution, n, s)
   USING (resolution))"""
 
+#: Rows of the tiles that hold chunks 32 to 40, for each grid.
+WINDOWS_SQL = BODY_SQL + """,
+win AS (
+  SELECT resolution, CAST(min(row_start) // height * height AS INTEGER) AS y_start,
+    CAST(least(((max(row_stop) - 1) // height + 1) * height, size) AS INTEGER) AS y_stop
+  FROM body JOIN (VALUES ('FDHSI', '1km', 11136, 278), ('FDHSI', '2km', 5568, 139),
+    ('HRFI', '500m', 22272, 556)) g(product_type, resolution, size, height) USING (product_type, resolution)
+  WHERE chunk_no BETWEEN 32 AND 40 GROUP BY resolution, height, size)"""
+
 LATLON_SQL = PIXELS_SQL + """,
 seen AS (
   SELECT pt.*, 42164.537::DOUBLE AS h, power(6378.137::DOUBLE / 6356.752314, 2) AS f,
