@@ -16,7 +16,7 @@ from orbitlake.plans.config import ConfigurationError, CubeConfig
 from orbitlake.plans.variables import declared_attributes, select_variables
 from orbitlake.session import configure, setting, staged
 from orbitlake.sources import cube as store
-from orbitlake.sources import grids
+from orbitlake.sources import grids, ledger
 from orbitlake.sources.archives import unpack_archives
 from orbitlake.sources.chunks import Decoded, Decoder, decode_chunks, read_decoded, write_decoded
 from orbitlake.sources.files import list_inputs
@@ -35,11 +35,15 @@ def read_scenes(
     decoder: Decoder,
     filters: tuple[str, ...] = (),
     slots: tuple[int, int] | None = None,
+    covered: DataFrame | None = None,
+    only: DataFrame | None = None,
 ) -> tuple[DataFrame, Decoded]:
-    """List, check, group and decode an input folder, or those of its items in a range of slots.
+    """List, check, group and decode an input folder, or a part of its items.
 
-    Files outside the half-open range are not decoded, those of other days not even opened. Returns the scene table and the decoded tables, written once to the shared folder. Files of one
-    scene that fail are reported in ``errors``.
+    Files outside the half-open range of slots are not decoded, those of other days not even opened.
+    With ``covered``, the runs a cube lists, files all of whose rows are stored are not opened
+    either; ``only`` names the scenes to read. Returns the scene table and the decoded tables,
+    written once to the shared folder. Files of one scene that fail are reported in ``errors``.
     """
     configure(spark)
     days = "" if slots is None else scenes.day_glob(slots, config.time_epoch)
@@ -51,35 +55,75 @@ def read_scenes(
     items = listed()
     scenes.check_inputs(items, config.product_type)
     found = staged(scenes.discover(items), "scenes")
-    wanted = {
-        nc_channel: catalog.row_window(config, resolution)
-        for resolution, members in catalog.config_channels(config).items()
-        for _channel, nc_channel in members
-    }
+    if covered is not None or only is not None:
+        left = staged(_left_to_read(found, config, covered, only), "left")
+        found = found.join(left.select("scene_id").distinct(), "scene_id", "left_semi")
+        # As many names as the listing has, which the driver holds for any scan of files.
+        paths = [r["path"] for r in left.select("path").collect()]
+
+        def named(kind: str) -> DataFrame:
+            own = [p for p in paths if p.endswith(f".{kind}")]
+            listing = list_inputs(spark, own, content=True) if own else listed(content=True).limit(0)
+            return scenes.classify_items(listing)
+    else:
+
+        def named(kind: str) -> DataFrame:
+            return listed(content=True, pattern=f"*{days}*.{kind}")
 
     # A local archive is opened in place, member by member; others come through Spark's file systems.
     archives = found.filter(F.col("kind") == "zip").select(F.col("scene_id").alias("path"))
     local = F.col("path").startswith("file:")
-    remote = listed(content=True, pattern=f"*{days}*.zip").filter((F.col("kind") == "zip") & ~local)
+    remote = named("zip").filter((F.col("kind") == "zip") & ~local)
     unpacked = unpack_archives(archives.filter(local).repartition(F.col("path"))).unionByName(
         unpack_archives(remote)
     )
     unpacked = unpacked.select(F.col("archive").alias("scene_id"), "name", "content", "error")
     # The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
-    contents = listed(content=True, pattern=f"*{days}*.nc")
-    loose = scenes.parse_chunks(contents).select(
+    files = unpacked.unionByName(chunk_contents(named("nc")))
+    return found, read_decoded(spark, decode_files(files, config, decoder))
+
+
+def _left_to_read(
+    found: DataFrame, config: CubeConfig, covered: DataFrame | None, only: DataFrame | None
+) -> DataFrame:
+    """(scene_id, path) of the scenes' files that have to be opened."""
+    if only is not None:
+        found = found.join(only.select("scene_id").distinct(), "scene_id", "left_semi")
+    placed = slot_values.with_slots(found, config.time_epoch, config.slot_count)
+    files = placed.select("scene_id", "product_type", "slot", F.explode("members").alias("m")).select(
+        "scene_id", "product_type", "slot", "m.chunk_no", "m.path"
+    )
+    if covered is not None:
+        files = ledger.files_left(files, covered, ledger.wanted_rows(found.sparkSession, config))
+    return files.select("scene_id", "path")
+
+
+def chunk_contents(items: DataFrame, strict: bool = True) -> DataFrame:
+    """Loose chunk files (path, kind, content) as files of scenes.
+
+    The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
+    """
+    return scenes.parse_chunks(items, strict).select(
         names.scene_uri(F.col("product_type"), F.col("coordinate")).alias("scene_id"),
         "name",
         "content",
         F.lit(None).cast("string").alias("error"),
     )
-    files = unpacked.unionByName(loose)
+
+
+def decode_files(
+    files: DataFrame, config: CubeConfig, decoder: Decoder, path: str | None = None
+) -> str:
+    """Decode files of scenes (scene_id, name, content, error) and write the decoded tables once."""
+    wanted = {
+        nc_channel: catalog.row_window(config, resolution)
+        for resolution, members in catalog.config_channels(config).items()
+        for _channel, nc_channel in members
+    }
     chunks = files.filter(names.is_chunk(F.col("name")) | F.col("error").isNotNull())
     ordered = chunks.withColumn("part_order", scenes.part_order(F.col("name")))
-    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", FILES_PER_BATCH):
-        tagged = decode_chunks(ordered, _failing_archives(decoder), wanted)
-        path = write_decoded(tagged)
-    return found, read_decoded(spark, path)
+    with setting(files.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", FILES_PER_BATCH):
+        return write_decoded(decode_chunks(ordered, _failing_archives(decoder), wanted), path)
 
 
 def _failing_archives(decoder: Decoder) -> Decoder:
@@ -176,7 +220,14 @@ def build_scanlines(
         times = rasters.time_map(decoded.time_rows)
         luts = rasters.time_lut(times, config.pixel_time_dtype)
         scan = rasters.attach_time_lut(scan, luts)
-    return select_variables(scan, "scanlines", config, channels)
+    return store.with_tiles(select_variables(scan, "scanlines", config, channels), config)
+
+
+def with_stored(parts: DataFrame, found: DataFrame, covered: DataFrame, config: CubeConfig) -> DataFrame:
+    """Parts of the input together with the rows that the cube lists for the slots of its scenes."""
+    known = covered.join(found.select("scene_id", "product_type", "slot"), ["product_type", "slot"])
+    known = coverage.attach_grid(known.where(F.col("resolution").isin(catalog.config_resolutions(config))), config)
+    return parts.unionByName(known.select(*[c for c in parts.columns if c in known.columns]), allowMissingColumns=True)
 
 
 def ingest_decoded(
@@ -188,6 +239,7 @@ def ingest_decoded(
     write_mode: str = "direct",
     existing: str = "error",
     attributes: Mapping[str, Any] | None = None,
+    origin: Mapping[str, Any] | None = None,
 ) -> dict[str, Any]:
     """Write decoded scenes into the cube at ``path`` and return the run's counters.
 
@@ -195,7 +247,8 @@ def ingest_decoded(
     replaces the rows the input covers, ``resume`` keeps stored rows and adds missing ones. Values
     per slot come from the latest ingest in either case. A ``staged`` write replaces whole slots, so
     it takes complete scenes only. Configuration and coverage errors are raised before any write; a
-    scene that cannot be read is counted and left out.
+    scene that cannot be read is counted and left out. A resumed run must have the options its slots
+    were written with. ``origin`` is logged with the run's counters.
     """
     if existing not in EXISTING or write_mode not in WRITE_MODES:
         raise ConfigurationError(f"existing is one of {EXISTING}, write_mode one of {WRITE_MODES}")
@@ -208,7 +261,11 @@ def ingest_decoded(
 
     # A scene with a file that cannot be read fails by itself; its gaps are no fault of the input.
     failed = decoded.errors.select("scene_id").distinct()
-    check_coverage(parts.join(failed, "scene_id", "left_anti"), config, write_mode)
+    sound = parts.join(failed, "scene_id", "left_anti")
+    covered = ledger.covered_runs(spark, path) if existing == "resume" else None
+    if covered is not None and write_mode == "direct":
+        sound = with_stored(sound, found.join(failed, "scene_id", "left_anti"), covered, config)
+    check_coverage(sound, config, write_mode)
     problems = scene_problems(found, decoded, parts, config)
     results = staged(found.join(problems, "scene_id", "left"), "results")
     good = results.filter(F.col("error").isNull()).drop("error")
@@ -217,7 +274,12 @@ def ingest_decoded(
     groups = coverage.clipped(parts).select("scene_id", "product_type", "resolution").distinct()
     good_groups = staged(groups.join(good.drop("product_type"), "scene_id"), "groups")
 
-    present = store.present_groups(spark, path, config)
+    span = good_groups.agg(F.min("slot"), F.max("slot")).first()
+    present = None
+    if span[0] is not None:
+        present = store.present_groups(spark, path, config, (span[0], span[1] + 1))
+    if covered is not None:
+        ledger.refuse_other_options(good_groups, covered, config)
     if present is not None:
         present = staged(present, "present")
         if existing == "error":
@@ -247,8 +309,14 @@ def ingest_decoded(
         store.write_groups(table, path, name, ["product_type", "resolution"])
     declared = declared_attributes(spark, config, attributes).coalesce(1)
     store.write_groups(declared, path, "attributes", ["group"])
+    written = coverage.clipped(parts).join(
+        good_groups.select("scene_id", "resolution", "slot"), ["scene_id", "resolution"]
+    )
+    runs = written.select(*store.SLOT_KEYS, F.col("lo").alias("row_start"), F.col("hi").alias("row_stop"))
+    ledger.record_runs(runs, path, config)
+    ledger.log_scenes(results, path)
     metrics = scenes.run_metrics(results).first().asDict()
-    store.log_run(spark, path, config, metrics)
+    store.log_run(spark, path, config, {**metrics, **(origin or {})})
     return metrics
 
 
@@ -286,11 +354,22 @@ def ingest(
     decoder: Decoder,
     filters: tuple[str, ...] = (),
     slots: tuple[int, int] | None = None,
+    retry: bool = False,
     **options: Any,
 ) -> dict[str, Any]:
     """Ingest a folder of ZIPs or loose chunk files; see ``ingest_decoded`` for the options.
 
-    ``slots`` restricts the run to a half-open range of slots before anything is decoded.
+    ``slots`` restricts the run to a half-open range of slots before anything is decoded. A run with
+    ``existing="resume"`` opens only files that hold rows the cube does not list; ``retry`` reads
+    the scenes that failed in earlier runs and have not succeeded since.
     """
-    found, decoded = read_scenes(spark, source, config, decoder, filters, slots)
+    covered, only = None, None
+    if options.get("existing") == "resume":
+        covered = ledger.covered_runs(spark, path, slots)
+    if retry:
+        log = store.open_table(spark, path, "scenes")
+        if log is None:
+            raise ConfigurationError("no earlier run to retry scenes of")
+        only = ledger.scenes_to_retry(log)
+    found, decoded = read_scenes(spark, source, config, decoder, filters, slots, covered, only)
     return ingest_decoded(spark, found, decoded, config, path, **options)

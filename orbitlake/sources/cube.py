@@ -1,7 +1,8 @@
-"""The cube: Parquet tables below one path, merged row by row and slot by slot.
+"""The cube: Parquet tables below one path, merged row by row and tile by tile.
 
-``scanlines`` is partitioned by product, resolution and slot (a flat cube: by slot only). A write
-replaces whole slot partitions, and only those it touches.
+``scanlines`` is partitioned by product, resolution and slot (a flat cube: by slot only), and below
+that by output tile where rows carry one. A write replaces whole partitions, and only those it
+touches: a late chunk swaps the tiles that it meets.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbitlake import constants as K
 from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
+from orbitlake.functions.geolocation import lookup
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.session import literal_table, staged
+from orbitlake.session import drop_path, literal_table, scratch_path
 
 PARTITIONS = ("product_type", "resolution", "slot")
 ROW_KEYS = ("product_type", "resolution", "slot", "channel", "y")
@@ -47,6 +50,7 @@ def identity(config: CubeConfig) -> dict:
         "layout": "flat" if config.flat else "grouped",
         "grid": "_".join([config.product_type, *grids]) if config.flat else None,
         "stripe": None if config.body_chunks is None else "chunks {} to {}".format(*config.body_chunks),
+        "tiles": {grid: config.tile_height(grid) for grid in K.TILE_ROWS},
     }
 
 
@@ -90,14 +94,26 @@ def identity_conflicts(
 # --- writing ----------------------------------------------------------------
 
 
+def with_tiles(rows: DataFrame, config: CubeConfig) -> DataFrame:
+    """Add the output tile of each row, the last partition level of ``scanlines``."""
+    heights = {grid: config.tile_height(grid) for grid in K.TILE_ROWS}
+    return rows.withColumn("tile", F.floor(F.col("y") / lookup(F.col("resolution"), heights)).cast("int"))
+
+
+def partitions_of(rows: DataFrame, flat: bool = False) -> list[str]:
+    """Partition columns of a table of scanlines."""
+    base = ["slot"] if flat else list(PARTITIONS)
+    return [*base, "tile"] if "tile" in rows.columns else base
+
+
 def write_cube(df: DataFrame, path: str, flat: bool = False, table: str = "scanlines") -> None:
-    """Replace the slot partitions present in ``df``; all other slots stay as they are.
+    """Replace the partitions present in ``df``; all others stay as they are.
 
     Rows are rebalanced by partition, so a large slot is split over several tasks and files of a
     useful size come out, and sorted by channel and row, so that row windows are pruned by the
     statistics of the file.
     """
-    partitions = ["slot"] if flat else list(PARTITIONS)
+    partitions = partitions_of(df, flat)
     order = [c for c in ("channel", "y") if c in df.columns]
     rows = df.drop("product_type", "resolution") if flat else df
     (
@@ -134,9 +150,9 @@ def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = R
     )
 
 
-def touched_slots(existing: DataFrame, slots: DataFrame) -> DataFrame:
-    """Existing rows of the given slots; slot keys are partition columns, so others are not read."""
-    return existing.join(slots, list(SLOT_KEYS), "left_semi")
+def touched(existing: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Existing rows of the given partitions; their keys prune, so no others are read."""
+    return existing.join(partitions, partitions.columns, "left_semi")
 
 
 def merge_into(
@@ -148,21 +164,25 @@ def merge_into(
     keep_existing: bool = False,
     flat: bool = False,
 ) -> None:
-    """Merge rows into a table: each touched slot is rebuilt beside the table, then swapped in.
+    """Merge rows into a table: each touched partition is rebuilt beside it, then swapped in.
 
     ``keep_existing`` lets rows already stored win over incoming ones. The incoming rows are written
-    once to the shared folder, because their keys and their values are both needed.
+    once to the shared folder, because their keys and their values are both needed, and deleted at
+    the end. Old files are read until the new ones are committed, so what is merged is written once.
     """
-    incoming = staged(incoming, "incoming")
+    scratch = scratch_path(spark, "incoming")
+    incoming.write.parquet(scratch)
+    incoming = spark.read.schema(incoming.schema).parquet(scratch)
     existing = _open_with_keys(spark, path, table, incoming if flat else None)
-    if existing is None:
-        write_cube(incoming, path, flat, table)
-        return
-    slots = incoming.select(*SLOT_KEYS).distinct()
-    current = touched_slots(existing, slots)
-    old, new = (incoming, current) if keep_existing else (current, incoming)
-    merged = merge_rows(old, new, keys).select(*incoming.columns)
-    write_cube(staged(merged, "merged"), path, flat, table)
+    if existing is not None:
+        partitions = [*SLOT_KEYS, "tile"] if "tile" in incoming.columns else list(SLOT_KEYS)
+        if ("tile" in incoming.columns) != ("tile" in existing.columns):
+            raise ConfigurationError("rows and cube must both have tiles, or neither")
+        current = touched(existing, incoming.select(*partitions).distinct())
+        old, new = (incoming, current) if keep_existing else (current, incoming)
+        incoming = merge_rows(old, new, keys).select(*incoming.columns)
+    write_cube(incoming, path, flat, table)
+    drop_path(spark, scratch)
 
 
 def _open_with_keys(
@@ -180,15 +200,19 @@ def _open_with_keys(
     )
 
 
-def present_groups(spark: SparkSession, path: str, config: CubeConfig) -> DataFrame | None:
+def present_groups(
+    spark: SparkSession, path: str, config: CubeConfig, slots: tuple[int, int] | None = None
+) -> DataFrame | None:
     """Groups of which the cube holds any row: product, resolution and slot; None for a new cube.
 
-    Rows count, not the per-slot tables: streams and stopped runs leave rows without those. The
+    ``slots`` is the half-open range the caller asks about: others are not looked at. Rows count, not the per-slot tables: streams and stopped runs leave rows without those. The
     keys are partition columns, so no row is read.
     """
     stored = open_table(spark, path, "scanlines")
     if stored is None:
         return None
+    if slots is not None:
+        stored = stored.where((F.col("slot") >= slots[0]) & (F.col("slot") < slots[1]))
     if config.flat:
         grid = catalog.config_resolutions(config)[0]
         stored = stored.withColumns(
@@ -225,8 +249,8 @@ def read_cube(
 ) -> DataFrame:
     """Open a table of the cube by name and range.
 
-    Product, resolution and slot prune partitions; channel and row prune row groups; unused arrays
-    are pruned by the projection.
+    Product, resolution, slot and, through the tiles a row range meets, rows prune partitions;
+    channel and row prune row groups; unused arrays are pruned by the projection.
     """
     df = spark.read.parquet(f"{path}/{table}")
     if product_type is not None:
@@ -239,6 +263,12 @@ def read_cube(
         df = df.filter((F.col("slot") >= slots[0]) & (F.col("slot") < slots[1]))
     if rows is not None:
         df = df.filter((F.col("y") >= rows[0]) & (F.col("y") < rows[1]))
+    stored = open_table(spark, path, "identity") if rows is not None and "tile" in df.columns else None
+    if stored is not None:
+        known = json.loads(stored.first().identity)
+        grid = F.col("resolution") if known["grid"] is None else F.lit(known["grid"].split("_")[1])
+        first, last = ({g: row // h for g, h in known["tiles"].items()} for row in (rows[0], rows[1] - 1))
+        df = df.filter((F.col("tile") >= lookup(grid, first)) & (F.col("tile") <= lookup(grid, last)))
     return df
 
 
