@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from orbitlake.constants import BODY_CHUNKS, DEFAULT_EPOCH
-from orbitlake.functions import slots
-from orbitlake.operators.scenes import classify_items, parse_chunks, rejected_chunks
+from orbitlake.functions import names, slots
+from orbitlake.ingest import chunk_contents, decode_files, ingest_decoded
+from orbitlake.operators.scenes import (
+    bundle_scenes,
+    classify_items,
+    foreign_items,
+    parse_chunks,
+    rejected_chunks,
+    zip_scenes,
+)
+from orbitlake.plans import catalog
 from orbitlake.plans.config import CubeConfig
-from orbitlake.sources.cube import check_identity, merge_into
+from orbitlake.session import drop_path, staged
+from orbitlake.sources.archives import unpack_archives
+from orbitlake.sources.chunks import TABLES, TAGGED_SCHEMA, Decoded, Decoder, table_rows
+from orbitlake.sources.cube import check_identity, merge_into, open_table, with_tiles
 
 
 def file_stream(
@@ -22,6 +36,13 @@ def file_stream(
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
+def input_stream(spark: SparkSession, path: str, **options) -> DataFrame:
+    """New chunk files and ZIPs below a path as a stream of (path, content)."""
+    fields = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(fields)
+    return reader.options(recursiveFileLookup="true", **options).load(path).select("path", "content")
+
+
 def slot_windows(stream: DataFrame, ts: str, delay: str = "30 minutes") -> DataFrame:
     """Tumbling 10-minute windows under a watermark, aligned to midnight like the slots.
 
@@ -87,18 +108,109 @@ def merge_stream(
 
     A batch that is replayed after a failure rewrites the same rows, so the result does not change;
     late rows fill their lines and leave the others alone. With ``config`` the cube's identity is
-    recorded, or checked, before the stream starts.
+    recorded, or checked, before the stream starts, rows get their tiles, and rows of a grid that
+    the cube does not store fail the stream.
     """
-    if config is not None:
+    if config is None:
+
+        def merge(batch: DataFrame, _batch_id: int) -> None:
+            merge_into(batch.sparkSession, batch, path, table)
+
+    else:
         check_identity(scanlines.sparkSession, path, config)
+        grids = catalog.config_resolutions(config)
+        own = (F.col("product_type") == config.product_type) & F.col("resolution").isin(grids)
+        text = F.concat(F.lit("rows of a grid the cube does not store: "), "product_type", F.lit(" "), "resolution")
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        merge_into(batch.sparkSession, batch, path, table)
+        def merge(batch: DataFrame, _batch_id: int) -> None:
+            rows = catalog.fail_where(batch, F.when(~own, text))
+            merge_into(batch.sparkSession, with_tiles(rows, config), path, table, flat=config.flat)
 
-    writer = scanlines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return _start(scanlines, merge, checkpoint, available_now)
+
+
+def _start(stream: DataFrame, batch: Callable, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
+def seen_batches(log: DataFrame, stream: str) -> DataFrame:
+    """Numbers of the batches of a stream that the ingest log lists."""
+    own = log.where(F.get_json_object("metrics", "$.stream") == stream)
+    return own.select(F.get_json_object("metrics", "$.batch").cast("bigint").alias("batch"))
+
+
+def latest_copies(decoded: DataFrame) -> DataFrame:
+    """Rows of the latest batch that brought a part; a file that comes again replaces its rows."""
+    last = decoded.groupBy("scene_id", "part_order").agg(F.max("batch").alias("_last"))
+    joined = decoded.join(last, ["scene_id", "part_order"])
+    return joined.where(F.col("batch") == F.col("_last")).drop("_last")
+
+
+def ingest_stream(
+    files: DataFrame,
+    config: CubeConfig,
+    path: str,
+    decoder: Decoder,
+    checkpoint: str,
+    available_now: bool = True,
+    keep: int | None = None,
+) -> StreamingQuery:
+    """Ingest a stream of chunk files and ZIPs (path, content) into a whole cube.
+
+    Each batch is parsed and decoded once; its decoded tables are kept beside the checkpoint, so
+    that a scene is always built from all the files it has had: scanlines, per-slot values,
+    calibration, static tables, identity and log are those of a single ingest of these files. Only
+    scenes with new files are built again, and only their tiles are written. ``keep`` is the number
+    of batches whose decoded tables stay: files that come later complete a scene by their own rows.
+
+    A batch is logged with its number when it is done, and passed over when it comes again; one that
+    stopped halfway is decoded and written anew, over what it had left. Names that cannot be read,
+    and products of another type, are listed in ``rejected`` and do not stop the stream.
+    """
+    check_identity(files.sparkSession, path, config)
+    state = f"{checkpoint}-decoded"
+
+    def batch(rows: DataFrame, number: int) -> None:
+        spark = rows.sparkSession
+        log = open_table(spark, path, "ingest_log")
+        if log is not None and not seen_batches(log, checkpoint).where(F.col("batch") == number).isEmpty():
+            return
+        items = classify_items(rows.withColumn("length", F.length("content")))
+        rejected = rejected_chunks(items.drop("content")).unionByName(
+            foreign_items(items.drop("content"), config.product_type).select(
+                "path", "name", F.lit("not a product of the cube").alias("error")
+            )
+        )
+        rejected.write.mode("overwrite").parquet(f"{path}/rejected/batch={number}")
+        own = items.where(names.detect_product(F.col("path")) == config.product_type)
+        # One path for each name: a file that is listed twice in a batch is read once.
+        listed = own.drop("content").groupBy(names.item_name(F.col("path"))).agg(F.min("path").alias("path"))
+        own = own.join(listed.select("path"), "path", "left_semi")
+        packed = unpack_archives(own.where(F.col("kind") == "zip").select("path", "content"))
+        contents = chunk_contents(own, strict=False).unionByName(
+            packed.select(F.col("archive").alias("scene_id"), "name", "content", "error")
+        )
+        part = f"{state}/batch={number}"
+        drop_path(spark, part)
+        decode_files(contents, config, decoder, part)
+        found = zip_scenes(own.drop("content")).unionByName(
+            bundle_scenes(parse_chunks(own.drop("content"), strict=False), strict=False)
+        )
+        found = staged(found.select("scene_id", "product_type", "coordinate"), "scenes")
+        if found.isEmpty():
+            return
+        decoded = spark.read.schema(f"{TAGGED_SCHEMA}, batch bigint").parquet(state)
+        decoded = latest_copies(decoded.join(found.select("scene_id"), "scene_id", "left_semi"))
+        tables = Decoded(**{table: table_rows(decoded, table) for table in TABLES})
+        origin = {"stream": checkpoint, "batch": number}
+        ingest_decoded(spark, found, tables, config, path, existing="force", origin=origin)
+        if keep is not None:
+            drop_path(spark, f"{state}/batch={number - keep}")
+
+    return _start(files, batch, checkpoint, available_now)
+
+
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append finished windows to a Parquet table."""
     return (
