@@ -14,7 +14,7 @@ from orbitlake.operators.rasters import pixels
 from orbitlake.plans.catalog import attach_wavelength
 from orbitlake.plans.config import CubeConfig
 from orbitlake.session import scratch_path
-from orbitlake.sources import cube, grids
+from orbitlake.sources import cube, grids, ledger
 from orbitlake.sources.chunks import TABLES, Decoded, schema_of
 from workload import tables as t
 from workload.registry import query
@@ -321,3 +321,84 @@ def stream_then_ingest(spark, sf):
     return stored.select(
         F.col("slot").cast("bigint").alias("slot"), F.col("y").cast("bigint").alias("y"), total.alias("total")
     )
+
+
+@query(
+    "files_left",
+    """WITH f AS (
+        SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'FDHSI' ELSE 'HRFI' END AS product_type,
+          user_id // 2 AS slot, event_id % 41 + 1 AS num, event_id % 3 AS state FROM events),
+      chunk AS (
+        SELECT product_type, slot, num, bool_or(state = 0) AS whole, bool_or(state < 2) AS begun
+        FROM f WHERE num <= 40 GROUP BY ALL),
+      scene AS (
+        SELECT product_type, slot, bool_or(begun) AS begun, bool_or(NOT whole) AS open FROM chunk GROUP BY ALL)
+      SELECT event_id, product_type, slot, CAST(num AS INTEGER) AS chunk_no
+      FROM f LEFT JOIN chunk USING (product_type, slot, num) LEFT JOIN scene USING (product_type, slot)
+      WHERE NOT coalesce(scene.begun, false) OR (num <= 40 AND NOT whole) OR (num = 41 AND open)""",
+)
+def files_left(spark, sf):
+    """Chunks stored whole need not be opened; a half stored one does, and a TRAIL with any of them."""
+    files = t.read(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("user_id") % 2 == 0, K.FDHSI).otherwise(K.HRFI).alias("product_type"),
+        F.floor(F.col("user_id") / 2).alias("slot"),
+        (F.pmod("event_id", F.lit(41)) + 1).cast("int").alias("chunk_no"),
+        (F.col("event_id") % 3).alias("state"),
+    )
+    files = files.withColumn("scene_id", F.concat_ws("/", "product_type", "slot"))
+    rows = ledger.wanted_rows(spark, CubeConfig(K.FDHSI)).unionByName(
+        ledger.wanted_rows(spark, CubeConfig(K.HRFI))
+    )
+    half = F.col("row_start") + F.floor((F.col("row_stop") - F.col("row_start")) / 2)
+    stored = files.where("state < 2").join(rows, ["product_type", "chunk_no"])
+    stored = stored.withColumn("row_stop", F.when(F.col("state") == 0, F.col("row_stop")).otherwise(half.cast("int")))
+    left = ledger.files_left(files.drop("state"), stored, rows)
+    return left.select("event_id", "product_type", "slot", "chunk_no")
+
+
+@query(
+    "signature_conflicts",
+    """WITH last AS (
+        SELECT o_custkey % 500 AS slot, arg_max(o_orderpriority, o_orderkey) AS stored FROM orders GROUP BY ALL),
+      wanted AS (SELECT DISTINCT c_custkey % 500 AS slot, CASE c_nationkey % 2 WHEN 0 THEN '1-URGENT' ELSE '5-LOW' END AS wanted
+        FROM customer)
+      SELECT slot, wanted, stored FROM wanted JOIN last USING (slot) WHERE wanted <> stored""",
+)
+def signature_conflicts(spark, sf):
+    """Slots whose latest run had other options than the one that would go on with them."""
+    grid = [F.lit(K.FDHSI).alias("product_type"), F.lit("1km").alias("resolution")]
+    runs = t.read(spark, sf, "orders").select(
+        *grid,
+        (F.col("o_custkey") % 500).alias("slot"),
+        F.col("o_orderpriority").alias("signature"),
+        F.timestamp_seconds("o_orderkey").alias("logged_at"),
+    )
+    wanted = t.read(spark, sf, "customer").select(
+        *grid,
+        (F.col("c_custkey") % 500).alias("slot"),
+        F.when(F.col("c_nationkey") % 2 == 0, "1-URGENT").otherwise("5-LOW").alias("asked"),
+    )
+    found = [
+        ledger.signature_conflicts(wanted.where(F.col("asked") == a), runs, F.lit(a)) for a in ("1-URGENT", "5-LOW")
+    ]
+    return found[0].unionByName(found[1]).select("slot", "wanted", "stored")
+
+
+@query(
+    "scenes_to_retry",
+    """WITH last AS (
+        SELECT user_id, max(ts) FILTER (event_id % 4 = 0) AS failed, max(ts) FILTER (event_id % 4 <> 0) AS good,
+          count(*) FILTER (event_id % 4 = 0) AS n_failures FROM events GROUP BY user_id)
+      SELECT user_id AS scene_id, 'file ' || e.event_id AS error, n_failures
+      FROM last JOIN events e USING (user_id) WHERE e.ts = failed AND e.event_id % 4 = 0
+        AND (good IS NULL OR good < failed)""",
+)
+def scenes_to_retry(spark, sf):
+    """Scenes whose last run failed, with its error; a later success takes a scene off the list."""
+    log = t.read(spark, sf, "events").select(
+        F.col("user_id").alias("scene_id"),
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("file "), F.col("event_id").cast("string"))).alias("error"),
+        F.col("ts").alias("logged_at"),
+    )
+    return ledger.scenes_to_retry(log).select("scene_id", "error", "n_failures")
