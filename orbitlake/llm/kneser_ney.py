@@ -461,7 +461,8 @@ def train(docs: DataFrame) -> Model:
     if words.size >= 1 << 32:
         raise ValueError("more than 2**32 distinct words do not fit the keys of bigrams")
     shards = max(4, -(-words.total // SHARD_TOKENS))
-    blobs = _bigrams(docs, words, shards).repartition(shards, "shard").sortWithinPartitions("shard")
+    blobs = _bigrams(docs, words, shards).repartitionById(shards, F.col("shard").cast("int"))
+    blobs = blobs.sortWithinPartitions("shard")
     sums = staged(blobs.mapInArrow(_write_shards(folder), _SUMS), "sums")
     blocks = sums.repartition("kind", "block").sortWithinPartitions("kind", "block")
     schema = "kind string, block long, total long, more long, n1 long, n2 long, n3 long, n4 long"

@@ -242,12 +242,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that repeat an id one stays. Extra columns are kept.
     """
     names = docs.columns
-    slim = with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp")
-    mark, own, root, least = (fresh(name, docs) for name in ("_mark", "_fp", "_root", "_least"))
-    found = near_duplicates(staged(slim, "simhash")).select(
-        F.col("fp").alias(own), F.col("root").alias(root), F.col("component_id").alias(least)
-    )
-    marked = with_fingerprint(docs, name=mark)
-    kept = marked.join(found, F.col(mark) == F.col(own))
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col(least)))
-    return kept.dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in names])
+    keys = [fresh(name, docs) for name in ("_k1", "_k2")]
+    # Two hashes of id and text stand for a row, so that texts are looked at once and moved once.
+    of = [F.xxhash64(F.lit(salt), "doc_id", "text") for salt in (1, 2)]
+    slim = docs.select("doc_id", "text", *[h.alias(k) for h, k in zip(of, keys)])
+    prints = staged(with_fingerprint(slim).select("doc_id", *keys, "fp"), "simhash")
+    found = prints.join(near_duplicates(prints), "fp")
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # One row of each group, also where several have its smallest id.
+    first = found.groupBy("root").agg(F.min(keys[0]).alias(keys[0]))
+    chosen = found.join(first, ["root", keys[0]]).groupBy("root", keys[0]).agg(F.min(keys[1]).alias(keys[1]))
+    marked = docs.withColumns(dict(zip(keys, of)))
+    kept = marked.join(chosen.select(*keys), keys, "left_semi").dropDuplicates(keys)
+    return kept.select(*[F.col(f"`{c}`") for c in names])

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ WIDTH = REACH + LENGTH
 BITMAP_BITS = 1 << 26
 #: Distinct segments of one anchor that one task compares; more are compared in chunks whose
 #: remaining strings meet in a join.
-CHUNK = 1 << 14
+CHUNK = 1 << 11
 #: Segments that are sorted together; bounds a task's memory.
 BATCH = 1 << 14
 #: Slots in which a task remembers segments whose bytes it has passed on.
@@ -285,24 +285,30 @@ def _match(table: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit and segment without those that repeat the row ahead of them."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        unit, segment = (batch.column(c).to_numpy() for c in ("unit", "segment"))
-        new = np.ones(len(unit), bool)
-        new[1:] = (unit[1:] != unit[:-1]) | (segment[1:] != segment[:-1])
-        new[0] = (unit[0], segment[0]) != last
-        last = unit[-1], segment[-1]
-        if new.any():
-            yield batch.filter(pa.array(new))
+def _once(*keys: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by two keys without those that repeat the row ahead of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (batch.column(c).to_numpy() for c in keys)
+            new = np.ones(len(one), bool)
+            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            new[0] = (one[0], two[0]) != last
+            last = one[-1], two[-1]
+            if new.any():
+                yield batch.filter(pa.array(new))
+
+    return run
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, rows = [], 0
-    for batch in _once(batches):
+    for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
         rows += batch.num_rows
         if rows < BATCH:
@@ -344,7 +350,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
     many = heads.where(F.col("segments") > CHUNK)
     many = many.select("anchor", F.ceil(F.col("segments") / CHUNK).cast("int").alias("chunks"))
-    listed = places.where("bytes is not null").join(many, "anchor", "left")
+    # Tasks that hold a shared segment have each passed it on: one copy of it goes to its unit.
+    once = places.where("bytes is not null").select("anchor", "segment", "before", "bytes")
+    once = once.repartition("anchor", "segment").sortWithinPartitions("anchor", "segment")
+    once = once.mapInArrow(_once("anchor", "segment"), once.schema)
+    listed = once.join(many, "anchor", "left")
     chunks = F.coalesce("chunks", F.lit(1))
     listed = listed.select(
         F.xxhash64("anchor", F.pmod("segment", chunks)).alias("unit"),
