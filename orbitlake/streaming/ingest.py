@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from orbitlake.constants import BODY_CHUNKS, DEFAULT_EPOCH
+from orbitlake.constants import BODY_CHUNKS, CYCLE_SECONDS, DEFAULT_EPOCH
 from orbitlake.functions import names, slots
 from orbitlake.ingest import chunk_contents, decode_files, ingest_decoded
 from orbitlake.operators.scenes import (
@@ -76,6 +78,58 @@ def scene_completeness(chunks: DataFrame, delay: str = "30 minutes", *keys: str)
     )
 
 
+ARRIVAL = "cycle timestamp, n_chunks int, complete boolean"
+
+
+def scene_arrivals(chunks: DataFrame, delay: str = "30 minutes", needed: int = BODY_CHUNKS) -> DataFrame:
+    """(cycle, n_chunks, complete) of each scene as soon as its last chunk is there.
+
+    ``chunks`` has ``sensing_start`` and ``chunk_no``; a scene's state is one number with a bit for
+    each of its ``needed`` chunks, at most 63. A scene that is not complete when the watermark
+    passes its end is emitted then, with the chunks it has. What comes for a complete scene again
+    is taken up by its state, which goes when the watermark passes too.
+    """
+    full = (1 << needed) - 1
+    length = CYCLE_SECONDS * 1000
+
+    def arrive(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        bits = int(state.get[0]) if state.exists else 0
+        was, begin = bits, int(key[0])
+
+        def emit() -> pd.DataFrame:
+            row = (pd.Timestamp(begin, unit="ms"), bits.bit_count(), bits == full)
+            return pd.DataFrame([row], columns=["cycle", "n_chunks", "complete"])
+
+        if state.hasTimedOut:
+            state.remove()
+            if bits != full:
+                yield emit()
+            return
+        for batch in batches:
+            for number in batch["chunk_no"]:
+                bits |= 1 << (int(number) - 1)
+        if bits == full and was != full:
+            yield emit()
+        end = begin + length
+        if end > state.getCurrentWatermarkMs():
+            state.update((bits,))
+            state.setTimeoutTimestamp(end)
+            return
+        if state.exists:
+            state.remove()
+        if bits != full:
+            yield emit()
+
+    body = chunks.filter(F.col("chunk_no").between(1, needed))
+    timed = body.withColumn("event_time", F.col("sensing_start").cast("timestamp"))
+    timed = timed.withWatermark("event_time", delay)
+    start = F.unix_millis("event_time")
+    keyed = timed.select((start - F.pmod(start, F.lit(length))).alias("cycle"), "event_time", "chunk_no")
+    return keyed.groupBy("cycle").applyInPandasWithState(
+        arrive, ARRIVAL, "bits bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def chunk_stream(files: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Parsed chunk names of a file stream; a path listed again within the delay counts once.
 

@@ -75,6 +75,24 @@ def scene_completeness(spark, sf):
     return found.select(slot.alias("slot"), "n_chunks", "complete")
 
 
+@query(
+    "scene_arrivals",
+    f"""WITH {t.ACQ_SQL}, scene AS (
+        SELECT slot, CAST(count(DISTINCT event_id % 4) AS INTEGER) AS n_chunks FROM acq GROUP BY slot)
+      SELECT slot, n_chunks, n_chunks = 4 AS complete FROM scene
+      WHERE n_chunks = 4 OR TIMESTAMP '{t.EPOCH}' + (slot + 1) * INTERVAL 10 MINUTE
+        <= (SELECT max(ts) FROM acq) - INTERVAL 30 MINUTE""",
+)
+def scene_arrivals(spark, sf):
+    """Scenes of four chunks, emitted when complete, or when the watermark has passed them."""
+    chunks = event_stream(spark, sf).select(
+        F.col("ts").alias("sensing_start"), (F.pmod("event_id", F.lit(4)) + 1).alias("chunk_no")
+    )
+    found = finish(spark, streaming.scene_arrivals(chunks, needed=4), "arrivals")
+    slot = slots.slot_index(F.col("cycle").cast("timestamp_ntz"), t.EPOCH)
+    return found.select(slot.alias("slot"), "n_chunks", "complete")
+
+
 ROWS_SQL = f"line AS (SELECT *, {t.CHANNEL_CASE} AS channel FROM events)"
 
 
