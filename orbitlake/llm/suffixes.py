@@ -35,7 +35,7 @@ WIDTH = REACH + LENGTH
 BITMAP_BITS = 1 << 26
 #: Distinct segments of one anchor that one task compares; more are compared in chunks whose
 #: remaining strings meet in a join.
-CHUNK = 1 << 11
+CHUNK = 1 << 14
 #: Segments that are sorted together; bounds a task's memory.
 BATCH = 1 << 14
 #: Slots in which a task remembers segments whose bytes it has passed on.
