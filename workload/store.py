@@ -16,6 +16,7 @@ from orbitlake.plans.config import CubeConfig
 from orbitlake.session import scratch_path
 from orbitlake.sources import cube, grids, ledger
 from orbitlake.sources.chunks import TABLES, Decoded, schema_of
+from orbitlake.streaming import ingest as streaming
 from workload import tables as t
 from workload.registry import query
 
@@ -216,15 +217,17 @@ def decoded_tables(spark, sf) -> Decoded:
     return Decoded(**{n: found[n].select(*schema_of(n).fieldNames()) for n in TABLES})
 
 
+CONFIG = CubeConfig(K.FDHSI, include_geolocation=False, time_epoch=t.EPOCH)
+
+
 def run_ingest(spark, decoded: Decoded, path: str, **options) -> None:
-    config = CubeConfig(K.FDHSI, include_geolocation=False, time_epoch=t.EPOCH)
     label = F.col("scene_id").cast("bigint")
     scenes = decoded.scan_in.select("scene_id").distinct().select(
         "scene_id",
         F.lit(K.FDHSI).alias("product_type"),
         slots.slot_start(label, t.EPOCH).alias("coordinate"),
     )
-    ingest_decoded(spark, scenes, decoded, config, path, **options)
+    ingest_decoded(spark, scenes, decoded, CONFIG, path, **options)
 
 
 @query(
@@ -314,7 +317,11 @@ def stream_then_ingest(spark, sf):
         "y",
         F.transform("counts", lambda c: -c).alias("counts"),
     )
-    cube.merge_into(spark, streamed, path)
+    folder = scratch_path(spark, "streamed")
+    streamed.write.parquet(folder)
+    rows = streaming.file_stream(spark, folder, streamed.schema)
+    checkpoint = scratch_path(spark, "checkpoint")
+    streaming.merge_stream(rows, path, checkpoint, config=CONFIG).awaitTermination()
     run_ingest(spark, decoded, path, existing="resume")
     stored = cube.read_cube(spark, path)
     total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)
