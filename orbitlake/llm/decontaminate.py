@@ -162,6 +162,7 @@ def contamination(docs: DataFrame, items: DataFrame, digest: bool = True) -> Dat
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every document.
 
     A null or empty text has no words and is clean; so is everything when the benchmark is empty.
+    Words under an item without an id are hit, but it is neither counted nor listed.
     Rows that repeat a doc_id and text are judged once each, with equal results; rows with one
     doc_id and different texts are judged on their own texts.
     """
@@ -223,7 +224,8 @@ def contamination(docs: DataFrame, items: DataFrame, digest: bool = True) -> Dat
     named = hits.select(*key, "window").distinct().join(windows.select("window", "item_id"), "window")
     named = named.select(*key, F.col("item_id").cast("string").alias("item")).distinct()
     named = named.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
-        F.count("*").alias("n_items"),
+        # An item without an id hits like any other, but has no name to list or count.
+        F.count("item").alias("n_items"),
         F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("items_sha256"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))

@@ -23,7 +23,7 @@ covered AS (
   SELECT doc_id, count(DISTINCT word) AS n_hit
   FROM (SELECT doc_id, unnest(range(s, s + n)) AS word FROM hit) GROUP BY doc_id),
 named AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

@@ -129,6 +129,7 @@ def contamination(docs, items):
                 if tuple(w[i : i + size]) in windows:
                     hit |= set(range(i, i + size))
                     held |= windows[tuple(w[i : i + size])]
+        held.discard(None)
         digest = hashlib.sha256(",".join(sorted(map(str, held))).encode()).hexdigest()
         found.append((doc_id, len(w), len(hit), len(held), digest, bool(hit) and 20 * len(hit) >= len(w)))
     return Counter(found)
