@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orbitlake import constants as K
 from orbitlake.constants import (
     CONVERSION_CONSTANTS,
     INDEX_FILL,
@@ -160,20 +161,15 @@ def parts_of_group(chunk_rows: DataFrame, plan: DataFrame | None = None) -> Data
     if plan is not None:
         wanted = plan.select("product_type", "resolution").distinct()
         known = known.join(F.broadcast(wanted), ["product_type", "resolution"], "left_semi")
-    first = F.min(F.struct("nc_channel", "row_start", "row_stop")).alias("first")
-    return (
-        chunk_rows.join(F.broadcast(known), "nc_channel")
-        .groupBy("scene_id", "product_type", "resolution", "part_order", "chunk_no")
-        .agg(first)
-        .select(
-            "scene_id",
-            "product_type",
-            "resolution",
-            "part_order",
-            "chunk_no",
-            "first.row_start",
-            "first.row_stop",
-        )
+    # A number per name, and one per span: minima of numbers are folded without a sort.
+    names = sorted({nc for members in K.CHANNELS.values() for _channel, nc in members})
+    rank = F.array_position(F.array(*(F.lit(n) for n in names)), F.col("nc_channel"))
+    place = rank * (1 << 48) + F.col("row_start").cast("bigint") * (1 << 24) + F.col("row_stop")
+    spans = chunk_rows.join(F.broadcast(known), "nc_channel").withColumn("_place", place)
+    keys = ("scene_id", "product_type", "resolution", "part_order", "chunk_no")
+    return spans.groupBy(*keys).agg(
+        F.min_by("row_start", "_place").alias("row_start"),
+        F.min_by("row_stop", "_place").alias("row_stop"),
     )
 
 
