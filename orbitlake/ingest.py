@@ -17,7 +17,7 @@ from orbitlake.plans.variables import declared_attributes, select_variables
 from orbitlake.session import configure, setting, staged
 from orbitlake.sources import cube as store
 from orbitlake.sources import grids, ledger
-from orbitlake.sources.archives import unpack_archives
+from orbitlake.sources.archives import Opener, list_members, open_ranged, read_members, unpack_archives
 from orbitlake.sources.chunks import Decoded, Decoder, decode_chunks, read_decoded, write_decoded
 from orbitlake.sources.files import list_inputs
 
@@ -37,13 +37,17 @@ def read_scenes(
     slots: tuple[int, int] | None = None,
     covered: DataFrame | None = None,
     only: DataFrame | None = None,
+    opener: Opener | None = None,
 ) -> tuple[DataFrame, Decoded]:
     """List, check, group and decode an input folder, or a part of its items.
 
     Files outside the half-open range of slots are not decoded, those of other days not even opened.
     With ``covered``, the runs a cube lists, files all of whose rows are stored are not opened
-    either; ``only`` names the scenes to read. Returns the scene table and the decoded tables,
-    written once to the shared folder. Files of one scene that fail are reported in ``errors``.
+    either, nor are such members of archives; ``only`` names the scenes to read. ``opener`` opens
+    remote archives in tasks (``archives.open_ranged`` where Arrow knows the file system); without
+    it they come through Spark as one row each, which ends at 2 GiB. Returns the scene table and the
+    decoded tables, written once to the shared folder. Files of one scene that fail are reported in
+    ``errors``.
     """
     configure(spark)
     days = "" if slots is None else scenes.day_glob(slots, config.time_epoch)
@@ -70,19 +74,49 @@ def read_scenes(
         def named(kind: str) -> DataFrame:
             return listed(content=True, pattern=f"*{days}*.{kind}")
 
-    # A local archive is opened in place, member by member; others come through Spark's file systems.
+    # Archives that tasks can open are read member by member; others come through Spark as rows.
     archives = found.filter(F.col("kind") == "zip").select(F.col("scene_id").alias("path"))
-    local = F.col("path").startswith("file:")
-    remote = named("zip").filter((F.col("kind") == "zip") & ~local)
-    unpacked = unpack_archives(archives.filter(local).repartition(F.col("path"))).unionByName(
-        unpack_archives(remote)
-    )
-    unpacked = unpacked.select(F.col("archive").alias("scene_id"), "name", "content", "error")
+    in_place = F.lit(True) if opener else F.col("path").startswith("file:")
+    unpacked = []
+    if not archives.filter(in_place).isEmpty():
+        entries = list_members(archives.filter(in_place), opener or open_ranged)
+        unpacked.append(read_members(_members_left(entries, found, config, covered), opener or open_ranged))
+    # A scan reads every content before a filter on the path sees it, so none is made in vain.
+    if not archives.filter(~in_place).isEmpty():
+        unpacked.append(unpack_archives(named("zip").filter((F.col("kind") == "zip") & ~in_place)))
     # The scene of a chunk follows from its name, so its bytes are neither joined nor shuffled.
-    files = unpacked.unionByName(chunk_contents(named("nc")))
+    files = chunk_contents(named("nc"))
+    for members in unpacked:
+        files = files.unionByName(
+            members.select(F.col("archive").alias("scene_id"), "name", "content", "error")
+        )
     return found, read_decoded(spark, decode_files(files, config, decoder))
 
 
+def _members_left(
+    entries: DataFrame, found: DataFrame, config: CubeConfig, covered: DataFrame | None
+) -> DataFrame:
+    """Members of archives that have to be read: chunks, without those whose rows are all stored."""
+    chunks = entries.filter(names.is_chunk(F.col("name")) | F.col("error").isNotNull())
+    if covered is None:
+        return chunks
+    placed = slot_values.with_slots(found, config.time_epoch, config.slot_count)
+    scene = placed.select(F.col("scene_id").alias("archive"), "scene_id", "product_type", "slot")
+    number = names.part_number(F.col("name"))
+    files = chunks.join(scene, "archive").select(
+        "scene_id",
+        "product_type",
+        "slot",
+        F.when(number > 0, number).cast("int").alias("chunk_no"),
+        F.col("entry").alias("path"),
+    )
+    # A member that is no numbered chunk, or an error, is read like an archive of unknown parts.
+    left = ledger.files_left(files, covered, ledger.wanted_rows(found.sparkSession, config))
+    keep = left.select(F.col("scene_id").alias("archive"), F.col("path").alias("entry")).distinct()
+    same = (F.col("c.archive") == F.col("k.archive")) & F.col("c.entry").eqNullSafe(F.col("k.entry"))
+    return chunks.alias("c").join(keep.alias("k"), same, "left_semi")
+
+
 def _left_to_read(
     found: DataFrame, config: CubeConfig, covered: DataFrame | None, only: DataFrame | None
 ) -> DataFrame:
@@ -240,6 +274,7 @@ def ingest_decoded(
     existing: str = "error",
     attributes: Mapping[str, Any] | None = None,
     origin: Mapping[str, Any] | None = None,
+    grid: str | None = None,
 ) -> dict[str, Any]:
     """Write decoded scenes into the cube at ``path`` and return the run's counters.
 
@@ -248,7 +283,8 @@ def ingest_decoded(
     per slot come from the latest ingest in either case. A ``staged`` write replaces whole slots, so
     it takes complete scenes only. Configuration and coverage errors are raised before any write; a
     scene that cannot be read is counted and left out. A resumed run must have the options its slots
-    were written with. ``origin`` is logged with the run's counters.
+    were written with. ``origin`` is logged with the run's counters; ``grid`` is a path of exported
+    latitude/longitude grids, whose lines are not computed again.
     """
     if existing not in EXISTING or write_mode not in WRITE_MODES:
         raise ConfigurationError(f"existing is one of {EXISTING}, write_mode one of {WRITE_MODES}")
@@ -305,7 +341,8 @@ def ingest_decoded(
         )
         write_slot_table(spark, slot_channel, path, "slot_channel", config, channels)
 
-    for name, table in grids.static_tables(spark, config).items():
+    located = store.stored_resolutions(spark, path, "geo", config.product_type)
+    for name, table in grids.static_tables(spark, config, grid, located).items():
         store.write_groups(table, path, name, ["product_type", "resolution"])
     declared = declared_attributes(spark, config, attributes).coalesce(1)
     store.write_groups(declared, path, "attributes", ["group"])
@@ -355,13 +392,15 @@ def ingest(
     filters: tuple[str, ...] = (),
     slots: tuple[int, int] | None = None,
     retry: bool = False,
+    opener: Opener | None = None,
     **options: Any,
 ) -> dict[str, Any]:
     """Ingest a folder of ZIPs or loose chunk files; see ``ingest_decoded`` for the options.
 
     ``slots`` restricts the run to a half-open range of slots before anything is decoded. A run with
     ``existing="resume"`` opens only files that hold rows the cube does not list; ``retry`` reads
-    the scenes that failed in earlier runs and have not succeeded since.
+    the scenes that failed in earlier runs and have not succeeded since; ``opener`` is that of
+    ``read_scenes``.
     """
     covered, only = None, None
     if options.get("existing") == "resume":
@@ -371,5 +410,5 @@ def ingest(
         if log is None:
             raise ConfigurationError("no earlier run to retry scenes of")
         only = ledger.scenes_to_retry(log)
-    found, decoded = read_scenes(spark, source, config, decoder, filters, slots, covered, only)
+    found, decoded = read_scenes(spark, source, config, decoder, filters, slots, covered, only, opener)
     return ingest_decoded(spark, found, decoded, config, path, **options)

@@ -41,6 +41,7 @@ class CubeConfig:
     time_slots: int | None = None
     partial_chunk: str = "fill"
     body_chunks: tuple[int, int] | None = None
+    lon0: float = 0.0
 
     def __post_init__(self) -> None:
         def require(ok: bool, message: str) -> None:
@@ -69,6 +70,7 @@ class CubeConfig:
                 1 <= first <= last <= BODY_CHUNKS,
                 f"body_chunks {self.body_chunks} must satisfy 1 <= first <= last <= {BODY_CHUNKS}",
             )
+        require(-180 <= self.lon0 <= 180, f"lon0 must lie between -180 and 180, got {self.lon0}")
         datetime.date.fromisoformat(self.time_epoch)
 
     @property
@@ -85,7 +87,7 @@ class CubeConfig:
         ``resolutions`` are those asked for; a log entry holds the ones they resolve to.
         """
         options = asdict(self)
-        for name in ("projection_units", "partial_chunk", "time_end", "time_slots", "flat"):
+        for name in ("projection_units", "partial_chunk", "time_end", "time_slots", "flat", "lon0"):
             options.pop(name)
         requested = (self.resolutions or "").split(",")
         options["resolutions"] = sorted({r.strip() for r in requested if r.strip()})

@@ -158,6 +158,8 @@ MORE: dict[str, dict[str, Any]] = {
         "spatial_ref": K.GEOS_WKT,
     },
 }
+#: What stands before the sub-satellite longitude in the text of the projection.
+WKT_ORIGIN = '"Longitude of natural origin",'
 #: Attributes that follow an option: (variable, option, value of the option) to attributes.
 BY_OPTION = {
     (axis, "projection_units", units): {
@@ -187,6 +189,9 @@ def attributes_of(name: str, kind: str, config: CubeConfig) -> dict[str, Any]:
     named = {"units": UNITS, "long_name": LONG_NAMES, "standard_name": STANDARD_NAMES}
     found = {attribute: names[name] for attribute, names in named.items() if name in names}
     found |= MORE.get(name, {})
+    if name == "spatial_ref" and config.lon0:
+        wkt = K.GEOS_WKT.replace(f"{WKT_ORIGIN}0", f"{WKT_ORIGIN}{config.lon0}")
+        found |= {"longitude_of_projection_origin": float(config.lon0), "crs_wkt": wkt, "spatial_ref": wkt}
     for (variable, option, value), attributes in BY_OPTION.items():
         if variable == name and getattr(config, option) == value:
             found |= attributes

@@ -42,7 +42,7 @@ def open_table(spark: SparkSession, path: str, table: str) -> DataFrame | None:
 
 
 def identity(config: CubeConfig) -> dict:
-    """What every write into one cube must agree on: the axis, the layout, the grid, the window."""
+    """What every write into one cube must agree on: the axis, the layout, the grid, the window, the longitude."""
     grids = catalog.config_resolutions(config)
     return {
         "epoch": config.time_epoch,
@@ -51,6 +51,7 @@ def identity(config: CubeConfig) -> dict:
         "grid": "_".join([config.product_type, *grids]) if config.flat else None,
         "stripe": None if config.body_chunks is None else "chunks {} to {}".format(*config.body_chunks),
         "tiles": {grid: config.tile_height(grid) for grid in K.TILE_ROWS},
+        "lon0": float(config.lon0),
     }
 
 
@@ -229,6 +230,15 @@ def write_groups(df: DataFrame, path: str, table: str, keys: Sequence[str]) -> N
     df.write.mode("append").parquet(f"{path}/{table}")
 
 
+def stored_resolutions(spark: SparkSession, path: str, table: str, product_type: str) -> set[str]:
+    """Resolutions of a product that a static table holds; at most as many as there are grids."""
+    stored = open_table(spark, path, table)
+    if stored is None:
+        return set()
+    own = stored.where(F.col("product_type") == product_type)
+    return {r.resolution for r in own.select("resolution").distinct().collect()}
+
+
 def write_once(df: DataFrame, path: str, table: str) -> None:
     """Write a static table unless it is there already."""
     df.write.mode("ignore").parquet(f"{path}/{table}")

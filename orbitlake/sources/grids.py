@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,12 +107,20 @@ def line_array(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, mask=np.isnan(flat)))
 
 
-def geo_table(spark: SparkSession, config: CubeConfig, lon0: float = 0.0) -> DataFrame:
-    """The latitude/longitude table of a cube, restricted to its row windows."""
-    tables = [
-        geo_rows(spark, resolution, catalog.row_window(config, resolution), lon0)
-        for resolution in catalog.config_resolutions(config)
-    ]
+def geo_table(
+    spark: SparkSession, config: CubeConfig, grid: str | None = None, resolutions: Sequence[str] | None = None
+) -> DataFrame:
+    """The latitude/longitude table of a cube, restricted to its row windows.
+
+    ``grid`` is the path of exported grids: lines found there are read, all others computed.
+    """
+    tables = []
+    for resolution in resolutions or catalog.config_resolutions(config):
+        rows = catalog.row_window(config, resolution)
+        if grid is None:
+            tables.append(geo_rows(spark, resolution, rows, config.lon0))
+        else:
+            tables.append(known_or_computed(spark, grid, resolution, rows, config.lon0))
     table = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
     return table.withColumn("product_type", F.lit(config.product_type))
 
@@ -129,17 +138,67 @@ def axes(spark: SparkSession, config: CubeConfig, axis: str) -> DataFrame:
     return select_variables(both, f"axis_{axis}", config, ())
 
 
+GRID_SCHEMA = "y int, latitude array<float>, longitude array<float>, lon0 double, resolution string"
+
+
+def exported_lines(spark: SparkSession, path: str, resolution: str, lon0: float = 0.0) -> DataFrame | None:
+    """Lines of exported grids for a resolution and longitude; None where there are no grids.
+
+    Both are partition columns, so lines of other grids are not read. Lines whose length is not
+    that of the resolution, as grids of another layout have them, are left out.
+    """
+    try:
+        stored = spark.read.schema(GRID_SCHEMA).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    size = DIMSIZE[resolution]
+    own = stored.where((F.col("resolution") == resolution) & (F.col("lon0") == float(lon0)))
+    return own.where((F.size("latitude") == size) & (F.size("longitude") == size)).drop("lon0")
+
+
+def known_or_computed(
+    spark: SparkSession, path: str, resolution: str, rows: tuple[int, int], lon0: float = 0.0
+) -> DataFrame:
+    """Lines of a half-open row window: those exported grids hold, the others computed.
+
+    Only row numbers are compared; exported lines go from the scan to the result without a shuffle.
+    """
+    wanted = grid_rows(spark, resolution, rows)
+    stored = exported_lines(spark, path, resolution, lon0)
+    if stored is None:
+        return with_latlon(wanted, resolution, lon0)
+    known = stored.where((F.col("y") >= rows[0]) & (F.col("y") < rows[1]))
+    missing = wanted.join(known.select("y"), "y", "left_anti")
+    return with_latlon(missing, resolution, lon0).unionByName(known)
+
+
 def export_geo(
     spark: SparkSession, resolutions: Sequence[str], path: str, lon0: float = 0.0, overwrite: bool = False
 ) -> None:
-    """Write latitude/longitude tables for later cubes, partitioned by resolution."""
+    """Write latitude/longitude tables for later cubes, one for each longitude and resolution.
+
+    Grids of other longitudes and resolutions at the same path stay. A grid that is there already is
+    refused, or replaced with ``overwrite``.
+    """
     unknown = [r for r in resolutions if r not in DIMSIZE]
     if unknown:
         raise ConfigurationError(f"unknown resolutions {unknown}, expected {sorted(DIMSIZE)}")
-    mode = "overwrite" if overwrite else "errorifexists"
-    for step, resolution in enumerate(resolutions):
-        table = geo_rows(spark, resolution, lon0=lon0)
-        table.write.partitionBy("resolution").mode(mode if step == 0 else "append").parquet(path)
+    if not overwrite:
+        grids = [(r, exported_lines(spark, path, r, lon0)) for r in resolutions]
+        there = [r for r, lines in grids if lines is not None and not lines.isEmpty()]
+        if there:
+            raise ConfigurationError(f"grids of {there} at longitude {lon0} are there already")
+    for resolution in dict.fromkeys(resolutions):
+        table = geo_rows(spark, resolution, lon0=lon0).withColumn("lon0", F.lit(float(lon0)))
+        # One partition is replaced as a whole, so a line is never there twice.
+        (
+            table.write.partitionBy("lon0", "resolution")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
 
 
 def geo_info(geo: DataFrame) -> DataFrame:
@@ -168,13 +227,19 @@ def channel_table(spark: SparkSession, config: CubeConfig) -> DataFrame:
     return select_variables(plan, "channels", config, ())
 
 
-def static_tables(spark: SparkSession, config: CubeConfig, lon0: float = 0.0) -> dict[str, DataFrame]:
-    """All static tables of a cube by name."""
+def static_tables(
+    spark: SparkSession, config: CubeConfig, grid: str | None = None, located: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """All static tables of a cube by name; latitude and longitude from exported grids where given.
+
+    Resolutions in ``located`` have their latitudes and longitudes already.
+    """
     tables = {
         "channels": channel_table(spark, config),
         "axis_x": axes(spark, config, "x"),
         "axis_y": axes(spark, config, "y"),
     }
-    if config.include_geolocation:
-        tables["geo"] = select_variables(geo_table(spark, config, lon0), "geo", config, ())
+    left = [r for r in catalog.config_resolutions(config) if r not in located]
+    if config.include_geolocation and left:
+        tables["geo"] = select_variables(geo_table(spark, config, grid, left), "geo", config, ())
     return tables

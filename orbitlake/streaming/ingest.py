@@ -209,6 +209,7 @@ def ingest_stream(
     checkpoint: str,
     available_now: bool = True,
     keep: int | None = None,
+    grid: str | None = None,
 ) -> StreamingQuery:
     """Ingest a stream of chunk files and ZIPs (path, content) into a whole cube.
 
@@ -216,7 +217,8 @@ def ingest_stream(
     that a scene is always built from all the files it has had: scanlines, per-slot values,
     calibration, static tables, identity and log are those of a single ingest of these files. Only
     scenes with new files are built again, and only their tiles are written. ``keep`` is the number
-    of batches whose decoded tables stay: files that come later complete a scene by their own rows.
+    of batches whose decoded tables stay: files that come later complete a scene by their own rows;
+    ``grid`` is that of ``ingest_decoded``.
 
     A batch is logged with its number when it is done, and passed over when it comes again; one that
     stopped halfway is decoded and written anew, over what it had left. Names that cannot be read,
@@ -258,7 +260,7 @@ def ingest_stream(
         decoded = latest_copies(decoded.join(found.select("scene_id"), "scene_id", "left_semi"))
         tables = Decoded(**{table: table_rows(decoded, table) for table in TABLES})
         origin = {"stream": checkpoint, "batch": number}
-        ingest_decoded(spark, found, tables, config, path, existing="force", origin=origin)
+        ingest_decoded(spark, found, tables, config, path, existing="force", origin=origin, grid=grid)
         if keep is not None:
             drop_path(spark, f"{state}/batch={number - keep}")
 

@@ -80,7 +80,7 @@ def test_export_geo(spark, tmp_path):
     grids.export_geo(spark, ["1km", "2km"], path)
     found = {r.resolution: r.total for r in grids.geo_info(spark.read.parquet(path)).collect()}
     assert found == {"1km": 24 * 24, "2km": 12 * 12}
-    with pytest.raises(AnalysisException):
+    with pytest.raises(ConfigurationError, match="are there already"):
         grids.export_geo(spark, ["2km"], path)
     with pytest.raises(ConfigurationError, match="unknown resolutions"):
         grids.export_geo(spark, ["9km"], path, overwrite=True)

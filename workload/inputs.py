@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import os
+import uuid
 import zipfile
 
 import pandas as pd
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 
 from orbitlake.functions import fills, names
 from orbitlake.operators import scenes
-from orbitlake.session import staged
-from orbitlake.sources.archives import unpack_archives
+from orbitlake.session import scratch_path, staged
+from orbitlake.sources.archives import list_members, read_members, unpack_archives
 from orbitlake.sources.chunks import decode_chunks, table_rows
 from orbitlake.sources.files import list_inputs
 from workload import tables as t
@@ -99,6 +101,44 @@ def unpack(spark, sf):
     return unpack_archives(archives).select("archive", "name", "length", F.md5("content").alias("digest"))
 
 
+def archive_writer(folder):
+    """Write the texts of an archive to a ZIP file in the shared folder; each try under its own name."""
+
+    def write(rows):
+        number = int(rows["number"].iloc[0])
+        path = f"{folder}/{number:08d}.zip"
+        attempt = f"{path}.{uuid.uuid4().hex}"
+        os.makedirs(folder, exist_ok=True)
+        with zipfile.ZipFile(attempt, "w", zipfile.ZIP_DEFLATED) as archive:
+            for doc_id, text in zip(rows["doc_id"], rows["text"]):
+                archive.writestr(f"part/{doc_id}.nc", text or "")
+                archive.writestr(f"preview/{doc_id}.jpg", "no chunk")
+        os.replace(attempt, path)
+        return pd.DataFrame({"path": [f"file:{path}"]})
+
+    return write
+
+
+@query(
+    "archive_members",
+    """SELECT lpad(CAST(doc_id // 100 AS VARCHAR), 8, '0') || '.zip' AS archive,
+      'part/' || doc_id || '.nc' AS name, CAST(strlen(coalesce(text, '')) AS BIGINT) AS length,
+      md5(coalesce(text, '')) AS digest FROM documents""",
+)
+def archive_members(spark, sf):
+    """Archives of a hundred documents each; only the members a filter leaves are read."""
+    folder = scratch_path(spark, "zips").removeprefix("file:")
+    numbered = t.read(spark, sf, "documents").select(
+        F.floor(F.col("doc_id") / 100).alias("number"), "doc_id", "text"
+    )
+    written = numbered.groupBy("number").applyInPandas(archive_writer(folder), "path string")
+    entries = list_members(staged(written, "zips"))
+    found = read_members(entries.filter(F.col("name").endswith(".nc")))
+    return found.select(
+        names.item_name(F.col("archive")).alias("archive"), "name", "length", F.md5("content").alias("digest")
+    )
+
+
 @query(
     "order_parts",
     f"""WITH {t.FILES_SQL} SELECT scene_id, name, row_number() OVER (

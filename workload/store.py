@@ -10,7 +10,7 @@ from orbitlake import constants as K
 from orbitlake.functions import slots
 from orbitlake.functions.radiometry import calibrated
 from orbitlake.ingest import ingest_decoded
-from orbitlake.operators.rasters import pixels
+from orbitlake.operators.rasters import attach_geo, pixels
 from orbitlake.plans.catalog import attach_wavelength
 from orbitlake.plans.config import CubeConfig
 from orbitlake.session import scratch_path
@@ -220,14 +220,14 @@ def decoded_tables(spark, sf) -> Decoded:
 CONFIG = CubeConfig(K.FDHSI, include_geolocation=False, time_epoch=t.EPOCH)
 
 
-def run_ingest(spark, decoded: Decoded, path: str, **options) -> None:
+def run_ingest(spark, decoded: Decoded, path: str, config: CubeConfig = CONFIG, **options) -> None:
     label = F.col("scene_id").cast("bigint")
     scenes = decoded.scan_in.select("scene_id").distinct().select(
         "scene_id",
         F.lit(K.FDHSI).alias("product_type"),
         slots.slot_start(label, t.EPOCH).alias("coordinate"),
     )
-    ingest_decoded(spark, scenes, decoded, CONFIG, path, **options)
+    ingest_decoded(spark, scenes, decoded, config, path, **options)
 
 
 @query(
@@ -409,3 +409,40 @@ def scenes_to_retry(spark, sf):
         F.col("ts").alias("logged_at"),
     )
     return ledger.scenes_to_retry(log).select("scene_id", "error", "n_failures")
+
+
+LON0 = 9.5
+
+
+@query(
+    "grid_reuse",
+    f"""WITH pt AS (SELECT l_orderkey, l_linenumber, l_partkey,
+        ((l_partkey * 31 + l_suppkey) % 5568 - 2783.5::DOUBLE) * 5.58871526468e-05::DOUBLE AS xa,
+        (l_orderkey * 53 % 5568 - 2783.5::DOUBLE) * 5.58871526468e-05::DOUBLE AS ya
+        FROM lineitem){t.LATLON_SQL.removeprefix(t.PIXELS_SQL)}
+      SELECT l_orderkey, l_linenumber, l_partkey, round(CAST(latitude AS DOUBLE), 3) AS latitude,
+        round(CAST(longitude + {LON0}::FLOAT + 180::FLOAT - 180::FLOAT AS DOUBLE), 3) AS longitude FROM ll""",
+)
+def grid_reuse(spark, sf):
+    """Exported grids of another longitude, taken over by an ingest and looked up in its cube."""
+    grid, path = scratch_path(spark, "grid"), scratch_path(spark, "located")
+    grids.export_geo(spark, ["2km"], grid, lon0=LON0)
+    config = replace(CONFIG, resolutions="2km", include_geolocation=True, lon0=LON0)
+    run_ingest(spark, decoded_tables(spark, sf), path, config, grid=grid)
+    seen = t.read(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.lit(K.FDHSI).alias("product_type"),
+        F.lit("2km").alias("resolution"),
+        F.pmod(F.col("l_orderkey") * 53, F.lit(5568)).cast("int").alias("y"),
+        F.pmod(F.col("l_partkey") * 31 + F.col("l_suppkey"), F.lit(5568)).cast("int").alias("x"),
+    )
+    located = attach_geo(seen, cube.read_cube(spark, path, table="geo"))
+
+    def degrees(name: str):
+        return F.round(F.get(name, F.col("x")).cast("double"), 3).alias(name)
+
+    return located.select(
+        "l_orderkey", "l_linenumber", "l_partkey", degrees("latitude"), degrees("longitude")
+    )
