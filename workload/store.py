@@ -10,7 +10,7 @@ from orbitlake import constants as K
 from orbitlake.functions import slots
 from orbitlake.functions.radiometry import calibrated
 from orbitlake.ingest import ingest_decoded
-from orbitlake.operators.rasters import attach_geo, pixels
+from orbitlake.operators.rasters import GEO_KEYS, attach_geo, pixels
 from orbitlake.plans.catalog import attach_wavelength
 from orbitlake.plans.config import CubeConfig
 from orbitlake.session import scratch_path
@@ -412,6 +412,7 @@ def scenes_to_retry(spark, sf):
 
 
 LON0 = 9.5
+PIECE = 64
 
 
 @query(
@@ -438,10 +439,20 @@ def grid_reuse(spark, sf):
         F.pmod(F.col("l_orderkey") * 53, F.lit(5568)).cast("int").alias("y"),
         F.pmod(F.col("l_partkey") * 31 + F.col("l_suppkey"), F.lit(5568)).cast("int").alias("x"),
     )
-    located = attach_geo(seen, cube.read_cube(spark, path, table="geo"))
+    # Pixels meet pieces of a line, not whole lines of 44 KB each.
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.lit(K.DIMSIZE["2km"] // PIECE - 1)),
+        lambda n: F.struct(
+            F.slice("latitude", n * PIECE + 1, PIECE).alias("latitude"),
+            F.slice("longitude", n * PIECE + 1, PIECE).alias("longitude"),
+        ),
+    )
+    geo = cube.read_cube(spark, path, table="geo").select(*GEO_KEYS, F.posexplode(pieces).alias("piece", "at"))
+    seen = seen.withColumn("piece", F.floor(F.col("x") / PIECE).cast("int"))
+    located = attach_geo(seen, geo.select(*GEO_KEYS, "piece", "at.*"), [*GEO_KEYS, "piece"])
 
     def degrees(name: str):
-        return F.round(F.get(name, F.col("x")).cast("double"), 3).alias(name)
+        return F.round(F.get(name, F.col("x") % PIECE).cast("double"), 3).alias(name)
 
     return located.select(
         "l_orderkey", "l_linenumber", "l_partkey", degrees("latitude"), degrees("longitude")
