@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orbitlake.ingest import scene_problems
 from orbitlake.operators import coverage
 from orbitlake.operators.scenes import run_metrics
 from orbitlake.plans import catalog
 from orbitlake.plans.config import CubeConfig
+from orbitlake.sources.chunks import TABLES, Decoded, schema_of
 from workload import tables as t
 from workload.registry import query
 
@@ -170,35 +172,70 @@ def groups_in_window(spark, sf):
     return coverage.clipped(parts).select("scene_id", "resolution").distinct()
 
 
-@query(
-    "error_precedence",
-    f"""WITH {WINDOW_GAPS_SQL} SELECT scene_id, CASE WHEN scene_id IN (SELECT scene_id FROM window_gap)
-      THEN 'coverage' WHEN scene_id % 5 = 0 THEN 'root table' END AS error FROM scene""",
-)
+PROBLEMS_SQL = f"""{t.SHIFTED_SQL},
+p AS (SELECT scene_id, event_id, row_start, row_stop FROM shifted WHERE row_start < row_stop AND event_id % 23 <> 0),
+bad AS (
+  SELECT a.scene_id, a.row_start AS "row", 'overlap' AS problem FROM p a JOIN p b
+    ON b.scene_id = a.scene_id AND b.event_id <> a.event_id
+    AND b.row_start <= a.row_start AND b.row_stop > a.row_start
+  UNION ALL SELECT scene_id, row_start, 'empty' FROM shifted WHERE event_id % 23 <> 0
+    AND row_start >= row_stop AND row_start // 278 = (row_stop - 1) // 278 AND row_stop > 0),
+cover AS (
+  SELECT scene_id, problem || ' part rows at ' || CAST("row" AS INTEGER) AS error FROM (
+    SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY "row", problem) AS rn FROM bad) WHERE rn = 1),
+member AS (
+  SELECT scene_id, event_id, event_id % 42 AS n, 'W_XX-FCI-1C-RRAD-FDHSI-FD--CHK-BODY---' || event_id || '_'
+    || lpad(CAST(event_id % 42 AS VARCHAR), 4, '0') || '.nc' AS name FROM shifted),
+twice AS (
+  SELECT scene_id, min('equal part numbers: ' || lo || ' and ' || hi) AS error FROM (
+    SELECT scene_id, n, min(name) AS lo, max(name) AS hi FROM member GROUP BY scene_id, n)
+  WHERE lo <> hi GROUP BY scene_id),
+broken AS (
+  SELECT scene_id, min(name || ': broken') AS error FROM member WHERE event_id % 23 = 0 GROUP BY scene_id),
+scene AS (
+  SELECT DISTINCT scene_id FROM shifted UNION ALL SELECT DISTINCT user_id || '/none' FROM events),
+judged AS (
+  SELECT scene_id, coalesce(c.error, e.error, b.error,
+    CASE WHEN scene_id LIKE '%/none' THEN 'no chunk could be read' END) AS error
+  FROM scene LEFT JOIN cover c USING (scene_id) LEFT JOIN twice e USING (scene_id)
+  LEFT JOIN broken b USING (scene_id))"""
+
+
+def judged_scenes(spark, sf):
+    """Scenes of delivered parts with their foremost problem.
+
+    Every 23rd file cannot be decoded, so its rows are missing; a scene per user has no files at all.
+    """
+    parts = coverage.attach_grid(t.shifted_parts(spark, sf))
+    event = F.col("event_id")
+    number = F.pmod(event, F.lit(42)).cast("string")
+    name = F.concat(
+        F.lit("W_XX-FCI-1C-RRAD-FDHSI-FD--CHK-BODY---"), event, F.lit("_"), F.lpad(number, 4, "0"), F.lit(".nc")
+    )
+    files = parts.select("scene_id", event, F.pmod(event, F.lit(42)).alias("part_order"), name.alias("name"))
+    parts = parts.filter(event % 23 != 0)
+    tables = {n: spark.createDataFrame([], schema_of(n)) for n in TABLES}
+    tables["members"] = files.select("scene_id", "part_order", "name")
+    broken = F.concat("name", F.lit(": broken")).alias("error")
+    tables["errors"] = files.filter(event % 23 == 0).select("scene_id", "part_order", broken)
+    tables["chunk_rows"] = parts.select("scene_id", "chunk_no", "row_start", "row_stop")
+    without = t.read(spark, sf, "events").select(F.concat("user_id", F.lit("/none")).alias("scene_id"))
+    found = files.select("scene_id").distinct().unionByName(without.distinct())
+    problems = scene_problems(found, Decoded(**tables), parts, CubeConfig("FDHSI"))
+    return found.join(problems, "scene_id", "left")
+
+
+@query("error_precedence", f"WITH {PROBLEMS_SQL} SELECT scene_id, error FROM judged")
 def error_precedence(spark, sf):
-    """A scene with both kinds of trouble reports its coverage, not its broken root table."""
-    parts = gridded(spark, sf)
-    refused = coverage.partial_problems(parts, staged=True, partial_chunk="fill")
-    refused = refused.select("scene_id", F.lit("coverage").alias("coverage"))
-    broken = F.when(F.col("scene_id") % 5 == 0, "root table")
-    scenes = parts.select("scene_id").distinct().join(refused, "scene_id", "left")
-    return scenes.select("scene_id", F.coalesce("coverage", broken).alias("error"))
+    """Coverage comes before equal numbers, these before files that fail, these before none at all."""
+    return judged_scenes(spark, sf).select("scene_id", "error")
 
 
 @query(
     "failure_isolation",
-    f"""WITH {t.SHIFTED_SQL}, p AS (
-        SELECT scene_id, event_id, row_start, row_stop FROM shifted WHERE row_start < row_stop),
-      bad AS (
-        SELECT a.scene_id FROM p a JOIN p b ON b.scene_id = a.scene_id AND b.event_id <> a.event_id
-          AND b.row_start <= a.row_start AND b.row_stop > a.row_start
-        UNION SELECT scene_id FROM shifted
-          WHERE row_start >= row_stop AND row_start // 278 = (row_stop - 1) // 278 AND row_stop > 0)
-      SELECT (SELECT count(DISTINCT scene_id) FROM shifted) - count(*) AS files_processed,
-        count(*) AS files_failed, (SELECT count(DISTINCT scene_id) FROM shifted) AS count FROM bad""",
+    f"""WITH {PROBLEMS_SQL} SELECT count(*) FILTER (error IS NULL) AS files_processed,
+      count(error) AS files_failed, count(*) AS count FROM judged""",
 )
 def failure_isolation(spark, sf):
-    """Scenes with bad parts are counted as failed; all others are processed."""
-    parts = coverage.attach_grid(t.shifted_parts(spark, sf))
-    bad = coverage.overlap_guard(parts).select("scene_id", F.col("problem").alias("error"))
-    return run_metrics(parts.select("scene_id").distinct().join(bad, "scene_id", "left"))
+    """Scenes with a problem are counted as failed; all others are processed."""
+    return run_metrics(judged_scenes(spark, sf))
