@@ -7,19 +7,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orbitlake.llm.simhash import merge_labels
-from orbitlake.llm.tables import components, staged
+from orbitlake.llm.tables import components, running_total, smallest, staged
 
 THRESHOLD = 0.98
 #: Bound of the sample that the principal axes are fitted on; they only order the work.
 PCA_SAMPLE = 20_000
-#: Vectors of a tile; a larger cell is cut into several.
-TILE = 1024
+#: Numbers in a tile: longer vectors make tiles of fewer. Bounds what a task holds of two tiles.
+TILE = 1 << 20
+#: Rows of a tile that are compared, or skipped, at once.
+BLOCK = 256
 #: Leading dimensions after which a bound is taken.
 STEPS = (8, 16, 32)
+#: Leading axes that tiles are ordered by and have bounds on, and bits of an axis in the order.
+LEAD, BITS = 8, 7
 #: Rounding that projected products may hold.
 SLACK = 1e-7
 
@@ -38,7 +42,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def axes_of(nodes: DataFrame) -> dict[int, np.ndarray]:
     """The principal axes for each vector length, strongest first, from a bounded sample."""
-    sample = nodes.orderBy(F.xxhash64("node")).limit(PCA_SAMPLE).select("embedding").toArrow()
+    spread = nodes.select("embedding", F.xxhash64("node").alias("spread"))
+    sample = smallest(spread, "spread", PCA_SAMPLE).select("embedding").toArrow()
     by_size: dict[int, list] = {}
     for vector in sample.column("embedding").to_pylist():
         by_size.setdefault(len(vector), []).append(vector)
@@ -53,8 +58,41 @@ def _axes(axes: dict[int, np.ndarray], size: int) -> np.ndarray:
     return axes[size] if size in axes else np.eye(size)
 
 
-def with_cells(nodes: DataFrame, axes: dict[int, np.ndarray], threshold: float) -> DataFrame:
-    """Add ``cx`` and ``cy``: cells of the two leading axes, as wide as linked vectors can be apart."""
+BOUNDED = [*(f"p{k}" for k in range(LEAD)), "rest"]
+
+
+def _rest(projected: np.ndarray, k: int) -> np.ndarray:
+    """Suffix norms: the length of each row without its first ``k`` dimensions."""
+    return np.sqrt((projected[:, k:] ** 2).sum(1))
+
+
+def _leading(projected: np.ndarray) -> np.ndarray:
+    """The columns ``BOUNDED``: the leading coordinates, zero where there are fewer, and the suffix norm."""
+    lead = np.zeros((len(projected), LEAD + 1))
+    lead[:, : min(LEAD, projected.shape[1])] = projected[:, :LEAD]
+    lead[:, LEAD] = _rest(projected, LEAD)
+    return lead
+
+
+def _order(lead: np.ndarray) -> np.ndarray:
+    """A number per row whose bits are those of the leading coordinates in turn, the strongest axis first.
+
+    Rows next to each other in this order are near each other on all these axes.
+    """
+    steps = np.clip((lead[:, :LEAD] + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
+    order = np.zeros(len(lead), np.int64)
+    for bit in range(BITS - 1, -1, -1):
+        for axis in range(LEAD):
+            order = order << 1 | (steps[:, axis] >> bit & 1)
+    return order
+
+
+def with_places(nodes: DataFrame, axes: dict[int, np.ndarray], threshold: float) -> DataFrame:
+    """Add ``cx`` and ``cy``, ``place`` and the columns ``BOUNDED``.
+
+    The first two are cells of the two leading axes, as wide as linked vectors can be apart;
+    ``place`` orders vectors along the leading axes.
+    """
     width = math.sqrt(max(2 - 2 * threshold, 0)) + 1e-6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,36 +100,64 @@ def with_cells(nodes: DataFrame, axes: dict[int, np.ndarray], threshold: float)
             if not batch.num_rows:
                 continue
             vectors = batch.column("embedding")
-            cells = np.zeros((len(vectors), 2), np.int32)
+            lead = np.zeros((len(vectors), LEAD + 1))
             sizes = np.array([len(v) for v in vectors])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 rows = unit_rows(_matrix(vectors.take(pa.array(at))))
-                lead = rows @ _axes(axes, int(size))[:, :2]
-                cells[at, : lead.shape[1]] = np.floor(lead / width)
-            names = [*batch.schema.names, "cx", "cy"]
+                lead[at] = _leading(rows @ _axes(axes, int(size)))
+            cells = np.floor(lead[:, :2] / width).astype(np.int32)
+            added = [cells[:, 0], cells[:, 1], _order(lead), *lead.T]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cells[:, 0]), pa.array(cells[:, 1])], names=names
+                [*batch.columns, *(pa.array(np.ascontiguousarray(c)) for c in added)],
+                names=[*batch.schema.names, "cx", "cy", "place", *BOUNDED],
             )
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
-    return nodes.mapInArrow(run, f"{schema}, cx int, cy int")
+    bounded = ", ".join(f"{c} double" for c in BOUNDED)
+    return nodes.mapInArrow(run, f"{schema}, cx int, cy int, place long, {bounded}")
+
+
+def _boxes(projected: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest leading coordinates and suffix norms of each block of rows."""
+    lead, starts = _leading(projected), np.arange(0, len(projected), BLOCK)
+    return np.minimum.reduceat(lead, starts), np.maximum.reduceat(lead, starts)
 
 
 def linked_pairs(
     left: np.ndarray, right: np.ndarray, axes: np.ndarray, threshold: float, same: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows whose cosine is at least the threshold; ``same``: each pair once."""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows whose cosine is at least the threshold, block by block.
+
+    ``same``: both sides are one tile; each pair comes once.
+    """
+    if not len(left) or not len(right):
+        return
     a, b = unit_rows(left), unit_rows(right)
-    pa_, pb = a @ axes, b @ axes
-    size = pa_.shape[1]
+    whole_a, whole_b = a @ axes, b @ axes
+    (low_a, high_a), (low_b, high_b) = _boxes(whole_a), _boxes(whole_b)
+    for x in range(len(low_a)):
+        gap = np.maximum(np.maximum(low_b - high_a[x], low_a[x] - high_b), 0)
+        for y in np.flatnonzero((gap**2).sum(1) <= 2 - 2 * threshold + 2 * SLACK):
+            if same and y < x:
+                continue
+            at, to = x * BLOCK, y * BLOCK
+            one, two = slice(at, at + BLOCK), slice(to, to + BLOCK)
+            i, j = _linked(whole_a[one], whole_b[two], threshold, same and x == y)
+            # What is left is decided by the cosine of the given numbers themselves.
+            near = np.einsum("ij,ij->i", a[one][i], b[two][j]) >= threshold
+            if near.any():
+                yield i[near] + at, j[near] + to
 
-    def rest(rows: np.ndarray, k: int) -> np.ndarray:
-        return np.sqrt((rows[:, k:] ** 2).sum(1))
 
+def _linked(
+    left: np.ndarray, right: np.ndarray, threshold: float, same: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of projected rows that the bounds leave after all dimensions."""
+    size = left.shape[1]
     k = min(STEPS[0], size)
-    so_far = pa_[:, :k] @ pb[:, :k].T
-    alive = so_far + np.outer(rest(pa_, k), rest(pb, k)) >= threshold - SLACK
+    so_far = left[:, :k] @ right[:, :k].T
+    alive = so_far + np.outer(_rest(left, k), _rest(right, k)) >= threshold - SLACK
     if same:
         alive = np.triu(alive, 1)
     i, j = np.nonzero(alive)
@@ -99,13 +165,11 @@ def linked_pairs(
     for upto in (*STEPS[1:], size):
         upto = min(upto, size)
         if upto > k and len(i):
-            product = product + np.einsum("ij,ij->i", pa_[i, k:upto], pb[j, k:upto])
+            product = product + np.einsum("ij,ij->i", left[i, k:upto], right[j, k:upto])
             k = upto
-            near = product + rest(pa_, k)[i] * rest(pb, k)[j] >= threshold - SLACK
+            near = product + _rest(left, k)[i] * _rest(right, k)[j] >= threshold - SLACK
             i, j, product = i[near], j[near], product[near]
-    # What is left is decided by the cosine of the given numbers themselves.
-    near = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
-    return i[near], j[near]
+    return i, j
 
 
 def _compare(axes: dict[int, np.ndarray], threshold: float):
@@ -118,11 +182,11 @@ def _compare(axes: dict[int, np.ndarray], threshold: float):
         first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         basis = _axes(axes, vectors.shape[1])
         links, label = np.zeros(len(node), np.int64), np.arange(len(node))
-        i, j = linked_pairs(vectors[first], vectors[second], basis, threshold, same)
-        i, j = first[i], second[j]
-        np.add.at(links, i, times[j])
-        np.add.at(links, j, times[i])
-        merge_labels(label, i, j)
+        for i, j in linked_pairs(vectors[first], vectors[second], basis, threshold, same):
+            i, j = first[i], second[j]
+            np.add.at(links, i, times[j])
+            np.add.at(links, j, times[i])
+            merge_labels(label, i, j)
         at = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays(
             [pa.array(node[at]), pa.array(links[at]), pa.array(node[label[at]])],
@@ -147,59 +211,70 @@ def _compare(axes: dict[int, np.ndarray], threshold: float):
     return run
 
 
-def vector_links(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, links, root): what each tile pair found; ``root`` is a node reachable over links.
+def tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
+    """(one, other): tiles whose vectors can be linked, each pair once, a tile with itself too.
 
-    ``nodes`` holds distinct (node, label, embedding, n). Cells next to each other on the two
-    leading axes hold all pairs that can be linked. A pair of cells is compared tile by tile; each
-    task gets two tiles at a time and returns counts and spanning links, never pairs.
+    Cells next to each other on the two leading axes hold all pairs that can be linked. Of their
+    tiles those pairs go whose boxes are too far apart: the gaps between leading coordinates and
+    between suffix norms are a lower bound of the distance of any two vectors.
     """
-    axes = axes_of(nodes)
-    sized = nodes.withColumn("dim", F.size("embedding"))
-    placed = staged(with_cells(sized, axes, threshold), "cells")
     cell = ["label", "dim", "cx", "cy"]
-    cells = placed.groupBy(*cell).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    cells = staged(cells, "cellsizes")
     steps = F.array(
         *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0), (1, 0), (1, 1), (0, 1), (-1, 1))]
     )
-    near = cells.withColumn("step", F.explode(steps)).select(
-        *cell,
-        "tiles",
-        (F.col("cx") + F.col("step.x")).alias("nx"),
-        (F.col("cy") + F.col("step.y")).alias("ny"),
+    bounds = [f"{edge}_{c}" for c in BOUNDED for edge in ("low", "high")]
+    near = tiles.withColumn("step", F.explode(steps)).select(
+        "label",
+        "dim",
+        (F.col("cx") + F.col("step.x")).alias("cx"),
+        (F.col("cy") + F.col("step.y")).alias("cy"),
         ((F.col("step.x") == 0) & (F.col("step.y") == 0)).alias("home"),
+        F.col("tile").alias("one"),
+        *(F.col(c).alias(f"one_{c}") for c in bounds),
     )
-    other = cells.select(
-        "label", "dim", F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("tiles").alias("others")
-    )
-    pairs = near.join(other, ["label", "dim", "nx", "ny"])
-    pairs = pairs.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    low = F.when(F.col("home"), F.col("tile")).otherwise(0)
-    pairs = pairs.withColumn("with", F.explode(F.sequence(low, F.col("others") - 1)))
+    both = near.join(tiles.withColumnRenamed("tile", "other"), cell)
+
+    def gap(c: str) -> Column:
+        apart = F.greatest(
+            F.col(f"low_{c}") - F.col(f"one_high_{c}"), F.col(f"one_low_{c}") - F.col(f"high_{c}"), F.lit(0.0)
+        )
+        return apart * apart
+
+    reach = sum((gap(c) for c in BOUNDED[1:]), gap(BOUNDED[0])) <= 2 - 2 * threshold + 2 * SLACK
+    return both.where((~F.col("home") | (F.col("one") <= F.col("other"))) & reach).select("one", "other")
+
+
+def vector_links(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, links, root): what each tile pair found; ``root`` is a node reachable over links.
+
+    ``nodes`` holds distinct (node, label, embedding, n). The vectors of a cell are put in order along
+    the principal axes and cut to tiles. Bounds on whole tiles come before any vector is sent; each
+    task gets two tiles at a time and returns counts and spanning links, never pairs.
+    """
+    axes = axes_of(nodes)
+    sized = nodes.withColumn("dim", F.size("embedding"))
+    placed = staged(with_places(sized, axes, threshold), "places")
+    cell = ["label", "dim", "cx", "cy"]
+    slim = placed.select(*cell, "place", "node", *BOUNDED, F.lit(1).alias("one"))
+    ordered = running_total(slim, cell, ["place", "node"], "one")
+    number = F.floor(F.col("before") / F.greatest(F.floor(F.lit(TILE) / F.col("dim")), F.lit(1)))
+    ordered = staged(ordered.select(*cell, number.alias("number"), "node", *BOUNDED), "ordered")
+    edges = [e for c in BOUNDED for e in (F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}"))]
+    tiles = ordered.groupBy(*cell, "number").agg(*edges)
+    tiles = staged(tiles.withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    pairs = tile_pairs(tiles.drop("number"), threshold)
     pairs = staged(pairs.withColumn("unit", F.monotonically_increasing_id()), "tilepairs")
 
-    tiled = placed.join(cells, cell)
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = tiled.select(*cell, tile.alias("tile"), "node", "n", "embedding")
-    lone = F.col("home") & (F.col("tile") == F.col("with"))
-    side = F.when(lone, F.lit(2)).otherwise(F.lit(0))
-    left = pairs.select(*cell, "tile", "unit", side.alias("side"))
-    right = pairs.where(~lone).select(
-        "label",
-        "dim",
-        F.col("nx").alias("cx"),
-        F.col("ny").alias("cy"),
-        F.col("with").alias("tile"),
-        "unit",
-        F.lit(1).alias("side"),
-    )
-    rows = tiled.join(left.union(right), [*cell, "tile"])
-    rows = rows.select("unit", "side", "node", "n", "embedding")
-    rows = rows.repartition("unit").sortWithinPartitions("unit")
-    found = rows.mapInArrow(
-        _compare(axes, threshold), "node long, links long, root long"
+    # Side 2: a tile with itself, which is sent once.
+    lone = F.col("one") == F.col("other")
+    sides = pairs.select(F.col("one").alias("tile"), "unit", F.when(lone, 2).otherwise(0).alias("side")).union(
+        pairs.where(~lone).select(F.col("other").alias("tile"), "unit", F.lit(1).alias("side"))
     )
+    named = ordered.join(tiles.select(*cell, "number", "tile"), [*cell, "number"]).select("node", "tile")
+    tiled = placed.select("node", "n", "place", "embedding").join(named, "node")
+    rows = tiled.join(sides, "tile").select("unit", "side", "place", "node", "n", "embedding")
+    rows = rows.repartition("unit").sortWithinPartitions("unit", "place")
+    found = rows.mapInArrow(_compare(axes, threshold), "node long, links long, root long")
     return staged(found, "vectorlinks")
 
 

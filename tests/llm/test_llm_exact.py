@@ -1,5 +1,7 @@
 """Operators with exact results against plain versions, on given and on awkward documents."""
 
+from collections import defaultdict
+
 import brute
 import numpy as np
 import pytest
@@ -230,10 +232,11 @@ def vector_rows(rng):
     return rows + [rows[5], (402, [3e38] * 16, 1), (403, [1e-38] * 16, 1)]
 
 
-@pytest.mark.parametrize("tile", [1024, 4])
-def test_vectors(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "block"), [(1 << 20, 256), (1 << 20, 7), (64, 3)])
+def test_vectors(spark, monkeypatch, tile, block):
     prepare(spark)
     monkeypatch.setattr(vectors, "TILE", tile)
+    monkeypatch.setattr(vectors, "BLOCK", block)
     rows = vector_rows(np.random.default_rng(2))
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     linked = np.zeros((len(rows), len(rows)), bool)
@@ -254,3 +257,50 @@ def test_vectors(spark, monkeypatch, tile):
     got = vectors.vector_groups(table).collect()
     assert counted(got, "vec_id", "n_links", "component_id", "kept") == want
     assert vectors.vector_groups(table.limit(0)).count() == 0
+
+
+def test_vectors_given(spark):
+    """The given table against all cosines of a label."""
+    prepare(spark)
+    table = read(spark, SF_DIR, "embeddings")
+    by_label = defaultdict(list)
+    for r in table.collect():
+        by_label[r["label"]].append((r["vec_id"], np.array(r["embedding"], np.float64)))
+    want = Counter()
+    for label, rows in by_label.items():
+        unit = np.array([v for _, v in rows])
+        unit /= np.sqrt((unit**2).sum(1, keepdims=True))
+        linked = unit @ unit.T >= 0.98
+        np.fill_diagonal(linked, False)
+        root = brute.groups(len(rows), linked)
+        ids = np.array([i for i, _ in rows])
+        for i, vec_id in enumerate(ids.tolist()):
+            least = int(ids[root == root[i]].min())
+            want[(vec_id, int(linked[i].sum()), least, vec_id == least)] += 1
+    got = vectors.vector_groups(table).collect()
+    assert counted(got, "vec_id", "n_links", "component_id", "kept") == want
+
+
+def test_vectors_apart_are_not_sent(spark, monkeypatch):
+    """Tiles of one cell, where bounds tell groups apart: pairs grow with tiles, not with their square."""
+    prepare(spark)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12))
+    centres[:, 0] = 40
+    rows = [
+        (n, (centres[n % 40] * np.r_[1, np.full(11, 9)] + rng.normal(size=12) * 0.02).tolist(), 1)
+        for n in range(1600)
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(vectors, "TILE", 12 * 20)
+    sent, plain = [], vectors.tile_pairs
+
+    def counting(tiles, threshold):
+        sent.append((tiles.count(), plain(tiles, threshold).count()))
+        return plain(tiles, threshold)
+
+    monkeypatch.setattr(vectors, "tile_pairs", counting)
+    got = vectors.vector_groups(table).collect()
+    assert {r["n_links"] for r in got} == {39}
+    n_tiles, n_pairs = sent[0]
+    assert n_tiles >= 80 and n_pairs <= 8 * n_tiles
