@@ -20,6 +20,8 @@ PCA_SAMPLE = 20_000
 TILE = 1 << 20
 #: Rows of a tile that are compared, or skipped, at once.
 BLOCK = 256
+#: Share of a block's pairs beyond which their products are completed together.
+DENSE = 0.1
 #: Leading dimensions after which a bound is taken.
 STEPS = (8, 16, 32)
 #: Leading axes that tiles are ordered by and have bounds on, and bits of an axis in the order.
@@ -143,23 +145,30 @@ def linked_pairs(
                 continue
             at, to = x * BLOCK, y * BLOCK
             one, two = slice(at, at + BLOCK), slice(to, to + BLOCK)
-            i, j = _linked(whole_a[one], whole_b[two], threshold, same and x == y)
-            # What is left is decided by the cosine of the given numbers themselves.
-            near = np.einsum("ij,ij->i", a[one][i], b[two][j]) >= threshold
+            i, j, product = _linked(whole_a[one], whole_b[two], threshold, same and x == y)
+            # Close to the threshold the cosine of the given numbers themselves decides.
+            near = product >= threshold + SLACK
+            close = np.flatnonzero(~near)
+            near[close] = np.einsum("ij,ij->i", a[one][i[close]], b[two][j[close]]) >= threshold
             if near.any():
                 yield i[near] + at, j[near] + to
 
 
 def _linked(
     left: np.ndarray, right: np.ndarray, threshold: float, same: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of projected rows that the bounds leave after all dimensions."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of projected rows that the bounds leave after all dimensions, and their products."""
     size = left.shape[1]
     k = min(STEPS[0], size)
     so_far = left[:, :k] @ right[:, :k].T
     alive = so_far + np.outer(_rest(left, k), _rest(right, k)) >= threshold - SLACK
     if same:
         alive = np.triu(alive, 1)
+    if alive.sum() > DENSE * alive.size:
+        # Most pairs go on: the other dimensions of all at once cost less than those of each pair.
+        so_far += left[:, k:] @ right[:, k:].T
+        alive &= so_far >= threshold - SLACK
+        k = size
     i, j = np.nonzero(alive)
     product = so_far[i, j]
     for upto in (*STEPS[1:], size):
@@ -169,7 +178,7 @@ def _linked(
             k = upto
             near = product + _rest(left, k)[i] * _rest(right, k)[j] >= threshold - SLACK
             i, j, product = i[near], j[near], product[near]
-    return i, j
+    return i, j, product
 
 
 def _compare(axes: dict[int, np.ndarray], threshold: float):

@@ -232,9 +232,11 @@ def vector_rows(rng):
     return rows + [rows[5], (402, [3e38] * 16, 1), (403, [1e-38] * 16, 1)]
 
 
-@pytest.mark.parametrize(("tile", "block"), [(1 << 20, 256), (1 << 20, 7), (64, 3)])
-def test_vectors(spark, monkeypatch, tile, block):
+@pytest.mark.parametrize(("tile", "block"), [(1 << 20, 256), (64, 3)])
+@pytest.mark.parametrize("dense", [0, 1])
+def test_vectors(spark, monkeypatch, tile, block, dense):
     prepare(spark)
+    monkeypatch.setattr(vectors, "DENSE", dense)
     monkeypatch.setattr(vectors, "TILE", tile)
     monkeypatch.setattr(vectors, "BLOCK", block)
     rows = vector_rows(np.random.default_rng(2))
