@@ -57,6 +57,8 @@ def _tagged_schema() -> str:
 
 TAGGED_SCHEMA = _tagged_schema()
 FLUSH_BYTES = 32 << 20
+FLUSH_ROWS = 1 << 14
+SMALL_ROWS = 64
 
 # (file name, content, wanted rows per file channel) -> (table name, column name -> values)
 Decoder = Callable[
@@ -64,6 +66,18 @@ Decoder = Callable[
 ]
 
 
+def _plain(values: Any, kind: pa.DataType, rows: int) -> bool:
+    """Whether these are so many simple values that surely fit the type, so that they can wait for others."""
+    if type(values) is not list or len(values) != rows:
+        return False
+    if pa.types.is_string(kind):
+        return all(v is None or (type(v) is str and v.isascii()) for v in values)
+    if pa.types.is_integer(kind):
+        top = 1 << (kind.bit_width - 1)
+        return all(v is None or (type(v) is int and -top <= v < top) for v in values)
+    return pa.types.is_floating(kind) and all(v is None or type(v) is float for v in values)
+
+
 @dataclass(frozen=True)
 class Decoded:
     """The decoded tables of a set of scenes."""
@@ -85,41 +99,62 @@ def decode_chunks(
     Each file is opened once and all its tables leave together. ``wanted`` maps file channels to the
     rows to keep; the decoder skips pixel arrays outside them, which Catalyst cannot push into
     Python. A file that fails gives one ``errors`` row and the others go on; rows leave in batches of
-    a bounded size.
+    a bounded size, those of many small files together.
     """
     wanted = dict(wanted or {})
     arrow_schema = to_arrow_schema(T.StructType.fromDDL(TAGGED_SCHEMA))
 
+    fields = {field.name: field for field in arrow_schema}
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of many small files leave together: plain values become arrays once, not file by file.
+        plain: dict[tuple[str, ...], dict[str, list]] = {}
+        ready: dict[tuple[str, ...], list[pa.RecordBatch]] = {}
+        size = rows = 0
+
+        def take(table: str, scene: str, part: int, columns: Mapping[str, Any]) -> None:
+            nonlocal size, rows
+            n = len(next(iter(columns.values())))
+            given = {"table": [table] * n, "scene_id": [scene] * n, "part_order": [part] * n, **columns}
+            names = tuple(name for name in given if name in fields)
+            if n <= SMALL_ROWS and all(_plain(values, fields[name].type, n) for name, values in columns.items() if name in fields):
+                held = plain.setdefault(names, {name: [] for name in names})
+                for name in names:
+                    held[name].extend(given[name])
+            else:
+                found = batch_of(names, given)
+                ready.setdefault(names, []).append(found)
+                size += found.nbytes
+            rows += n
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for names, given in plain.items():
+                ready.setdefault(names, []).append(batch_of(names, given))
+            for names, parts in ready.items():
+                whole = pa.concat_batches(parts)
+                arrays = [
+                    whole.column(name) if name in names else pa.nulls(whole.num_rows, field.type)
+                    for name, field in fields.items()
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
         for batch in batches:
-            pending: list[pa.RecordBatch] = []
-            size = 0
             for index in range(batch.num_rows):
                 scene, part, name, content = (column[index].as_py() for column in batch.columns)
-                pending.append(tagged("members", scene, part, {"name": [name]}))
+                take("members", scene, part, {"name": [name]})
                 try:
                     for table, columns in decoder(name, content, wanted):
-                        pending.append(tagged(table, scene, part, columns))
-                        size += pending[-1].nbytes
-                        if size > FLUSH_BYTES:
-                            yield pa.concat_batches(pending)
-                            pending, size = [], 0
+                        take(table, scene, part, columns)
+                        if size > FLUSH_BYTES or rows > FLUSH_ROWS:
+                            yield from out()
+                            plain, ready, size, rows = {}, {}, 0, 0
                 except Exception as exc:  # noqa: BLE001 - one bad file must not stop the others
-                    pending.append(tagged("errors", scene, part, {"error": [f"{name}: {exc}"]}))
-            if pending:
-                yield pa.concat_batches(pending)
-
-    def tagged(table: str, scene: str, part: int, columns: Mapping[str, Any]) -> pa.RecordBatch:
-        rows = len(next(iter(columns.values())))
-        given = {"table": [table] * rows, "scene_id": [scene] * rows, "part_order": [part] * rows}
-        given |= columns
-        arrays = [
-            pa.array(given[field.name], field.type, from_pandas=True)
-            if field.name in given
-            else pa.nulls(rows, field.type)
-            for field in arrow_schema
-        ]
-        return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+                    take("errors", scene, part, {"error": [f"{name}: {exc}"]})
+        yield from out()
+
+    def batch_of(names: tuple[str, ...], given: Mapping[str, Any]) -> pa.RecordBatch:
+        arrays = [pa.array(given[name], fields[name].type, from_pandas=True) for name in names]
+        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([fields[name] for name in names]))
 
     return members.select("scene_id", "part_order", "name", "content").mapInArrow(
         decode, TAGGED_SCHEMA
