@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orbitlake.llm.tables import bitmap, fresh, staged
 from orbitlake.llm.text import TOKEN_BYTES, Roller, marked, pieces, word_slices
@@ -226,6 +227,7 @@ def _finish(
     keyed = docs.withColumns(dict(zip(names, _digests(F.col("text")))))
     kept = [f for f in docs.schema if f.name not in drop]
     schema = T.StructType([*kept, *columns])
+    types = [field.type for field in to_arrow_schema(columns)]
 
     def to_do(batches: Iterator[pa.RecordBatch], listed: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,7 +239,8 @@ def _finish(
 
         def out() -> pa.RecordBatch:
             arrays = [held.column(f.name) for f in kept]
-            arrays += [pa.array(list(values)) for values in zip(*made)]
+            # Typed: a batch without any span would else be another type than the others.
+            arrays += [pa.array(list(values), kind) for values, kind in zip(zip(*made), types)]
             return pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
         for rows, number, cover in covers(batches, sent.value[0], column):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orbitlake.llm import lexical, passages, whitening
 from orbitlake.llm.queries import prepare
 from orbitlake.llm.tables import read
+from orbitlake.session import setting
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -199,3 +200,12 @@ def test_shard_opens_heavy_lists_only():
     assert 2 not in shard.openings(None)
     shard.search(1, None)
     assert shard.best[0][0][1] == 0
+
+
+def test_passages_of_batches_without_any_span(spark):
+    shared = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"text {i} of its own") for i in range(6)] + [(6, shared), (7, f"{shared} more"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "2"):
+        got = {r.doc_id: (r.n_removed, r.n_spans) for r in passages.passage_report(docs).collect()}
+    assert got == {**{i: (0, 0) for i in range(6)}, 6: (40, 1), 7: (40, 1), 8: (0, 0)}
