@@ -104,3 +104,20 @@ def test_a_flat_cube_stays_flat_in_a_stream(spark, tmp_path):
     assert json.loads(spark.read.parquet(f"{path}/identity").first().identity)["layout"] == "flat"
     found = cube.read_cube(spark, str(path))
     assert found.count() == 12 and found.where(F.col("tile") == F.floor(F.col("y") / 3)).count() == 12
+
+
+def test_a_stream_of_events_goes_to_the_slots_of_their_times(spark, tmp_path):
+    from workload import QUERIES
+
+    rows = [
+        (1, "2024-01-01 00:09:59.9", 7, "view", 1.5),
+        (2, "2024-01-01 00:10:00", 7, "click", 2.5),
+        (3, "2024-01-02 00:00:01", 7, "view", None),
+        (4, None, None, "view", 4.5),
+    ]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    next((tmp_path / "parts").glob("*.parquet")).rename(tmp_path / "events.parquet")
+    found = QUERIES["stream_ingest"](spark, str(tmp_path)).select("y", "slot", "counts").collect()
+    assert {tuple(r) for r in found} == {(1, 0, 1.5), (2, 1, 2.5), (3, 144, None), (4, None, 4.5)}

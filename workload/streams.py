@@ -96,12 +96,12 @@ def scene_arrivals(spark, sf):
 ROWS_SQL = f"line AS (SELECT *, {t.CHANNEL_CASE} AS channel FROM events)"
 
 
-def cube_rows(stream):
-    """Events as scanlines: a user stands for a slot of the axis."""
+def cube_rows(stream, slot="user_id"):
+    """Events as scanlines: a user stands for a slot of the axis, unless another column is given."""
     return stream.select(
         F.lit(K.FDHSI).alias("product_type"),
         F.lit("1km").alias("resolution"),
-        F.col("user_id").alias("slot"),
+        F.col(slot).alias("slot"),
         F.expr(t.CHANNEL_CASE).alias("channel"),
         F.col("event_id").alias("y"),
         F.col("value").alias("counts"),
@@ -110,12 +110,12 @@ def cube_rows(stream):
 
 @query(
     "stream_ingest",
-    f"""WITH {ROWS_SQL} SELECT user_id AS slot, channel, event_id AS y, value AS counts FROM line""",
+    f"""WITH {t.ACQ_SQL} SELECT slot, channel, event_id AS y, value AS counts FROM acq""",
 )
 def stream_ingest(spark, sf):
-    """Files merged into a cube by a stream."""
+    """Files merged into a cube by a stream, each row into the slot of its time."""
     path = scratch_path(spark, "stream")
-    rows = cube_rows(event_stream(spark, sf))
+    rows = cube_rows(streaming.with_slot(event_stream(spark, sf), "ts", t.EPOCH), "slot")
     streaming.merge_stream(rows, path, scratch_path(spark, "checkpoint")).awaitTermination()
     found = read_cube(spark, path)
     return found.select(F.col("slot").cast("bigint").alias("slot"), "channel", "y", "counts")
