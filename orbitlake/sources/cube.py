@@ -20,18 +20,28 @@ from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
 from orbitlake.functions.geolocation import lookup
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
-from orbitlake.session import drop_path, literal_table, scratch_path
+from orbitlake.session import drop_path, literal_table, scratch_path, setting
 
 PARTITIONS = ("product_type", "resolution", "slot")
 ROW_KEYS = ("product_type", "resolution", "slot", "channel", "y")
 SLOT_KEYS = ("product_type", "resolution", "slot")
 DAY_PARTITIONS = ("product_type", "resolution", "day")
+#: Bytes of rows that are worth a task of their own when a cube is written.
+SMALLEST_TASK = "4k"
+TASKS_PER_CORE = 4
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table; a task lists many of its folders, which are as many as there are slots."""
+    tasks = str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    with setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks):
+        return spark.read.parquet(path)
 
 
 def open_table(spark: SparkSession, path: str, table: str) -> DataFrame | None:
     """A table of the cube, or None when it has not been written yet."""
     try:
-        return spark.read.parquet(f"{path}/{table}")
+        return _listed(spark, f"{path}/{table}")
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -112,19 +122,21 @@ def write_cube(df: DataFrame, path: str, flat: bool = False, table: str = "scanl
 
     Rows are rebalanced by partition, so a large slot is split over several tasks and files of a
     useful size come out, and sorted by channel and row, so that row windows are pruned by the
-    statistics of the file.
+    statistics of the file. A write of many small slots costs by its files, not by its bytes, so its
+    tasks may be small: all cores write.
     """
     partitions = partitions_of(df, flat)
     order = [c for c in ("channel", "y") if c in df.columns]
     rows = df.drop("product_type", "resolution") if flat else df
-    (
-        rows.hint("rebalance", *partitions)
-        .sortWithinPartitions(*partitions, *order)
-        .write.partitionBy(*partitions)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(f"{path}/{table}")
-    )
+    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
+        (
+            rows.hint("rebalance", *partitions)
+            .sortWithinPartitions(*partitions, *order)
+            .write.partitionBy(*partitions)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(f"{path}/{table}")
+        )
 
 
 def slot_day(slot: Column) -> Column:
@@ -262,7 +274,7 @@ def read_cube(
     Product, resolution, slot and, through the tiles a row range meets, rows prune partitions;
     channel and row prune row groups; unused arrays are pruned by the projection.
     """
-    df = spark.read.parquet(f"{path}/{table}")
+    df = _listed(spark, f"{path}/{table}")
     if product_type is not None:
         df = df.filter(F.col("product_type") == product_type)
     if resolutions is not None:

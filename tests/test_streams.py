@@ -121,3 +121,14 @@ def test_a_stream_of_events_goes_to_the_slots_of_their_times(spark, tmp_path):
     next((tmp_path / "parts").glob("*.parquet")).rename(tmp_path / "events.parquet")
     found = QUERIES["stream_ingest"](spark, str(tmp_path)).select("y", "slot", "counts").collect()
     assert {tuple(r) for r in found} == {(1, 0, 1.5), (2, 1, 2.5), (3, 144, None), (4, None, 4.5)}
+
+
+def test_a_cube_of_many_small_slots_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.lit("FDHSI").alias("product_type"), F.lit("1km").alias("resolution"), (F.col("id") % 40).alias("slot"),
+        F.lit("vis_04").alias("channel"), F.col("id").alias("y"), F.rand(1).alias("counts"),
+    )
+    cube.write_cube(rows, str(tmp_path / "cube"))
+    files = [p.name for p in (tmp_path / "cube").rglob("part-*.parquet")]
+    # A slot stays whole in one file; the name of a file begins with the number of its task.
+    assert len(files) == 40 and len({name.split("-")[1] for name in files}) > 1
