@@ -3,6 +3,10 @@
 ``scanlines`` is partitioned by product, resolution and slot (a flat cube: by slot only), and below
 that by output tile where rows carry one. A write replaces whole partitions, and only those it
 touches: a late chunk swaps the tiles that it meets.
+
+In a cube of many small slots a folder and a file for each would cost more than their rows. If the
+first write finds such slots, those of a week share a folder (``slots=``) and ``slot`` is a column of
+the files; readers and writers of this module treat both layouts alike.
 """
 
 from __future__ import annotations
@@ -10,10 +14,12 @@ from __future__ import annotations
 import datetime
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orbitlake import constants as K
 from orbitlake.constants import CYCLE_SECONDS, CYCLES_PER_DAY
@@ -29,6 +35,11 @@ DAY_PARTITIONS = ("product_type", "resolution", "day")
 #: Bytes of rows that are worth a task of their own when a cube is written.
 SMALLEST_TASK = "4k"
 TASKS_PER_CORE = 4
+#: Slots that share a folder in a cube of many small slots: a week of them.
+BLOCK_SLOTS = 7 * CYCLES_PER_DAY
+#: Partitions of a first write that are many, and bytes of a mean one that are few.
+MANY_PARTITIONS = 1000
+SMALL_PARTITION = 256 << 10
 
 
 def _listed(spark: SparkSession, path: str) -> DataFrame:
@@ -40,6 +51,12 @@ def _listed(spark: SparkSession, path: str) -> DataFrame:
 
 def open_table(spark: SparkSession, path: str, table: str) -> DataFrame | None:
     """A table of the cube, or None when it has not been written yet."""
+    stored = _open_stored(spark, path, table)
+    return None if stored is None else _without_blocks(stored)
+
+
+def _open_stored(spark: SparkSession, path: str, table: str) -> DataFrame | None:
+    """A table with the columns of its folders."""
     try:
         return _listed(spark, f"{path}/{table}")
     except AnalysisException as exc:
@@ -48,6 +65,94 @@ def open_table(spark: SparkSession, path: str, table: str) -> DataFrame | None:
         raise
 
 
+# --- slots that share folders -----------------------------------------------
+
+
+def slot_block(slot: Column) -> Column:
+    """Number of the folder of a slot where slots share folders."""
+    return F.floor(slot / BLOCK_SLOTS).cast("int")
+
+
+def in_blocks(spark: SparkSession, path: str, table: str = "scanlines") -> bool | None:
+    """Whether the slots of a table share folders; None for a table without any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{table}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    while folder is not None and files.exists(folder):
+        # The first folder of each level tells; those of slots may be many.
+        inside, folder = files.listStatusIterator(folder), None
+        while folder is None and inside.hasNext():
+            found = inside.next()
+            key, is_key, _value = found.getPath().getName().partition("=")
+            if found.isDirectory() and is_key:
+                if key in ("slot", "slots"):
+                    return key == "slots"
+                folder = found.getPath()
+    return None
+
+
+def _without_blocks(stored: DataFrame) -> DataFrame:
+    """A table with the same columns, in the same order, whether or not its slots share folders."""
+    if "slots" not in stored.columns:
+        return stored
+    levels = [c for c in (*PARTITIONS, "tile") if c in stored.columns]
+    return stored.select(*[c for c in stored.columns if c not in (*levels, "slots")], *levels)
+
+
+def _in_slots(stored: DataFrame, slots: tuple[int, int]) -> DataFrame:
+    """Stored rows of a half-open range of slots; others are not read, or not those of other folders."""
+    if "slots" in stored.columns:
+        first, last = (slot // BLOCK_SLOTS for slot in (slots[0], slots[1] - 1))
+        stored = stored.filter((F.col("slots") >= first) & (F.col("slots") <= last))
+    return stored.filter((F.col("slot") >= slots[0]) & (F.col("slot") < slots[1]))
+
+
+def _row_bytes(rows: DataFrame) -> tuple[int, Column | None]:
+    """Bytes of a row's plain values, and those of its arrays and texts, if it has any."""
+    plain, wide = 0, []
+    for field in rows.schema:
+        if isinstance(field.dataType, T.ArrayType):
+            each = {"smallint": 2, "int": 4, "float": 4}.get(field.dataType.elementType.simpleString(), 8)
+            wide.append(F.when(F.col(field.name).isNull(), 0).otherwise(F.size(field.name) * each))
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)) and field.name not in PARTITIONS:
+            wide.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+        else:
+            plain += 8
+    return plain, (reduce(Column.__add__, [w.cast("bigint") for w in wide]) if wide else None)
+
+
+def _many_small(rows: DataFrame, partitions: Sequence[str]) -> bool:
+    """Whether rows go to many partitions of few bytes; arrays are read only if these are many."""
+    sizes = rows.groupBy(*partitions).agg(F.count("*").alias("n"))
+    n_partitions, n_rows = sizes.agg(F.count("*"), F.sum("n")).first()
+    if n_partitions <= MANY_PARTITIONS:
+        return False
+    plain, wide = _row_bytes(rows)
+    size = plain * n_rows
+    if wide is not None and size < n_partitions * SMALL_PARTITION:
+        size += rows.agg(F.sum(wide)).first()[0]
+    return size < n_partitions * SMALL_PARTITION
+
+
+def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def _sharing_folders(stored: DataFrame, incoming: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Stored rows of the shared folders that ``incoming`` goes to; those of others are not read.
+
+    Folders are few, as many slots share one, so the driver holds their numbers.
+    """
+    levels = ["slots" if c == "slot" else c for c in partitions]
+    folders = incoming.withColumn("slots", slot_block(F.col("slot"))).select(*levels).distinct().collect()
+    numbers = {f.slots for f in folders}
+    own = F.col("slots").isin(sorted(n for n in numbers if n is not None))
+    own = own | F.col("slots").isNull() if None in numbers else own
+    schema = T.StructType([f for c in levels for f in stored.schema if f.name == c]).simpleString()
+    known = literal_table(stored.sparkSession, [tuple(f) for f in folders], schema[7:-1].replace(":", " "))
+    same = _null_safe("s", "f", levels)
+    return stored.where(own).alias("s").join(F.broadcast(known).alias("f"), same, "left_semi")
+
+
 # --- identity ---------------------------------------------------------------
 
 
@@ -123,11 +228,35 @@ def write_cube(df: DataFrame, path: str, flat: bool = False, table: str = "scanl
     Rows are rebalanced by partition, so a large slot is split over several tasks and files of a
     useful size come out, and sorted by channel and row, so that row windows are pruned by the
     statistics of the file. A write of many small slots costs by its files, not by its bytes, so its
-    tasks may be small: all cores write.
+    tasks may be small: all cores write. Where slots share folders, the others of a folder stay.
     """
+    spark, partitions = df.sparkSession, partitions_of(df, flat)
+    blocks = in_blocks(spark, path, table)
+    if blocks is None:
+        blocks = _many_small(df, partitions)
+    elif blocks:
+        scratch = scratch_path(spark, "incoming")
+        df.write.parquet(scratch)
+        incoming = spark.read.schema(df.schema).parquet(scratch)
+        replaced = incoming.select(*partitions).distinct()
+        current = _sharing_folders(_open_stored(spark, path, table), incoming, partitions)
+        stay = current.alias("c").join(replaced.alias("r"), _null_safe("c", "r", partitions), "left_anti")
+        rows = incoming.drop("product_type", "resolution") if flat else incoming
+        rows = stay.unionByName(rows, allowMissingColumns=True).select(*rows.columns)
+        _write_partitions(rows, path, flat, table, True)
+        drop_path(spark, scratch)
+        return
+    _write_partitions(df, path, flat, table, blocks)
+
+
+def _write_partitions(df: DataFrame, path: str, flat: bool, table: str, blocks: bool) -> None:
     partitions = partitions_of(df, flat)
     order = [c for c in ("channel", "y") if c in df.columns]
     rows = df.drop("product_type", "resolution") if flat else df
+    if blocks:
+        partitions = ["slots" if c == "slot" else c for c in partitions]
+        order = ["slot", *order]
+        rows = rows.withColumns({"slots": slot_block(F.col("slot")), "slot": F.col("slot").cast("bigint")})
     with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
         (
             rows.hint("rebalance", *partitions)
@@ -155,12 +284,19 @@ def write_days(df: DataFrame, path: str, table: str) -> None:
     )
 
 
-def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ROW_KEYS) -> DataFrame:
-    """Existing rows that ``incoming`` does not cover, and all of ``incoming``."""
+def merge_rows(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ROW_KEYS, null_safe: bool = False
+) -> DataFrame:
+    """Existing rows that ``incoming`` does not cover, and all of ``incoming``.
+
+    Rows without a key cover each other only where ``null_safe`` says so.
+    """
     covered = incoming.select(*keys).distinct()
-    return existing.join(covered, list(keys), "left_anti").unionByName(
-        incoming, allowMissingColumns=True
-    )
+    if null_safe:
+        left = existing.alias("e").join(covered.alias("c"), _null_safe("e", "c", keys), "left_anti")
+    else:
+        left = existing.join(covered, list(keys), "left_anti")
+    return left.unionByName(incoming, allowMissingColumns=True)
 
 
 def touched(existing: DataFrame, partitions: DataFrame) -> DataFrame:
@@ -182,6 +318,8 @@ def merge_into(
     ``keep_existing`` lets rows already stored win over incoming ones. The incoming rows are written
     once to the shared folder, because their keys and their values are both needed, and deleted at
     the end. Old files are read until the new ones are committed, so what is merged is written once.
+    Where slots share folders, a folder is rebuilt with all of its slots, and rows without a key are
+    compared like any others.
     """
     scratch = scratch_path(spark, "incoming")
     incoming.write.parquet(scratch)
@@ -191,17 +329,23 @@ def merge_into(
         partitions = [*SLOT_KEYS, "tile"] if "tile" in incoming.columns else list(SLOT_KEYS)
         if ("tile" in incoming.columns) != ("tile" in existing.columns):
             raise ConfigurationError("rows and cube must both have tiles, or neither")
-        current = touched(existing, incoming.select(*partitions).distinct())
+        blocks = "slots" in existing.columns
+        if blocks:
+            current = _without_blocks(_sharing_folders(existing, incoming, partitions))
+        else:
+            current = touched(existing, incoming.select(*partitions).distinct())
         old, new = (incoming, current) if keep_existing else (current, incoming)
-        incoming = merge_rows(old, new, keys).select(*incoming.columns)
-    write_cube(incoming, path, flat, table)
+        incoming = merge_rows(old, new, keys, null_safe=blocks).select(*incoming.columns)
+        _write_partitions(incoming, path, flat, table, blocks)
+    else:
+        write_cube(incoming, path, flat, table)
     drop_path(spark, scratch)
 
 
 def _open_with_keys(
     spark: SparkSession, path: str, table: str, flat_like: DataFrame | None
 ) -> DataFrame | None:
-    existing = open_table(spark, path, table)
+    existing = _open_stored(spark, path, table)
     if existing is None or flat_like is None:
         return existing
     # A flat cube holds one product and resolution, which its rows do not repeat.
@@ -219,13 +363,13 @@ def present_groups(
     """Groups of which the cube holds any row: product, resolution and slot; None for a new cube.
 
     ``slots`` is the half-open range the caller asks about: others are not looked at. Rows count, not the per-slot tables: streams and stopped runs leave rows without those. The
-    keys are partition columns, so no row is read.
+    keys are partition columns, so no row is read; of small slots that share folders, one column is.
     """
-    stored = open_table(spark, path, "scanlines")
+    stored = _open_stored(spark, path, "scanlines")
     if stored is None:
         return None
     if slots is not None:
-        stored = stored.where((F.col("slot") >= slots[0]) & (F.col("slot") < slots[1]))
+        stored = _in_slots(stored, slots)
     if config.flat:
         grid = catalog.config_resolutions(config)[0]
         stored = stored.withColumns(
@@ -282,7 +426,8 @@ def read_cube(
     if channels is not None:
         df = df.filter(F.col("channel").isin(list(channels)))
     if slots is not None:
-        df = df.filter((F.col("slot") >= slots[0]) & (F.col("slot") < slots[1]))
+        df = _in_slots(df, slots)
+    df = _without_blocks(df)
     if rows is not None:
         df = df.filter((F.col("y") >= rows[0]) & (F.col("y") < rows[1]))
     stored = open_table(spark, path, "identity") if rows is not None and "tile" in df.columns else None
