@@ -293,7 +293,8 @@ def ingest_decoded(
     plan = catalog.config_plan(spark, config)
     channels = [c for members in catalog.config_channels(config).values() for c, _nc in members]
     found = slot_values.with_slots(found, config.time_epoch, config.slot_count)
-    parts = coverage.attach_grid(rasters.parts_of_group(decoded.chunk_rows, plan), config)
+    # One row per file and resolution, which almost every step below reads.
+    parts = staged(coverage.attach_grid(rasters.parts_of_group(decoded.chunk_rows, plan), config), "parts")
 
     # A scene with a file that cannot be read fails by itself; its gaps are no fault of the input.
     failed = decoded.errors.select("scene_id").distinct()

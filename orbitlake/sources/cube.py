@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime
 import json
 from collections.abc import Sequence
+from contextlib import AbstractContextManager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -42,6 +43,11 @@ MANY_PARTITIONS = 1000
 SMALL_PARTITION = 256 << 10
 
 
+def small_tasks(spark: SparkSession) -> AbstractContextManager[None]:
+    """Let the tasks of a write be small, which costs by its files and not by its bytes."""
+    return setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK)
+
+
 def _listed(spark: SparkSession, path: str) -> DataFrame:
     """A partitioned table; a task lists many of its folders, which are as many as there are slots."""
     tasks = str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
@@ -242,7 +248,7 @@ def write_cube(df: DataFrame, path: str, flat: bool = False, table: str = "scanl
         current = _sharing_folders(_open_stored(spark, path, table), incoming, partitions)
         stay = current.alias("c").join(replaced.alias("r"), _null_safe("c", "r", partitions), "left_anti")
         rows = incoming.drop("product_type", "resolution") if flat else incoming
-        rows = stay.unionByName(rows, allowMissingColumns=True).select(*rows.columns)
+        rows = _without_blocks(stay).unionByName(rows, allowMissingColumns=True)
         _write_partitions(rows, path, flat, table, True)
         drop_path(spark, scratch)
         return
@@ -257,7 +263,7 @@ def _write_partitions(df: DataFrame, path: str, flat: bool, table: str, blocks:
         partitions = ["slots" if c == "slot" else c for c in partitions]
         order = ["slot", *order]
         rows = rows.withColumns({"slots": slot_block(F.col("slot")), "slot": F.col("slot").cast("bigint")})
-    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
+    with small_tasks(df.sparkSession):
         (
             rows.hint("rebalance", *partitions)
             .sortWithinPartitions(*partitions, *order)
@@ -274,14 +280,15 @@ def slot_day(slot: Column) -> Column:
 
 
 def write_days(df: DataFrame, path: str, table: str) -> None:
-    """Replace the day partitions present in ``df``."""
-    (
-        df.hint("rebalance", *DAY_PARTITIONS)
-        .write.partitionBy(*DAY_PARTITIONS)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(f"{path}/{table}")
-    )
+    """Replace the day partitions present in ``df``; all cores write many small days."""
+    with small_tasks(df.sparkSession):
+        (
+            df.hint("rebalance", *DAY_PARTITIONS)
+            .write.partitionBy(*DAY_PARTITIONS)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(f"{path}/{table}")
+        )
 
 
 def merge_rows(
@@ -335,7 +342,9 @@ def merge_into(
         else:
             current = touched(existing, incoming.select(*partitions).distinct())
         old, new = (incoming, current) if keep_existing else (current, incoming)
-        incoming = merge_rows(old, new, keys, null_safe=blocks).select(*incoming.columns)
+        merged = merge_rows(old, new, keys, null_safe=blocks)
+        # The other slots of a folder keep columns that the incoming rows do not have.
+        incoming = merged if blocks else merged.select(*incoming.columns)
         _write_partitions(incoming, path, flat, table, blocks)
     else:
         write_cube(incoming, path, flat, table)

@@ -19,7 +19,7 @@ from orbitlake.operators.intervals import left_of, merge_runs
 from orbitlake.plans import catalog
 from orbitlake.plans.config import ConfigurationError, CubeConfig
 from orbitlake.session import literal_table
-from orbitlake.sources.cube import SLOT_KEYS, open_table, slot_day
+from orbitlake.sources.cube import SLOT_KEYS, open_table, slot_day, small_tasks
 
 GROUP_RUNS = [*SLOT_KEYS, "row_start", "row_stop"]
 SHOWN = 3
@@ -44,7 +44,8 @@ def record_runs(runs: DataFrame, path: str, config: CubeConfig) -> None:
         F.current_timestamp().alias("logged_at"),
         slot_day(F.col("slot")).alias("day"),
     )
-    listed.hint("rebalance", "day").write.partitionBy("day").mode("append").parquet(f"{path}/covered")
+    with small_tasks(runs.sparkSession):
+        listed.hint("rebalance", "day").write.partitionBy("day").mode("append").parquet(f"{path}/covered")
 
 
 def covered_runs(

@@ -24,10 +24,14 @@ from orbitlake.operators.scenes import (
 )
 from orbitlake.plans import catalog
 from orbitlake.plans.config import CubeConfig
-from orbitlake.session import drop_path, staged
+from orbitlake.session import drop_path, scratch_path, staged
 from orbitlake.sources.archives import unpack_archives
-from orbitlake.sources.chunks import TABLES, TAGGED_SCHEMA, Decoded, Decoder, table_rows
-from orbitlake.sources.cube import check_identity, merge_into, open_table, with_tiles
+from orbitlake.sources.chunks import TABLES, TAGGED_SCHEMA, Decoded, Decoder, table_rows, write_decoded
+from orbitlake.sources.cube import TASKS_PER_CORE, check_identity, merge_into, open_table, with_tiles
+
+#: Mean bytes of a file below which the files of a batch are small.
+SMALL_FILE = 1 << 20
+SHOWN_FILES = 4
 
 
 def file_stream(
@@ -194,11 +198,31 @@ def seen_batches(log: DataFrame, stream: str) -> DataFrame:
     return own.select(F.get_json_object("metrics", "$.batch").cast("bigint").alias("batch"))
 
 
-def latest_copies(decoded: DataFrame) -> DataFrame:
+def latest_parts(decoded: DataFrame) -> DataFrame:
+    """The latest batch that brought each part; every file of a batch is listed in its ``members``."""
+    listed = decoded.where(F.col("table") == "members")
+    return listed.groupBy("scene_id", "part_order").agg(F.max("batch").alias("batch"))
+
+
+def latest_copies(decoded: DataFrame, parts: DataFrame) -> DataFrame:
     """Rows of the latest batch that brought a part; a file that comes again replaces its rows."""
-    last = decoded.groupBy("scene_id", "part_order").agg(F.max("batch").alias("_last"))
-    joined = decoded.join(last, ["scene_id", "part_order"])
-    return joined.where(F.col("batch") == F.col("_last")).drop("_last")
+    return decoded.join(parts, ["scene_id", "part_order", "batch"], "left_semi")
+
+
+def many_small_files(files: DataFrame) -> bool:
+    """Whether files (path, content) are more than the tasks that could read them, and small.
+
+    A split of a table holds many small files, all of which a single task would parse and decode. The
+    first few are looked at: this only says how files are dealt, and large ones are not read for it.
+    """
+    if files.count() <= _tasks(files):
+        return False
+    sizes = [r[0] or 0 for r in files.select(F.length("content")).limit(SHOWN_FILES).collect()]
+    return sum(sizes) < len(sizes) * SMALL_FILE
+
+
+def _tasks(files: DataFrame) -> int:
+    return TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism
 
 
 def ingest_stream(
@@ -232,6 +256,11 @@ def ingest_stream(
         log = open_table(spark, path, "ingest_log")
         if log is not None and not seen_batches(log, checkpoint).where(F.col("batch") == number).isEmpty():
             return
+        # Small files are dealt to all cores; large ones stay where their splits are.
+        dealt, copied = many_small_files(rows), scratch_path(spark, "files")
+        if dealt:
+            rows.repartition(_tasks(rows), "path").write.parquet(copied)
+            rows = spark.read.schema(rows.schema).parquet(copied)
         items = classify_items(rows.withColumn("length", F.length("content")))
         rejected = rejected_chunks(items.drop("content")).unionByName(
             foreign_items(items.drop("content"), config.product_type).select(
@@ -249,18 +278,26 @@ def ingest_stream(
         )
         part = f"{state}/batch={number}"
         drop_path(spark, part)
+        if dealt:
+            contents = contents.repartition(_tasks(contents), "name")
         decode_files(contents, config, decoder, part)
         found = zip_scenes(own.drop("content")).unionByName(
             bundle_scenes(parse_chunks(own.drop("content"), strict=False), strict=False)
         )
         found = staged(found.select("scene_id", "product_type", "coordinate"), "scenes")
+        drop_path(spark, copied)
         if found.isEmpty():
             return
         decoded = spark.read.schema(f"{TAGGED_SCHEMA}, batch bigint").parquet(state)
-        decoded = latest_copies(decoded.join(found.select("scene_id"), "scene_id", "left_semi"))
-        tables = Decoded(**{table: table_rows(decoded, table) for table in TABLES})
+        own = decoded.join(found.select("scene_id"), "scene_id", "left_semi")
+        decoded = latest_copies(decoded, staged(latest_parts(own), "latest"))
+        # Small tables are read many times, so their copies are chosen once; scanlines stay where they are.
+        plain = write_decoded(decoded.where(F.col("table") != "scan_in").drop("batch"))
+        stored = spark.read.schema(TAGGED_SCHEMA).parquet(plain)
+        tables = Decoded(**{t: table_rows(decoded if t == "scan_in" else stored, t) for t in TABLES})
         origin = {"stream": checkpoint, "batch": number}
         ingest_decoded(spark, found, tables, config, path, existing="force", origin=origin, grid=grid)
+        drop_path(spark, plain)
         if keep is not None:
             drop_path(spark, f"{state}/batch={number - keep}")
 
