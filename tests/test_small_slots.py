@@ -1,5 +1,8 @@
 """Cubes of many small slots, which share folders."""
 
+from collections import Counter
+
+import duckdb
 import pytest
 import small_scene as s
 from pyspark.sql import functions as F
@@ -96,3 +99,30 @@ def test_small_files_of_one_split_are_decoded_by_many_tasks(spark, tmp_path):
         # The name of a file begins with the number of its task.
         assert len({p.name.split("-")[1] for p in decoded}) > 4
         assert cube.read_cube(spark, path).count() == 30 * 12
+
+
+def events(spark, folder):
+    """Four events of each of 1,200 users, and two of none."""
+    kinds = F.array(*map(F.lit, ("view", "click")))
+    rows = spark.range(4 * SLOTS + 2).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") < 4 * SLOTS, F.col("id") % SLOTS).alias("user_id"),
+        F.get(kinds, (F.col("id") / SLOTS + F.col("id")).cast("int") % 2).alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+    )
+    rows.coalesce(1).write.parquet(str(folder / "parts"))
+    next((folder / "parts").glob("*.parquet")).rename(folder / "events.parquet")
+
+
+@pytest.mark.parametrize("query", ["late_chunk"])
+def test_a_stream_into_many_small_slots_lists_few_files(spark, tmp_path, query):
+    import workload
+
+    events(spark, tmp_path)
+    found = workload.QUERIES[query](spark, str(tmp_path))
+    # The driver holds the list of files.
+    assert len(found.inputFiles()) < SLOTS / 10
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    wanted = con.execute(f"SELECT {', '.join(found.columns)} FROM ({workload.SQL[query]})").fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(wanted)
