@@ -114,7 +114,7 @@ def events(spark, folder):
     next((folder / "parts").glob("*.parquet")).rename(folder / "events.parquet")
 
 
-@pytest.mark.parametrize("query", ["late_chunk"])
+@pytest.mark.parametrize("query", ["late_chunk", "stream_replay"])
 def test_a_stream_into_many_small_slots_lists_few_files(spark, tmp_path, query):
     import workload
 
